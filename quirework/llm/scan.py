@@ -36,7 +36,7 @@ GLYPHS = [
     ("a", "o"), ("e", "c"), ("c", "e"), ("n", "u"), ("u", "n"), ("i", "1"), ("i", "!"), ("l", "1"), ("l", "|"), ("i", "l"), ("l", "i"),
     ("t", "f"), ("s", "f"), ("f", "s"), ("o", "0"), ("h", "b"), ("b", "h"), ("g", "9"), ("v", "y"), ("b", "6"), ("s", "5"), ("z", "2"),
     ("m", "rn"), ("rn", "m"), ("k", "lc"), ("d", "cl"), ("cl", "d"), ("h", "li"), ("li", "h"), ("w", "vv"), ("m", "in"),
-    ("ä", "a"), ("å", "a"), ("ö", "o"), ("ü", "u"), ("õ", "o"), ("é", "e"), ("è", "e"), ("ê", "e"), ("à", "a"), ("ç", "c"), ("â", "a"), ("ô", "o"), ("î", "i"),
+    ("ä", "a"), ("å", "a"), ("ö", "o"), ("ü", "u"), ("ü", "ii"), ("õ", "o"), ("é", "e"), ("è", "e"), ("ê", "e"), ("à", "a"), ("ç", "c"), ("â", "a"), ("ô", "o"), ("î", "i"),
     ("о", "0"), ("а", "д"), ("и", "н"), ("н", "и"), ("е", "с"), ("л", "п"), ("п", "л"), ("ь", "ъ"), ("т", "г"), ("в", "8"), ("з", "3"), ("б", "6"), ("ш", "щ"), ("ц", "ч"), ("ё", "е"), ("й", "и"),
 ]
 DIVISION = "-¬=⸗­‐"
@@ -53,6 +53,7 @@ for _true, _seen in GLYPHS:
     _BACK.setdefault(_seen, []).append(_true)
 _TOKEN = re.compile(r"[^\W_]+(?:[!|]+[^\W_]+)*[!|]?|[!|][^\W_]+")
 _DIVIDED = re.compile(rf"[^\W\d_][{DIVISION}]\s*$")
+_ACROSS = re.compile(rf"(?<=[^\W\d_])[{DIVISION}]\s*\n\s*(?=[^\W\d_])")
 _D = r"[\d·OoIlSB|]{1,4}"
 _NUMBER = re.compile(rf"^\s*(?:[-–—]\s*{_D}\s*[-–—]|\[\s*{_D}\s*\]|(?:Pag|pag|fol|Fol|p|S|s)\.\s*{_D}[rv]?\.?)\s*$|^\s{{6,}}{_D}\.?\s*$")
 _BARE = re.compile(r"^\s{0,5}(\d{1,4})(\.?)\s*$")
@@ -69,6 +70,8 @@ _TITLES = (
 
 def _title(line: str) -> str | None:
     """The line without a page number beside it, if it has a title's form."""
+    if line.count(" ") > 30 or line[-1] in ",;:!?-":
+        return None
     s = _SIDE.sub("", line, count=1).strip()
     if not 3 <= len(s) <= 70 or s[-1] in ",;:!?" or s.count(" ") > 5:
         return None
@@ -95,7 +98,7 @@ def _alike(a: str, b: str) -> bool:
 def furniture(lines: list[str]) -> dict[int, str]:
     """Line numbers of page headings and page numbers."""
     out: dict[int, str] = {}
-    titles = {i: t for i, x in enumerate(lines) if len(x) <= 90 and (t := _title(x))}
+    titles = {i: t for i, x in enumerate(lines) if 3 <= len(x) <= 90 and (t := _title(x))}
     if titles:
         forms = Counter(_letters(t) for t in titles.values())
         lengths = {len(f) for f in forms}
@@ -115,7 +118,7 @@ def furniture(lines: list[str]) -> dict[int, str]:
                 out[i] = "header"
     bare = {}
     for i, x in enumerate(lines):
-        if i in out or len(x) > 60:
+        if i in out or len(x) > 60 or x.isspace() or len(x.strip()) > 14:
             continue
         if _NUMBER.match(x):
             out[i] = "page_number"
@@ -188,11 +191,10 @@ def _counting(lexicon: list[str]):
         for f in frames:
             ids: list[int] = []
             for t in f["text"]:
-                p = _prepared(t)
-                if p is None:
-                    continue
-                words = _TOKEN.findall(K.readable(p[0]).lower())
+                words = _TOKEN.findall(_ACROSS.sub("", K.readable(t)).lower())
                 counts.update(words)
+                if "!" in t or "|" in t:
+                    counts.update(w.rstrip("!|") for w in words if w[-1] in "!|")
                 ids += [at.get(w, -1) for w in words]
                 ids += [-1] * WINDOW
             if len(at):
@@ -328,12 +330,18 @@ def fit(docs: DataFrame, text: str, lexicon: DataFrame) -> Corrector:
 
 def misread(whole: str, corrector: Corrector) -> list[tuple[int, str, str]]:
     """(position of the word's first changed character, word as written, correction)."""
+    links = corrector.links
+    if not any(w in links or (w[-1] in "!|" and w.rstrip("!|") in links) for w in _TOKEN.findall(whole.lower())):
+        return []
     found = list(tokens_of(whole))
     lower = [w.lower() for _, w in found]
     out = []
     for k, ((start, written), w) in enumerate(zip(found, lower, strict=True)):
-        if w not in corrector.links:
-            continue
+        if w not in links:
+            w = w.rstrip("!|")
+            if w not in links:
+                continue
+            written = written.rstrip("!|")
         better = corrector.correct(w, lower[max(0, k - WINDOW) : k] + lower[k + 1 : k + 1 + WINDOW])
         if better is not None:
             same = next((i for i, (a, b) in enumerate(zip(w, better, strict=False)) if a != b), min(len(w), len(better)) - 1)
