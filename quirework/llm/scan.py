@@ -86,7 +86,7 @@ def _title(line: str) -> str | None:
 
 
 def _letters(s: str) -> str:
-    return "".join(c for c in s.lower() if c.isalpha())
+    return "".join(filter(str.isalpha, s.lower()))
 
 
 def _alike(a: str, b: str) -> bool:
@@ -103,9 +103,11 @@ def furniture(lines: list[str]) -> dict[int, str]:
         forms = Counter(_letters(t) for t in titles.values())
         lengths = {len(f) for f in forms}
         near = range(min(lengths) - 3, max(lengths) + 4)
+        least, most = min(map(len, titles.values())) - 4, max(map(len, titles.values())) + 5
         other = {}
         for i, x in enumerate(lines):
-            if i not in titles and len(x) <= 90 and x.count(" ") < 40:
+            # a heading's noise may hide its form, but hardly changes its length
+            if i not in titles and len(x) <= 90 and least <= len(_SIDE.sub("", x, count=1)) <= most:
                 s = _letters(_SIDE.sub("", x, count=1))
                 if len(s) in near and any(_alike(s, f) for f in forms):
                     other[i] = s
@@ -141,7 +143,7 @@ def layout(lines: list[str], marks: dict[int, str]) -> tuple[list[int], set[int]
     text = [i for i, x in enumerate(lines) if i not in marks and x and not x.isspace()]
     divided = set()
     for a, b in zip(text, text[1:], strict=False):
-        if _DIVIDED.search(lines[a]):
+        if lines[a].rstrip()[-1] in DIVISION and _DIVIDED.search(lines[a]):
             s = lines[b].lstrip()
             if s[0].islower():
                 divided.add(a)
