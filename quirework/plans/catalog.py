@@ -5,10 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quirework.operators import nested
+from quirework.runtime import table
+
+
+def p7_tables(spark: SparkSession, d: str) -> nested.PageTables:
+    return nested.page_tables(table(spark, d, "page_json"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    t = p7_tables(spark, d)
+    regions = t.regions.select("page_id", "region_pos", F.lit(-1).alias("line_pos"), "n_points")
+    return regions.unionByName(t.lines.select("page_id", "region_pos", "line_pos", "n_points"))
+
+
+def p7_points(spark: SparkSession, d: str) -> DataFrame:
+    return p7_tables(spark, d).points
+
+
+def p7_variants(spark: SparkSession, d: str) -> DataFrame:
+    return p7_tables(spark, d).variants()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"p7_found": p7_found, "p7_points": p7_points, "p7_variants": p7_variants}
 
 
 def oracle_sql() -> dict[str, str]:
