@@ -4,11 +4,268 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quirework.operators import nested
+from quirework.functions import scalars as S
+from quirework.operators import detections, layout, nested, pages, recognize, xml
+from quirework.plans import fixtures as X
+from quirework.plans.session import Session
 from quirework.runtime import table
+from quirework.sources import images
+
+BOX = ("x0", "y0", "x1", "y1")
+
+
+# Pages and lines
+
+
+def distinct_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines without later deliveries of the same line, which differ in written_at only."""
+    t = table(spark, d, "line_text")
+    return t.groupBy("line_id").agg(*(F.first(c).alias(c) for c in t.columns if c not in ("line_id", "written_at")))
+
+
+def page_stats(spark: SparkSession, d: str) -> DataFrame:
+    p = pages.page_stats(distinct_lines(spark, d), "page_id")
+    return p.select("page_id", F.round("PC", 6).alias("PC"), *(F.round(c, 8).alias(c) for c in ("PC25", "PC50", "PC75")), "N_LONG_ROWTEXT")
+
+
+def doc_stats(spark: SparkSession, d: str) -> DataFrame:
+    p = pages.page_stats(X.doc_lines(spark, d), "doc_id", text="t")
+    return p.select("doc_id", F.round("PC", 6).alias("PC"), *(F.round(c, 8).alias(c) for c in ("PC25", "PC50", "PC75")), "N_LONG_ROWTEXT")
+
+
+def long_rows(spark: SparkSession, d: str) -> DataFrame:
+    return X.doc_lines(spark, d).where(F.length("t") > S.LONG_ROW).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_long"))
+
+
+def has_letters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", S.has_letters(F.col("text")).alias("letters"))
+
+
+def page_languages_stored(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "page_info").select("page_id", S.language_code(F.col("language")).alias("lang")).distinct()
+
+
+def stats_text(spark: SparkSession, d: str) -> DataFrame:
+    p = pages.page_stats(X.doc_lines(spark, d), "doc_id", text="t")
+    text = lambda c: F.round(c, 3).cast("string")
+    return p.select("doc_id", S.stats_settings(pages.stats_struct(), text=text).alias("settings"))
+
+
+def run_summary(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "page_images").dropDuplicates(["path"])
+    status = t.select(F.when(F.col("height") < 0, "error").when(F.col("length") == 0, "info").otherwise("ok").alias("status"))
+    return pages.run_totals(status)
+
+
+def image_inventory(spark: SparkSession, d: str) -> DataFrame:
+    return images.inventory(table(spark, d, "page_images")).select("path", S.stem(F.col("path")).alias("stem"), S.folder_of(F.col("path")).alias("folder"), "height", "width")
+
+
+def pages_never_read(spark: SparkSession, d: str) -> DataFrame:
+    i = images.inventory(table(spark, d, "page_images")).select("page_id").distinct()
+    return i.join(table(spark, d, "line_text").select("page_id"), "page_id", "left_anti")
+
+
+# Boxes
+
+
+def small_polygon_filter(spark: SparkSession, d: str) -> DataFrame:
+    b = X.boxes(spark, d)
+    frac = S.area_fraction(S.box_polygon(F.col("box")), F.lit(X.SIDE), F.lit(X.SIDE))
+    return detections.large_enough(b, frac).select("p", "k")
+
+
+def _large(spark: SparkSession, d: str) -> DataFrame:
+    return detections.large_enough(X.boxes(spark, d), S.box_area(F.col("box")) / F.lit(float(X.SIDE * X.SIDE)))
+
+
+def sliver_filter(spark: SparkSession, d: str) -> DataFrame:
+    return detections.not_slivers(X.boxes(spark, d), F.col("box"), F.lit(X.SIDE), F.lit(X.SIDE)).select("p", "k")
+
+
+def interval_iou_pairs(spark: SparkSession, d: str) -> DataFrame:
+    j = detections.overlap_pairs(X.boxes(spark, d), "p", "k", "box")
+    return j.select("p", "a", "b", F.round(S.axis_iou(F.col("box_a"), F.col("box_b")), 6).alias("v"), F.round(S.box_iou(F.col("box_a"), F.col("box_b")), 6).alias("iou"))
+
+
+def _edges(spark: SparkSession, d: str) -> DataFrame:
+    return detections.merge_edges(detections.overlap_pairs(_large(spark, d), "p", "k", "box"), "p")
+
+
+def merge_edges(spark: SparkSession, d: str) -> DataFrame:
+    return _edges(spark, d)
+
+
+def merge_components(spark: SparkSession, d: str) -> DataFrame:
+    return detections.merge_components(_edges(spark, d), "p")
+
+
+def merged_confidence(spark: SparkSession, d: str) -> DataFrame:
+    m = detections.merge_components(_edges(spark, d), "p").withColumnRenamed("node", "k")
+    j = _large(spark, d).join(m, ["p", "k"])
+    return j.groupBy("p", "root").agg(F.round(F.avg("conf"), 6).alias("conf"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+
+
+def merged_polygons(spark: SparkSession, d: str) -> DataFrame:
+    b = _large(spark, d).withColumn("polygon", S.box_polygon(F.col("box")))
+    m = detections.merge(b, "p", "k", detections.merge_components(_edges(spark, d), "p"))
+    return m.where("part > 0 or size(polygon) > 4").select("p", "k", "part", F.round("conf", 6).alias("conf"), S.points_text(F.col("polygon")).alias("points"))
+
+
+def line_region(spark: SparkSession, d: str) -> DataFrame:
+    a = layout.assign_regions(X.boxes(spark, d), X.regions(spark, d), "p", "k", "rid")
+    return a.select("p", "k", "rid", F.round("iou", 6).alias("iou"))
+
+
+def regions_without_lines(spark: SparkSession, d: str) -> DataFrame:
+    r = X.regions(spark, d)
+    return layout.regions_without_lines(r, layout.assign_regions(X.boxes(spark, d), r, "p", "k", "rid"), "p", "rid").select("p", "rid")
+
+
+def default_region(spark: SparkSession, d: str) -> DataFrame:
+    all_pages = table(spark, d, "orders").select(F.col("o_orderkey").alias("p"), F.lit(X.SIDE).alias("height"), F.lit(X.SIDE).alias("width"))
+    got = layout.default_regions(all_pages, X.regions(spark, d).where("o_orderstatus <> 'F'"), "p")
+    return got.select("p", "id", "name", "conf", *(F.col(f"box.{c}").alias(c) for c in BOX))
+
+
+def ignored_region_lines(spark: SparkSession, d: str) -> DataFrame:
+    return detections.outside_ignored(X.boxes(spark, d), X.regions(spark, d), "p", F.col("rid") == 1).select("p", "k")
+
+
+def reading_rank(spark: SparkSession, d: str) -> DataFrame:
+    return layout.predecessors(X.boxes(spark, d), "p", "k").select("p", "k", "indegree")
+
+
+def cyclic_pages(spark: SparkSession, d: str) -> DataFrame:
+    return layout.cyclic_pages(layout.predecessors(X.boxes(spark, d), "p", "k"), "p")
+
+
+def reading_order(spark: SparkSession, d: str) -> DataFrame:
+    return layout.reading_order(X.boxes(spark, d), "p", "k").select("p", "k", "pos")
+
+
+def width_batches(spark: SparkSession, d: str) -> DataFrame:
+    b = X.boxes(spark, d)
+    return layout.batches(b, "p", (F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0")), "k", 2).select("p", "k", "batch")
+
+
+def region_ids(spark: SparkSession, d: str) -> DataFrame:
+    r = X.regions(spark, d).withColumn("name", F.when(F.col("rid") == 2, "9 a").otherwise("paragraph"))
+    n = F.row_number().over(Window.partitionBy("p", "name").orderBy("rid")) - 1
+    return r.select("p", "rid", S.xml_id(F.col("name"), n).alias("id"))
+
+
+def points_text(spark: SparkSession, d: str) -> DataFrame:
+    b = X.boxes(spark, d)
+    moved = F.struct((F.col("x0") - 500.7).alias("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+    p = S.box_polygon(moved)
+    return b.select("p", "k", S.points_text(p).alias("alto"), S.points_text(p, 0).alias("page"))
+
+
+def text_extent(spark: SparkSession, d: str) -> DataFrame:
+    b = X.boxes(spark, d).groupBy("p").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    side = F.lit(float(X.SIDE))
+    return b.select("p", *BOX, F.greatest(side - F.col("x1"), F.lit(0.0)).alias("right_width"), F.greatest(side - F.col("y1"), F.lit(0.0)).alias("bottom_height"))
+
+
+# Detections as delivered
+
+
+def detections_routed(spark: SparkSession, d: str) -> DataFrame:
+    r = detections.confident(detections.route(table(spark, d, "detections")))
+    return r.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(S.polygon_area(F.col("polygon"))), 4).alias("mean_area"))
+
+
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "page_images").where("height > 0")
+    return t.groupBy("page_id").agg(F.min("path").alias("image_path"), F.max("height").alias("height"), F.max("width").alias("width"))
+
+
+def detections_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the raw detections after all filters and merging."""
+    raw = table(spark, d, "detections").withColumn("polygon", F.col("polygon").cast(detections.POLYGON))
+    s = Session.of({"latin": _echo})
+    lines, _ = s.detect(raw, _sizes(spark, d).select("page_id", "height", "width"))
+    return lines.select("page_id", "det_idx", "part", F.round("conf", 6).alias("conf"), *(F.col(f"box.{c}").alias(c) for c in BOX))
+
+
+def _echo() -> Callable[[list], list]:
+    """A stand-in recognizer: the text is the number of points, the score grows with it."""
+    return lambda items: [(f"{len(p)} points", 1 - 1 / (1 + len(p))) for p in items]
+
+
+def _by_width() -> Callable[[list], list]:
+    """A stand-in classifier: wide lines are latin, others cyrillic; polygons of more than six points fail."""
+
+    def label(p) -> tuple[str, float]:
+        if len(p) > 6:
+            raise ValueError("too many points")
+        xs = [q["x"] for q in p]
+        return ("latin", 0.9) if max(xs) - min(xs) > 1000 else ("cyrillic", 0.8)
+
+    return lambda items: [label(p) for p in items]
+
+
+def page_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Raw detections to nested page records with both layout documents, by stand-in models."""
+    raw = table(spark, d, "detections").withColumn("polygon", F.col("polygon").cast(detections.POLYGON))
+    s = Session.of({"latin": _echo, "cyrillic": _echo}, _by_width)
+    docs = s.process(raw, _sizes(spark, d))
+    out = xml.add_documents(docs, s.steps("RFDETR", "RFDETR", "LATIN_TROCR_AND_CYRILLIC_TROCR"), scripts=True)
+    return out.select("page_id", pages.line_count(F.col("regions")).alias("n_lines"), pages.page_json(docs).alias("json"), F.length("alto").alias("alto_length"), F.length("page_xml").alias("page_length"))
+
+
+def page_records(spark: SparkSession, d: str) -> DataFrame:
+    """Nested records of the recognized lines of line_text: assembled, counted and flattened again."""
+    lines = distinct_lines(spark, d).where("region_pos is not null and line_pos is not null")
+    regions = lines.select("page_id", "region_pos").distinct().select("page_id", "region_pos", F.lit("paragraph").alias("name"), F.lit(None).cast(lines.schema["polygon"].dataType).alias("polygon"), F.lit(None).cast("double").alias("conf"))
+    docs = pages.page_documents(_sizes(spark, d), regions, lines, pages.page_stats(lines, "page_id")).where(F.size("regions") > 0)
+    flat = pages.flatten_lines(docs)
+    return flat.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
+
+
+# Recognition
+
+
+def script_argmax(spark: SparkSession, d: str) -> DataFrame:
+    e = X.logits(spark, d).withColumn("r", recognize.argmax_label(F.col("logits")))
+    return e.select("vec_id", F.col("r.label").alias("script"), F.round("r.confidence", 6).alias("confidence"))
+
+
+def _failures(spark: SparkSession, d: str) -> DataFrame:
+    e = X.logits(spark, d).withColumn("r", recognize.argmax_label(F.col("logits")))
+    ok = F.col("vec_id") % 17 != 0
+    return e.select(F.col("label").alias("grp"), "vec_id", F.when(ok, F.col("r.label")).alias("script"), F.when(ok, F.col("r.confidence")).alias("confidence"))
+
+
+def script_fallback(spark: SparkSession, d: str) -> DataFrame:
+    f = recognize.fallback_labels(_failures(spark, d), "grp", "vec_id", "script", "confidence")
+    return f.select("grp", "vec_id", "predicted_label", F.round("confidence", 6).alias("confidence"), "fallback")
+
+
+def route_by_label(spark: SparkSession, d: str) -> DataFrame:
+    f = recognize.fallback_labels(_failures(spark, d), "grp", "vec_id", "script", "confidence")
+    return recognize.group_by_label(f, "grp", "vec_id", "predicted_label").select("grp", "predicted_label", "n", "first", "label_pos")
+
+
+def model_names(spark: SparkSession, d: str) -> DataFrame:
+    f = recognize.fallback_labels(_failures(spark, d), "grp", "vec_id", "script", "confidence")
+    kinds = f.groupBy("grp").agg(F.max(F.when(F.col("predicted_label") == "latin", F.lit("PPOCRV6_MEDIUM_REC"))).alias("l"), F.max(F.when(F.col("predicted_label") == "cyrillic", F.lit("TROCR"))).alias("c"))
+    kinds = kinds.select("grp", recognize.recognition_type(F.col("l"), F.col("c")).alias("model_type"))
+    return recognize.used_models(f, "grp", "vec_id", "predicted_label", {"latin": "L", "cyrillic": "C"}).join(kinds, "grp")
+
+
+def sequence_score(spark: SparkSession, d: str) -> DataFrame:
+    e = X.logits(spark, d)
+    logp = F.transform("embedding", lambda x: -F.abs(x.cast("double")))
+    tokens = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: F.when(i == F.col("vec_id") % 64, 1).otherwise(0))
+    return e.select("vec_id", F.round(recognize.sequence_score(logp, tokens, F.lit(1)), 6).alias("score"))
+
+
+# Nested records
 
 
 def p7_tables(spark: SparkSession, d: str) -> nested.PageTables:
@@ -29,9 +286,84 @@ def p7_variants(spark: SparkSession, d: str) -> DataFrame:
     return p7_tables(spark, d).variants()
 
 
+_QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    page_stats, doc_stats, long_rows, has_letters, page_languages_stored, stats_text, run_summary, image_inventory, pages_never_read,
+    small_polygon_filter, sliver_filter, interval_iou_pairs, merge_edges, merge_components, merged_confidence, merged_polygons,
+    line_region, regions_without_lines, default_region, ignored_region_lines, reading_rank, cyclic_pages, reading_order, width_batches,
+    region_ids, points_text, text_extent, detections_routed, detections_clean, page_documents, page_records,
+    script_argmax, script_fallback, route_by_label, model_names, sequence_score, p7_found, p7_points, p7_variants,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p7_found": p7_found, "p7_points": p7_points, "p7_variants": p7_variants}
+    return {q.__name__: q for q in _QUERIES}
+
+
+_LINES = "(SELECT line_id, any_value(page_id) page_id, any_value(text) AS text, any_value(conf) conf, any_value(region_pos) region_pos, any_value(line_pos) line_pos FROM line_text GROUP BY line_id)"
+_STATS = """round(avg(c), 6) "PC", round(quantile_cont(c, 0.25), 8) "PC25", round(median(c), 8) "PC50", round(quantile_cont(c, 0.75), 8) "PC75",
+  count(*) FILTER (length(coalesce(t, '')) > 100) "N_LONG_ROWTEXT" """
+_B = f"WITH b AS ({X.BOXES})"
+_BIG = f"{_B}, g AS (SELECT * FROM b WHERE (x1 - x0) * (y1 - y0) / {float(X.SIDE**2)} > 7e-05)"
+_PAIR = """s AS (SELECT a.p, a.k a, b.k b, greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0) i,
+  (a.x1 - a.x0) * (a.y1 - a.y0) aa, (b.x1 - b.x0) * (b.y1 - b.y0) ab,
+  greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0) / (greatest(a.y1, b.y1) - least(a.y0, b.y0)) v
+  FROM {t} a JOIN {t} b ON a.p = b.p AND a.k < b.k AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1)"""
+_EDGE = f"{_BIG}, {_PAIR.format(t='g')}, e AS (SELECT p, a, b FROM s WHERE i / (aa + ab - i) * v > 0.3 OR i / least(aa, ab) * v > 0.5)"
+_COMP = f"""{_EDGE.replace('WITH b AS', 'WITH RECURSIVE b AS')}, u AS (SELECT p, a x, b y FROM e UNION SELECT p, b, a FROM e),
+  w AS (SELECT DISTINCT p, x node, x other FROM u UNION SELECT w.p, w.node, u.y FROM w JOIN u ON u.p = w.p AND u.x = w.other),
+  m AS (SELECT p, node, min(other) root FROM w GROUP BY p, node)"""
+_R = f"{_B}, r AS ({X.REGIONS})"
+_BEST = f"""{_R}, j AS (SELECT b.p, b.k, r.rid,
+    greatest(least(b.x1, r.x1) - greatest(b.x0, r.x0), 0) * greatest(least(b.y1, r.y1) - greatest(b.y0, r.y0), 0) i,
+    (b.x1 - b.x0) * (b.y1 - b.y0) + (r.x1 - r.x0) * (r.y1 - r.y0) s,
+    greatest(b.x0 - r.x1, r.x0 - b.x1, 0) dx, greatest(b.y0 - r.y1, r.y0 - b.y1, 0) dy FROM b JOIN r ON b.p = r.p),
+  q AS (SELECT *, row_number() OVER (PARTITION BY p, k ORDER BY i / (s - i) DESC, CASE WHEN i > 0 THEN 0 ELSE sqrt(dx * dx + dy * dy) END, rid) n FROM j)"""
+_RANK = f"""{_B}, f AS (SELECT u.p, u.k, count(v.k) FILTER (CASE WHEN least(u.y1, v.y1) - greatest(u.y0, v.y0) > 0.5 * least(u.y1 - u.y0, v.y1 - v.y0)
+    THEN (CASE WHEN v.k < u.k THEN v.x0 < u.x0 ELSE NOT u.x0 < v.x0 END) ELSE (CASE WHEN v.k < u.k THEN v.y0 < u.y0 ELSE NOT u.y0 < v.y0 END) END) indegree
+  FROM b u LEFT JOIN b v ON u.p = v.p AND u.k <> v.k GROUP BY u.p, u.k)"""
+_ARG = """z AS (SELECT vec_id, label grp, CAST(embedding[1] AS DOUBLE) l0, CAST(embedding[2] AS DOUBLE) l1 FROM embeddings),
+  y AS (SELECT *, CASE WHEN l0 >= l1 THEN 'cyrillic' ELSE 'latin' END script, 1 / (exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1))) c FROM z)"""
+_FALL = f"""WITH {_ARG}, g AS (SELECT grp, script, count(*) n, min(vec_id) f FROM y WHERE vec_id % 17 <> 0 GROUP BY ALL),
+  h AS (SELECT grp, arg_max(script, n * 1000000000 - f) best FROM g GROUP BY grp),
+  o AS (SELECT y.grp, vec_id, CASE WHEN vec_id % 17 <> 0 THEN script ELSE coalesce(best, 'latin') END predicted_label,
+    CASE WHEN vec_id % 17 <> 0 THEN round(c, 6) END confidence, vec_id % 17 = 0 AS fallback FROM y LEFT JOIN h USING (grp))"""
+_EXT = "('" + "', '".join(e for x in images.EXTENSIONS for e in (x, x.upper())) + "')"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    p = "x0, y0, x1, y1"
+    corner = "concat_ws(' ', {0} || ',' || {1}, {2} || ',' || {1}, {2} || ',' || {3}, {0} || ',' || {3})"
+    cast = [f"CAST(trunc({c}) AS INT)" for c in ("x0 - 500.7", "y0", "x1", "y1")]
+    return {
+        "page_stats": f"SELECT page_id, {_STATS} FROM (SELECT page_id, text t, CASE WHEN isfinite(conf) THEN conf END c FROM {_LINES}) GROUP BY page_id",
+        "doc_stats": f"SELECT doc_id, {_STATS} FROM (SELECT *, conf c FROM ({X.DOC_LINES})) GROUP BY doc_id",
+        "long_rows": f"SELECT doc_id, count(*) n_long FROM ({X.DOC_LINES}) WHERE length(t) > 100 GROUP BY doc_id",
+        "has_letters": "SELECT doc_id, coalesce(regexp_matches(text, '\\p{L}'), false) letters FROM documents",
+        "page_languages_stored": "SELECT DISTINCT page_id, CASE WHEN regexp_full_match(language, '[a-zA-Z]{1,8}(-[a-zA-Z0-9]{1,8})*') AND lower(language) <> 'unknown' THEN language END lang FROM page_info",
+        "stats_text": f"SELECT doc_id, 'PC25=' || round(quantile_cont(conf, 0.25), 3) || ';PC50=' || round(median(conf), 3) || ';PC75=' || round(quantile_cont(conf, 0.75), 3) || ';N_LONG_ROWTEXT=' || count(*) FILTER (length(t) > 100) settings FROM ({X.DOC_LINES}) GROUP BY doc_id",
+        "run_summary": "SELECT count(*) FILTER (height >= 0 AND length <> 0) n_ok, count(*) FILTER (height < 0) n_err FROM (SELECT DISTINCT ON (path) * FROM page_images)",
+        "image_inventory": f"SELECT DISTINCT ON (path) path, regexp_replace(regexp_extract(path, '[^/]*$'), '(.)\\.[^.]*$', '\\1') stem, regexp_replace(path, '/?[^/]*$', '') folder, height, width FROM page_images WHERE regexp_extract(path, '\\.([^./]+)$', 1) IN {_EXT}",
+        "pages_never_read": f"SELECT DISTINCT page_id FROM page_images WHERE regexp_extract(path, '\\.([^./]+)$', 1) IN {_EXT} AND page_id NOT IN (SELECT page_id FROM line_text WHERE page_id IS NOT NULL)",
+        "small_polygon_filter": f"{_BIG} SELECT p, k FROM g",
+        "sliver_filter": f"{_B} SELECT p, k FROM b WHERE least(x1 - x0, y1 - y0) > {X.SIDE * 0.01}",
+        "interval_iou_pairs": f"{_B}, {_PAIR.format(t='b')} SELECT p, a, b, round(v, 6) v, round(i / (aa + ab - i), 6) iou FROM s",
+        "merge_edges": f"{_EDGE} SELECT * FROM e",
+        "merge_components": f"{_COMP} SELECT * FROM m",
+        "merged_confidence": f"{_COMP} SELECT p, root, round(avg(conf), 6) conf, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 FROM m JOIN g USING (p) WHERE g.k = m.node GROUP BY p, root",
+        "line_region": f"{_BEST} SELECT p, k, rid, round(i / (s - i), 6) iou FROM q WHERE n = 1",
+        "regions_without_lines": f"{_BEST} SELECT p, rid FROM r WHERE (p, rid) NOT IN (SELECT (p, rid) FROM q WHERE n = 1)",
+        "default_region": f"SELECT o_orderkey p, '0' id, 'paragraph' AS name, 0.0::DOUBLE conf, 0.0::DOUBLE x0, 0.0::DOUBLE y0, {X.SIDE}.0::DOUBLE x1, {X.SIDE}.0::DOUBLE y1 FROM orders WHERE o_orderstatus = 'F'",
+        "ignored_region_lines": f"{_R}, c AS (SELECT b.p, b.k, coalesce(bool_or(rid = 1), false) ign, coalesce(bool_or(rid <> 1), false) kept FROM b LEFT JOIN r ON b.p = r.p AND (b.x0 + b.x1) / 2 BETWEEN r.x0 AND r.x1 AND (b.y0 + b.y1) / 2 BETWEEN r.y0 AND r.y1 GROUP BY b.p, b.k) SELECT p, k FROM c WHERE kept OR NOT ign",
+        "reading_rank": f"{_RANK} SELECT * FROM f",
+        "cyclic_pages": f"{_RANK} SELECT p FROM f GROUP BY p HAVING count(DISTINCT indegree) < count(*)",
+        "width_batches": f"{_B} SELECT p, k, CAST((row_number() OVER (PARTITION BY p ORDER BY (x1 - x0) / (y1 - y0), k) - 1) // 2 AS INTEGER) batch FROM b",
+        "region_ids": f"{_R} SELECT p, rid, CASE rid WHEN 2 THEN 'id_9_a_0' ELSE 'paragraph_' || rid END id FROM r",
+        "points_text": f"{_B} SELECT p, k, {corner.format(*cast)} alto, {corner.format(*(f'greatest({c}, 0)' for c in cast))} page FROM b",
+        "text_extent": f"{_B}, t AS (SELECT p, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 FROM b GROUP BY p) SELECT p, {p}, greatest({X.SIDE} - x1, 0) right_width, greatest({X.SIDE} - y1, 0) bottom_height FROM t",
+        "page_records": f"SELECT page_id, count(*) n_lines, CAST(sum(length(coalesce(text, ''))) AS BIGINT) n_chars FROM {_LINES} WHERE region_pos IS NOT NULL AND line_pos IS NOT NULL AND page_id IN (SELECT page_id FROM page_images WHERE height > 0) GROUP BY page_id",
+        "script_argmax": f"WITH {_ARG} SELECT vec_id, script, round(c, 6) confidence FROM y",
+        "script_fallback": f"{_FALL} SELECT * FROM o",
+        "route_by_label": f"{_FALL}, k AS (SELECT grp, predicted_label, count(*) n, min(vec_id) AS first FROM o GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY grp ORDER BY first) - 1 AS INTEGER) label_pos FROM k",
+        "model_names": f"{_FALL}, k AS (SELECT grp, predicted_label l, min(vec_id) f FROM o GROUP BY ALL) SELECT grp, string_agg(CASE l WHEN 'latin' THEN 'L' ELSE 'C' END, ' and ' ORDER BY f) model_name, CASE WHEN count(*) = 2 THEN 'LATIN_PPOCRV6_AND_CYRILLIC_TROCR' WHEN min(l) = 'latin' THEN 'PPOCRV6_MEDIUM_REC' ELSE 'TROCR' END model_type FROM k GROUP BY grp",
+        "sequence_score": "SELECT vec_id, round(exp(-list_sum(list_transform(embedding[1:vec_id % 64 + 1], lambda x: abs(CAST(x AS DOUBLE)))) / (vec_id % 64 + 1)), 6) score FROM embeddings",
+    }
