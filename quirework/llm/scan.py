@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -49,8 +49,10 @@ RARE = 0.1
 COST = 1.0
 
 _BACK: dict[str, list[str]] = {}
+_FORTH: dict[str, list[str]] = {}
 for _true, _seen in GLYPHS:
     _BACK.setdefault(_seen, []).append(_true)
+    _FORTH.setdefault(_true, []).append(_seen)
 _TOKEN = re.compile(r"[^\W_]+(?:[!|]+[^\W_]+)*[!|]?|[!|][^\W_]+")
 _DIVIDED = re.compile(rf"[^\W\d_][{DIVISION}]\s*$")
 _ACROSS = re.compile(rf"(?<=[^\W\d_])[{DIVISION}]\s*\n\s*(?=[^\W\d_])")
@@ -243,31 +245,38 @@ def learn_vectors(counts: np.ndarray, size: int = 16, steps: int = 150, negative
     return w, c
 
 
-def glyph_sources(word: str, known: dict[str, int], most: int = 2) -> dict[str, int]:
-    """Lexicon words that at most ``most`` glyph edits turn into ``word``, with the edits."""
+def glyph_forms(words: Iterable[str]) -> dict[str, list[str]]:
+    """What one glyph edit makes of the words: form to its words. Bounded by the lexicon: a word has few such forms."""
+    forms: dict[str, list[str]] = {}
+    for w in words:
+        for i in range(len(w)):
+            for true in (w[i], w[i : i + 2]) if i + 1 < len(w) else (w[i],):
+                for seen in _FORTH.get(true, ()):
+                    f = w[:i] + seen + w[i + len(true) :]
+                    if w not in forms.setdefault(f, []):
+                        forms[f].append(w)
+    return forms
+
+
+def glyph_sources(word: str, known: Container[str], forms: dict[str, list[str]]) -> dict[str, int]:
+    """Lexicon words that one glyph edit, or else two in a long word, turns into ``word``, with the number of edits."""
+    one = forms.get(word)
+    if one:
+        return dict.fromkeys(one, 1)
     found: dict[str, int] = {}
-    level = {word}
-    seen = {word}
-    for edits in range(1, most + 1 if len(word) >= 6 else 2):
-        nxt = set()
-        for s in level:
-            for i in range(len(s)):
-                for seen_as in (s[i], s[i : i + 2]):
-                    for true in _BACK.get(seen_as, ()) if seen_as else ():
-                        t = s[:i] + true + s[i + len(seen_as) :]
-                        if t not in seen:
-                            seen.add(t)
-                            nxt.add(t)
-                            if t in known and t not in found:
-                                found[t] = edits
-        if found:
-            break
-        level = nxt
+    if len(word) >= 6:  # undo one edit; what is left must be one edit from a word
+        for i in range(len(word)):
+            for seen in (word[i], word[i : i + 2]) if i + 1 < len(word) else (word[i],):
+                for true in _BACK.get(seen, ()):
+                    for w in forms.get(word[:i] + true + word[i + len(seen) :], ()):
+                        if w != word:
+                            found[w] = 2
     return found
 
 
 def _linking(counts: dict[str, int]):
     """Distinct rare words to (word, source, edits)."""
+    forms = glyph_forms(counts)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -276,7 +285,7 @@ def _linking(counts: dict[str, int]):
                 bare = w.strip("!|")
                 if len(bare) < 2 or bare in counts or w.isdigit() or not any(map(str.isalpha, w)):
                     continue
-                for t, e in glyph_sources(w, counts).items():
+                for t, e in glyph_sources(w, counts, forms).items():
                     if n < RARE * counts[t]:
                         rows.append((w, t, e))
             yield pd.DataFrame(rows, columns=["word", "source", "edits"])
