@@ -39,7 +39,7 @@ def fallback_labels(df: DataFrame, group: str, idx: str, label: str, confidence:
     label; the result is one row per group, joined back. Without ``default`` a group of failures keeps null labels.
     """
     n = df.where(F.col(label).isNotNull()).groupBy(group, label).agg(F.count(F.lit(1)).alias("_n"), F.min(idx).alias("_first"))
-    best = n.groupBy(group).agg(F.max_by(label, F.struct("_n", -F.col("_first"))).alias("_best"))
+    best = n.groupBy(group).agg(F.min_by(label, F.struct(-F.col("_n"), F.col("_first"))).alias("_best"))
     j = df.join(best, group, "left")
     failed = F.col(label).isNull()
     return j.select(

@@ -27,13 +27,13 @@ def distinct_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_stats(spark: SparkSession, d: str) -> DataFrame:
-    p = pages.page_stats(distinct_lines(spark, d), "page_id")
-    return p.select("page_id", F.round("PC", 6).alias("PC"), *(F.round(c, 8).alias(c) for c in ("PC25", "PC50", "PC75")), "N_LONG_ROWTEXT")
+    p = pages.page_stats(distinct_lines(spark, d), "page_id")  # means at 12 decimals: at fewer, some lie between two roundings
+    return p.select("page_id", F.round("PC", 12).alias("PC"), *(F.round(c, 8).alias(c) for c in ("PC25", "PC50", "PC75")), "N_LONG_ROWTEXT")
 
 
 def doc_stats(spark: SparkSession, d: str) -> DataFrame:
     p = pages.page_stats(X.doc_lines(spark, d), "doc_id", text="t")
-    return p.select("doc_id", F.round("PC", 6).alias("PC"), *(F.round(c, 8).alias(c) for c in ("PC25", "PC50", "PC75")), "N_LONG_ROWTEXT")
+    return p.select("doc_id", F.round("PC", 12).alias("PC"), *(F.round(c, 8).alias(c) for c in ("PC25", "PC50", "PC75")), "N_LONG_ROWTEXT")
 
 
 def long_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -300,7 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _LINES = "(SELECT line_id, any_value(page_id) page_id, any_value(text) AS text, any_value(conf) conf, any_value(region_pos) region_pos, any_value(line_pos) line_pos FROM line_text GROUP BY line_id)"
-_STATS = """round(avg(c), 6) "PC", round(quantile_cont(c, 0.25), 8) "PC25", round(median(c), 8) "PC50", round(quantile_cont(c, 0.75), 8) "PC75",
+_STATS = """round(avg(c), 12) "PC", round(quantile_cont(c, 0.25), 8) "PC25", round(median(c), 8) "PC50", round(quantile_cont(c, 0.75), 8) "PC75",
   count(*) FILTER (length(coalesce(t, '')) > 100) "N_LONG_ROWTEXT" """
 _B = f"WITH b AS ({X.BOXES})"
 _BIG = f"{_B}, g AS (SELECT * FROM b WHERE (x1 - x0) * (y1 - y0) / {float(X.SIDE**2)} > 7e-05)"
