@@ -69,8 +69,10 @@ def sketches(stats: DataFrame) -> DataFrame:
 
 
 def merge(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Sketches of several languages, days or parts as one."""
-    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(s).alias(s) for s in STATS))
+    """Sketches of several languages, days or parts as one per ``keys``; without keys all as one, no row of no parts."""
+    whole = F.lit(0).alias("_whole")
+    m = parts.groupBy(*(keys or [whole])).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(s).alias(s) for s in STATS))
+    return m.drop("_whole")
 
 
 def limits(sk: DataFrame, prefix: str, stats: list[str]) -> list[Column]:
