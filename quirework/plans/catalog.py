@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quirework.functions import langid
 from quirework.functions import scalars as S
 from quirework.operators import detections, layout, nested, pages, recognize, xml
 from quirework.plans import fixtures as X
@@ -69,6 +70,14 @@ def pages_never_read(spark: SparkSession, d: str) -> DataFrame:
     return i.join(table(spark, d, "line_text").select("page_id"), "page_id", "left_anti")
 
 
+def page_language(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of pages by a trigram scorer trained on the pages' stored labels."""
+    lines = distinct_lines(spark, d)
+    labels = table(spark, d, "page_info").where(F.col("language").isin(list(pages.LANGUAGES))).select("page_id", "language").distinct()
+    train = langid.trigram_counts(lines.join(labels, "page_id"), "text", "language")
+    return pages.page_language(lines, "page_id", langid.scorer(train))
+
+
 # Boxes
 
 
@@ -287,7 +296,7 @@ def p7_variants(spark: SparkSession, d: str) -> DataFrame:
 
 
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    page_stats, doc_stats, long_rows, has_letters, page_languages_stored, stats_text, run_summary, image_inventory, pages_never_read,
+    page_stats, doc_stats, long_rows, has_letters, page_languages_stored, stats_text, run_summary, image_inventory, pages_never_read, page_language,
     small_polygon_filter, sliver_filter, interval_iou_pairs, merge_edges, merge_components, merged_confidence, merged_polygons,
     line_region, regions_without_lines, default_region, ignored_region_lines, reading_rank, cyclic_pages, reading_order, width_batches,
     region_ids, points_text, text_extent, detections_routed, detections_clean, page_documents, page_records,
