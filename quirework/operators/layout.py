@@ -13,6 +13,8 @@ from quirework.operators.components import spread_rank
 from quirework.operators.detections import overlap_pairs
 from quirework.runtime import save
 
+#: Boxes of a page that one task sorts; pages with more are ranked over several tasks, with the same result.
+LARGE_PAGE = 500_000
 #: A line farther than this from every region has none.
 FAR = 1_000_000.0
 
@@ -72,9 +74,12 @@ def predecessors(df: DataFrame, page: str, idx: str, rtl: bool = False) -> DataF
     one; equal anchors put the later index first. Counting by y is a rank; only the pairs in which x decides
     otherwise correct it, so not all pairs of a page are formed.
     """
-    keys = [page]
     base = save(df.withColumns({"_y": F.col("box.y0"), "_i": F.col(idx)})).df
-    ranked = spread_rank(base, keys, [F.col("_y").asc(), F.col("_i").desc()], "_byy")
+    order = [F.col("_y").asc(), F.col("_i").desc()]
+    if base.groupBy(page).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LARGE_PAGE).limit(1).count():
+        ranked = spread_rank(base, [page], order, "_byy")
+    else:
+        ranked = base.withColumn("_byy", (F.row_number().over(Window.partitionBy(page).orderBy(*order)) - 1).cast("long"))
     a, b = F.col("box_a"), F.col("box_b")
     shared = F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"])
     same_row = shared > 0.5 * F.least(a["y1"] - a["y0"], b["y1"] - b["y0"])
