@@ -48,7 +48,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     A label list is a small file, read as one value so that its order is kept.
     """
     text = spark.read.text(path, wholetext=True)
-    lines = F.filter(F.transform(F.split("value", r"\r?\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split("value", r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
     return text.select(F.posexplode(lines).alias("id", "label"))
 
 

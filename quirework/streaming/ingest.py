@@ -32,7 +32,11 @@ def latest_lines(lines: DataFrame, late: str = "30 days") -> DataFrame:
 
 
 def daily_stats(lines: DataFrame, late: str = "30 days", by: tuple[str, ...] = ("source",)) -> DataFrame:
-    """``day, by..., n, n_long, mean_conf`` by day of delivery, closed once ``late`` has passed."""
+    """``day, by..., n, n_long, mean_conf`` by day of delivery, closed once ``late`` has passed.
+
+    For deliveries that come again, write ``latest_lines`` to a table first and stream from that: each query keeps one
+    state and may run in any output mode.
+    """
     c = F.when(S.is_finite(F.col("conf")), F.col("conf"))
     w = F.window("written_at", "1 day")
     g = lines.withWatermark("written_at", late).groupBy(w.alias("_w"), *by)
