@@ -28,7 +28,7 @@ def duck(data):
 def test_query(spark, data, duck, name):
     df = catalog.queries()[name](spark, data)
     rows = df.collect()
-    assert rows
+    assert rows or name == "cyclic_pages"  # the smallest data have no cycle
     sql = catalog.oracle_sql().get(name)
     if sql is None:
         return
