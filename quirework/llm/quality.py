@@ -90,9 +90,13 @@ def scored(stats: DataFrame, tail: float = 3.0, least: int = 30) -> DataFrame:
     by_lang = sketches(stats.where("n_words > 0 or symbol_share > 0"))
     by_lang = save(by_lang).df
     own = by_lang.where(F.col("n") >= least).select("lang", *limits(by_lang, "_o_", STATS))
-    every = merge(by_lang, []).select("n", *limits(by_lang, "_a_", STATS))
+    # one row: the pooled limits become literals
+    every = merge(by_lang, []).select("n", *limits(by_lang, "_a_", STATS)).first()
+    pooled = every.asDict() if every else {}
     own = own.withColumnRenamed("lang", "_lang")
-    j = stats.join(small(own), F.col("lang").eqNullSafe(F.col("_lang")), "left").join(F.broadcast(every), F.lit(True), "left")
+    j = stats.join(small(own), F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    limit_names = ["n", *(f"_a_{s}_{k}" for s in STATS for k in ("mid", "scale"))]
+    j = j.withColumns({c: F.lit(pooled.get(c)).cast("long" if c == "n" else "double") for c in limit_names})
 
     def z(s: str, p: str) -> Column:
         return (F.col(s) - F.col(f"{p}{s}_mid")) / F.col(f"{p}{s}_scale")
