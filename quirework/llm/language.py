@@ -181,7 +181,7 @@ def passages(texts: list[str | None], model: Model, sentences: bool = True) -> t
     for i, t in enumerate(texts):
         if not t:
             continue
-        tokens = _TOKEN.findall(_DIVIDED.sub("", K.readable(t)).lower())
+        tokens = _TOKEN.findall(K.readable(_DIVIDED.sub("", t)).lower())
         if sentences:
             for w in tokens:
                 if w[0].isalpha():
@@ -249,7 +249,7 @@ def languages_of(texts: list[str | None], model: Model) -> list[list[tuple[str,
 
 
 def words_by_label(text: str) -> list[str]:
-    return [t for t in _TOKEN.findall(_DIVIDED.sub("", K.readable(text)).lower()) if t[0].isalpha()]
+    return [t for t in _TOKEN.findall(K.readable(_DIVIDED.sub("", text)).lower()) if t[0].isalpha()]
 
 
 def fit_labelled(rows: pd.DataFrame) -> Model:

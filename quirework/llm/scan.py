@@ -40,6 +40,7 @@ GLYPHS = [
     ("о", "0"), ("а", "д"), ("и", "н"), ("н", "и"), ("е", "с"), ("л", "п"), ("п", "л"), ("ь", "ъ"), ("т", "г"), ("в", "8"), ("з", "3"), ("б", "6"), ("ш", "щ"), ("ц", "ч"), ("ё", "е"), ("й", "и"),
 ]
 DIVISION = "-¬=⸗­‐"
+_SOFT = re.compile(r"\xad(?=\s*\n)")
 LINE_LIMIT = 110
 LEXICON_LIMIT = 65_536
 CONTEXTS = 256
@@ -178,7 +179,8 @@ def _prepared(text: str) -> tuple[str, list[tuple[int, int]], dict[int, str], se
     """Joined text, line starts, furniture, divided lines, lines, whether it is cut into lines; None if not running text."""
     if not text or text.isspace() or K.kind_of(text) is not None:
         return None
-    lines = text.split("\n")
+    # a soft hyphen that divides a word must outlive the removal of invisible characters
+    lines = K.readable(_SOFT.sub("-", text)).split("\n")
     marks = furniture(lines) if len(lines) > 2 else {}
     body, divided = layout(lines, marks)
     whole, starts = joined(lines, body, divided)
@@ -195,7 +197,7 @@ def _counting(lexicon: list[str]):
         for f in frames:
             ids: list[int] = []
             for t in f["text"]:
-                words = _TOKEN.findall(_ACROSS.sub("", K.readable(t)).lower())
+                words = _TOKEN.findall(K.readable(_ACROSS.sub("", t)).lower())
                 counts.update(words)
                 if "!" in t or "|" in t:
                     counts.update(w.rstrip("!|") for w in words if w[-1] in "!|")
@@ -377,19 +379,13 @@ def noise(text: str | None, corrector: Corrector) -> list[tuple[int, str]]:
     whole, starts, marks, divided, _, cut = p
     out = {(i, k) for i, k in marks.items()} | {(i, "hyphen") for i in divided}
     if cut and whole:
-        for at, _, _ in misread(_same_length(whole), corrector):
+        for at, _, _ in misread(whole, corrector):
             out.add((_line_of(starts, at), "misread"))
     return sorted(out)
 
 
-def _same_length(whole: str) -> str:
-    """Readable text if that keeps positions, else the text itself."""
-    r = K.readable(whole)
-    return r if len(r) == len(whole) else whole
-
-
 def repair(text: str | None, corrector: Corrector) -> str | None:
-    """Paragraphs of the text: no furniture, no divided or misread words; a blank or indented line begins a new one."""
+    """Paragraphs of the text in its readable characters: no furniture, no divided or misread words; a blank or indented line begins a new one."""
     p = _prepared(text) if text else None
     if p is None:
         return text
@@ -419,7 +415,7 @@ def repair(text: str | None, corrector: Corrector) -> str | None:
             continue
         s = " ".join(q)
         if cut:
-            for at, written, better in reversed(misread(_same_length(s), corrector)):
+            for at, written, better in reversed(misread(s, corrector)):
                 start = max(0, at - len(written))
                 k = s.find(written, start)
                 if k >= 0:

@@ -26,11 +26,11 @@ _SURELY_CYRILLIC = re.compile("[бвгджзийклмнптфцчшщъыьэю
 
 def plain(text: str) -> str:
     """The text composed, without invisible characters, in forms and spaces of usual width. Letters stay as stored."""
-    if text.isascii():
-        return text
-    if _ODD.search(text):
-        text = _ODD.sub(lambda m: _FORMS[m[0]], text)
-    return unicodedata.normalize("NFC", text)
+    return text if text.isascii() else unicodedata.normalize("NFC", _formed(text))
+
+
+def _formed(text: str) -> str:
+    return _ODD.sub(lambda m: _FORMS[m[0]], text) if _ODD.search(text) else text
 
 
 def _one_script(m: re.Match) -> str:
@@ -40,12 +40,15 @@ def _one_script(m: re.Match) -> str:
 
 def readable(text: str) -> str:
     """``plain``, with look-alike letters in the script of their word; words of look-alikes alone follow the text."""
-    text = plain(text)
-    if text.isascii() or not _ALIKE.search(text):
+    if text.isascii():
         return text
-    if 5 * len(_SURELY_CYRILLIC.findall(text)) > len(text):
-        return _MIXED.sub(lambda m: _one_script(m) if not m[0].isascii() and _MIXED_ONLY.search(m[0]) else m[0], text)
-    return _MIXED.sub(_one_script, text)
+    text = _formed(text)
+    if _ALIKE.search(text):  # before accents are composed: a Cyrillic letter with a Latin accent has a form of its own
+        if 5 * len(_SURELY_CYRILLIC.findall(text)) > len(text):
+            text = _MIXED.sub(lambda m: _one_script(m) if not m[0].isascii() and _MIXED_ONLY.search(m[0]) else m[0], text)
+        else:
+            text = _MIXED.sub(_one_script, text)
+    return unicodedata.normalize("NFC", text)
 
 
 _MIXED_ONLY = re.compile(r"[a-zA-ZͰ-Ͽ]")
