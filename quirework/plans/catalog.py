@@ -336,6 +336,25 @@ _FALL = f"""WITH {_ARG}, g AS (SELECT grp, script, count(*) n, min(vec_id) f FRO
   h AS (SELECT grp, arg_max(script, n * 1000000000 - f) best FROM g GROUP BY grp),
   o AS (SELECT y.grp, vec_id, CASE WHEN vec_id % 17 <> 0 THEN script ELSE coalesce(best, 'latin') END predicted_label,
     CASE WHEN vec_id % 17 <> 0 THEN round(c, 6) END confidence, vec_id % 17 = 0 AS fallback FROM y LEFT JOIN h USING (grp))"""
+_COUNT = """CASE json_type({0}) WHEN 'VARCHAR' THEN len(regexp_extract_all({0} ->> '$', '-?[\\d.]+\\s*,\\s*-?[\\d.]+'))
+  WHEN 'ARRAY' THEN CASE WHEN json_type({0}, '$[0]') IN ('ARRAY', 'OBJECT') THEN json_array_length({0}) ELSE json_array_length({0}) // 2 END ELSE 0 END"""
+
+
+def _polygon(x: str, names: tuple[str, ...]) -> str:
+    return "CASE " + " ".join(f"WHEN coalesce(json_type({x}, '$.{n}'), 'NULL') <> 'NULL' THEN {x} -> '$.{n}'" for n in names) + " END"
+
+
+def _members(x: str) -> str:
+    """An array's members, a single object as one, else none, as a list of JSON."""
+    return f"CASE json_type({x}) WHEN 'ARRAY' THEN CAST({x} AS JSON[]) WHEN 'OBJECT' THEN [{x}] ELSE [] END"
+
+
+_P7 = f"""WITH b AS (SELECT page_id, received_at, body, regexp_replace(body, '([:,\\[]\\s*)-?(NaN|Infinity)\\b', '\\1null', 'g') j FROM page_json WHERE body IS NOT NULL AND page_id IS NOT NULL),
+  v AS (SELECT page_id, CAST(j AS JSON) j, row_number() OVER (PARTITION BY page_id ORDER BY received_at DESC NULLS LAST, sha256(body) DESC) n FROM b WHERE json_valid(j) AND json_type(j) = 'OBJECT'),
+  g AS (SELECT page_id, CASE WHEN json_type(j, '$.page') = 'OBJECT' THEN j -> '$.page' ELSE j END -> '$.regions' r FROM v WHERE n = 1),
+  r AS (SELECT page_id, unnest(range(len(m))) region_pos, unnest(m) x FROM (SELECT page_id, {_members('r')} m FROM g)),
+  l AS (SELECT page_id, region_pos, unnest(range(len(m))) line_pos, unnest(m) x FROM (SELECT page_id, region_pos, {_members("(x -> '$.lines')")} m FROM r)),
+  c AS (SELECT page_id, region_pos, -1 line_pos, {_polygon('x', nested.POLYGON)} p FROM r UNION ALL SELECT page_id, region_pos, line_pos, {_polygon('x', nested.POLYGON)} FROM l)"""
 _EXT = "('" + "', '".join(e for x in images.EXTENSIONS for e in (x, x.upper())) + "')"
 
 
@@ -370,6 +389,7 @@ def oracle_sql() -> dict[str, str]:
         "points_text": f"{_B} SELECT p, k, {corner.format(*cast)} alto, {corner.format(*(f'greatest({c}, 0)' for c in cast))} page FROM b",
         "text_extent": f"{_B}, t AS (SELECT p, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 FROM b GROUP BY p) SELECT p, {p}, greatest({X.SIDE} - x1, 0) right_width, greatest({X.SIDE} - y1, 0) bottom_height FROM t",
         "page_records": f"SELECT page_id, count(*) n_lines, CAST(sum(length(coalesce(text, ''))) AS BIGINT) n_chars FROM {_LINES} WHERE region_pos IS NOT NULL AND line_pos IS NOT NULL AND page_id IN (SELECT page_id FROM page_images WHERE height > 0) GROUP BY page_id",
+        "p7_found": f"{_P7} SELECT page_id, CAST(region_pos AS INTEGER) region_pos, CAST(line_pos AS INTEGER) line_pos, CAST(coalesce({_COUNT.format('p')}, 0) AS INTEGER) n_points FROM c",
         "script_argmax": f"WITH {_ARG} SELECT vec_id, script, round(c, 6) confidence FROM y",
         "script_fallback": f"{_FALL} SELECT * FROM o",
         "route_by_label": f"{_FALL}, k AS (SELECT grp, predicted_label, count(*) n, min(vec_id) AS first FROM o GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY grp ORDER BY first) - 1 AS INTEGER) label_pos FROM k",
