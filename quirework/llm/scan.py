@@ -109,8 +109,8 @@ def furniture(lines: list[str]) -> dict[int, str]:
         least, most = min(map(len, titles.values())) - 4, max(map(len, titles.values())) + 5
         other = {}
         for i, x in enumerate(lines):
-            # a heading's noise may hide its form, but hardly changes its length
-            if i not in titles and len(x) <= 90 and least <= len(_SIDE.sub("", x, count=1)) <= most:
+            # a speck may hide a heading's form, but hardly changes its length
+            if i not in titles and "·" in x and len(x) <= 90 and least <= len(_SIDE.sub("", x, count=1)) <= most:
                 s = _letters(_SIDE.sub("", x, count=1))
                 if len(s) in near and any(_alike(s, f) for f in forms):
                     other[i] = s

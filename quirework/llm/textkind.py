@@ -20,7 +20,7 @@ _ALIKE = re.compile("[" + "".join(_LETTERS) + "]")
 # Latin letters that print like Cyrillic ones, and letters that are surely Cyrillic or Latin
 _BACK = str.maketrans({b: a for a, b in zip("аеорсухАВЕКМНОРСТУХ", "aeopcyxABEKMHOPCTYX", strict=True)} | {"o": "о", "ο": "о", "Ο": "О"})
 _FORTH = str.maketrans(_LETTERS)
-_MIXED = re.compile(r"\w*(?:[a-zA-ZͰ-Ͽß-ʯ][Ѐ-ԯ]|[Ѐ-ԯ][a-zA-ZͰ-Ͽß-ʯ]|[Ͱ-Ͽ])\w*|\b[" + CYRILLIC[0] + r"]+\b")
+_RUN = re.compile(r"[^\W\d_]+")
 _SURELY_CYRILLIC = re.compile("[бвгджзийклмнптфцчшщъыьэюяБГДЖЗИЙЛПФЦЧШЩЪЫЬЭЮЯ]")
 
 
@@ -33,9 +33,7 @@ def _formed(text: str) -> str:
     return _ODD.sub(lambda m: _FORMS[m[0]], text) if _ODD.search(text) else text
 
 
-def _one_script(m: re.Match) -> str:
-    w = m[0]
-    return w.translate(_BACK) if _SURELY_CYRILLIC.search(w) else w.translate(_FORTH)
+_LATIN_OR_GREEK = re.compile(r"[a-zA-ZͰ-Ͽ]")
 
 
 def readable(text: str) -> str:
@@ -44,16 +42,25 @@ def readable(text: str) -> str:
         return text
     text = _formed(text)
     if _ALIKE.search(text):  # before accents are composed: a Cyrillic letter with a Latin accent has a form of its own
-        if 5 * len(_SURELY_CYRILLIC.findall(text)) > len(text):
-            text = _MIXED.sub(lambda m: _one_script(m) if not m[0].isascii() and _MIXED_ONLY.search(m[0]) else m[0], text)
-        else:
-            text = _MIXED.sub(_one_script, text)
+        cyrillic = 5 * len(_SURELY_CYRILLIC.findall(text)) > len(text)
+        if not cyrillic or _LATIN_OR_GREEK.search(text):
+            to: dict[str, str] = {}
+            for w in set(_RUN.findall(text)):
+                if w.isascii():
+                    continue
+                mixed, alike = _LATIN_OR_GREEK.search(w), _ALIKE.search(w)
+                if mixed and _SURELY_CYRILLIC.search(w):
+                    to[w] = w.translate(_BACK)
+                elif mixed and alike:
+                    back = w.translate(_BACK)
+                    to[w] = back if cyrillic and not _LATIN_OR_GREEK.search(back) else w.translate(_FORTH)
+                elif alike and not cyrillic and not _SURELY_CYRILLIC.search(w):
+                    to[w] = w.translate(_FORTH)
+            if to:
+                text = _RUN.sub(lambda m: to.get(m[0], m[0]), text)
     return unicodedata.normalize("NFC", text)
 
 
-_MIXED_ONLY = re.compile(r"[a-zA-ZͰ-Ͽ]")
-
-
 def word_like(word: str) -> bool:
     """A number, or letters with vowels as often as words have them."""
     if word.isdigit():

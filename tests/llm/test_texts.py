@@ -275,3 +275,16 @@ def test_vectors_bring_like_words_together():
     w /= np.linalg.norm(w, axis=1, keepdims=True)
     s = w @ w.T
     assert s[0, 1] > s[0, 4] and s[3, 5] > s[3, 1]
+
+
+def test_readable_keeps_words_in_one_script():
+    for seen, shown in (
+        ("Dеrаѕ rågеn dосk", "Deras rågen dock"), ("каждый oн cын и дoм", "каждый он сын и дом"), ("en bοndekarl och över", "en bondekarl och över"),
+        ("tä lӓst och pа̊", "tä läst och på"), ("каждый сын and the дом", "каждый сын and the дом"), ("ｏｃｈ ﬁn", "och fin"), ("plain", "plain"),
+    ):
+        assert textkind.readable(seen) == shown
+
+
+def test_a_prose_line_like_a_heading_is_none():
+    lines = ["GRITOLNISKA", "Mannen gick över bron med hans", "Gritolniska.", "dotter och kom hem", "GRITOL·ISKA", "igen."]
+    assert scan.furniture(lines) == {0: "header", 4: "header"}
