@@ -3,7 +3,9 @@
 Each document is read once, as a whole. Every statistic has a mergeable quantile sketch (KLL) per language label;
 merging them gives the sketch of all documents. A value becomes a robust z-score, its distance from the median in
 units of the interquartile range. Documents in the tail of their language or of all documents are flagged, and a
-flagged document is a list, table or junk if the share concerned also passes the limit of its kind.
+flagged document is a list, table or junk if the share concerned also passes the limit of its kind. The tails are
+measured from running text (documents within all limits), and their unit is small enough for every value beyond a
+limit to lie in its tail: cases lose their kind neither by their number nor by the spread of the others.
 
 Null and blank texts have statistics of 0 and no kind. Labels are taken as stored; null labels form a group. With
 fewer than ``least`` documents there are no tails, and the limits decide alone. Ties share a score. Repeated rows
@@ -24,6 +26,8 @@ from quirework.runtime import save, small
 STATS = ["n_words", "mean_word_length", "word_like_share", "symbol_share", "common_share", "n_lines", "entry_share", "row_share", "ended_share", "marked_share"]
 #: The statistics whose tails tell a kind, with the side of the tail.
 TAILS = {"word_like_share": -1, "row_share": 1, "entry_share": 1}
+#: Beyond these a share tells the kind.
+LIMITS = {"word_like_share": K.JUNK_BELOW, "row_share": K.ROWS_ABOVE, "entry_share": K.ENTRIES_ABOVE}
 #: Smallest unit of a z-score of a share, where most values are equal.
 LEAST_SCALE = 0.03
 LEXICON_LIMIT = 1_000_000
@@ -63,15 +67,15 @@ def statistics(docs: DataFrame, doc_id: str, text: str, lang: str, lexicon: Data
     return rows.mapInPandas(run, f"doc_id string, lang string, {kinds}").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def sketches(stats: DataFrame) -> DataFrame:
+def sketches(stats: DataFrame, names: list[str] = STATS) -> DataFrame:
     """Mergeable sketches per language: ``lang, n``, and one binary column per statistic."""
-    return stats.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(F.col(s).cast("double"), F.lit(400)).alias(s) for s in STATS))
+    return stats.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(F.col(s).cast("double"), F.lit(400)).alias(s) for s in names))
 
 
-def merge(parts: DataFrame, keys: list[str]) -> DataFrame:
+def merge(parts: DataFrame, keys: list[str], names: list[str] = STATS) -> DataFrame:
     """Sketches of several languages, days or parts as one per ``keys``; without keys all as one, no row of no parts."""
     whole = F.lit(0).alias("_whole")
-    m = parts.groupBy(*(keys or [whole])).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(s).alias(s) for s in STATS))
+    m = parts.groupBy(*(keys or [whole])).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(s).alias(s) for s in names))
     return m.drop("_whole")
 
 
@@ -85,31 +89,44 @@ def limits(sk: DataFrame, prefix: str, stats: list[str]) -> list[Column]:
     return out
 
 
-def scored(stats: DataFrame, tail: float = 3.0, least: int = 30) -> DataFrame:
-    """``stats`` with ``<stat>_z`` (within the language), and ``kind``."""
-    by_lang = sketches(stats.where("n_words > 0 or symbol_share > 0"))
-    by_lang = save(by_lang).df
-    own = by_lang.where(F.col("n") >= least).select("lang", *limits(by_lang, "_o_", STATS))
+def _beyond(s: str) -> Column:
+    """Whether the share passes the limit of its kind."""
+    past = F.col(s) < LIMITS[s] if TAILS[s] < 0 else F.col(s) > LIMITS[s]
+    return past & (F.col("n_lines") > (1 if s == "entry_share" else 0))
+
+
+def _joined(stats: DataFrame, parts: DataFrame, names: list[str], least: int, prefix: str) -> DataFrame:
+    """``stats`` with the limits of their language (``<prefix>o_``), the pooled ones (``<prefix>a_``) and the pooled ``<prefix>n``."""
+    parts = save(parts).df
+    own = parts.where(F.col("n") >= least).select(F.col("lang").alias("_lang"), *limits(parts, f"{prefix}o_", names))
     # one row: the pooled limits become literals
-    every = merge(by_lang, []).select("n", *limits(by_lang, "_a_", STATS)).first()
+    every = merge(parts, [], names).select(F.col("n").alias(f"{prefix}n"), *limits(parts, f"{prefix}a_", names)).first()
     pooled = every.asDict() if every else {}
-    own = own.withColumnRenamed("lang", "_lang")
-    j = stats.join(small(own), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    limit_names = ["n", *(f"_a_{s}_{k}" for s in STATS for k in ("mid", "scale"))]
-    j = j.withColumns({c: F.lit(pooled.get(c)).cast("long" if c == "n" else "double") for c in limit_names})
+    j = stats.join(small(own), F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
+    limit_names = [f"{prefix}n", *(f"{prefix}a_{s}_{k}" for s in names for k in ("mid", "scale"))]
+    return j.withColumns({c: F.lit(pooled.get(c)).cast("long" if c == f"{prefix}n" else "double") for c in limit_names})
+
+
+def scored(stats: DataFrame, tail: float = 3.0, least: int = 30) -> DataFrame:
+    """``stats`` with ``<stat>_z`` (within the language), and ``kind``."""
+    filled = stats.where("n_words > 0 or symbol_share > 0")
+    running = filled
+    for s in TAILS:
+        running = running.where(~_beyond(s))
+    j = _joined(stats, sketches(filled), STATS, least, "_")
+    j = _joined(j, sketches(running, [*TAILS]), [*TAILS], least, "_t")
 
     def z(s: str, p: str) -> Column:
         return (F.col(s) - F.col(f"{p}{s}_mid")) / F.col(f"{p}{s}_scale")
 
     def in_tail(s: str) -> Column:
-        side = F.lit(TAILS[s])
-        of = F.greatest(F.coalesce(z(s, "_o_") * side, F.lit(0.0)), F.coalesce(z(s, "_a_") * side, F.lit(0.0)))
-        return (of >= tail) | (F.coalesce(F.col("n"), F.lit(0)) < least)
-
-    has = F.col("n_lines") > 0
-    kind = (
-        F.when(has & in_tail("word_like_share") & (F.col("word_like_share") < K.JUNK_BELOW), "junk")
-        .when(has & in_tail("row_share") & (F.col("row_share") > K.ROWS_ABOVE), "table")
-        .when(has & (F.col("n_lines") > 1) & in_tail("entry_share") & (F.col("entry_share") > K.ENTRIES_ABOVE), "list")
-    )
+        def of(p: str) -> Column:
+            mid = F.col(f"{p}{s}_mid")
+            unit = F.least(F.col(f"{p}{s}_scale"), F.abs(F.lit(LIMITS[s]) - mid) / tail)
+            return F.coalesce((F.col(s) - mid) * TAILS[s] >= unit * tail, F.lit(False))
+
+        return of("_to_") | of("_ta_") | (F.coalesce(F.col("_tn"), F.lit(0)) < least)
+
+    kind = F.when(_beyond("word_like_share") & in_tail("word_like_share"), "junk").when(_beyond("row_share") & in_tail("row_share"), "table")
+    kind = kind.when(_beyond("entry_share") & in_tail("entry_share"), "list")
     return j.select("doc_id", "lang", *STATS, *(F.coalesce(z(s, "_o_"), z(s, "_a_")).alias(f"{s}_z") for s in STATS), kind.alias("kind"))

@@ -45,6 +45,25 @@ def test_quality(spark):
     assert next(r for r in got if r.doc_id == 103).n_words == 0
 
 
+@pytest.mark.parametrize("text,kind", [(LIST, "list"), (TABLE, "table"), (JUNK[0], "junk")])
+def test_many_cases_keep_their_kind(spark, text, kind):
+    """40 % of one language and of all documents; none of the others loses or gets a kind."""
+    rows = [(i, text if i % 5 < 2 else f"{PROSE} {i}\n{PROSE}", "sv" if i % 2 else "fi") for i in range(200)]
+    rows += [(1000 + i, text, "en") for i in range(40)]  # a language of cases alone
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    stats = quality.statistics(d, "doc_id", "text", "lang", spark.createDataFrame([], "word string, is_common boolean"))
+    assert {r.doc_id: r.kind for r in quality.scored(stats).collect()} == {i: kind if t == text else None for i, t, _ in rows}
+
+
+def test_a_wide_spread_hides_no_list(spark):
+    """Verse-like texts, whose share of short lines spreads up to the limit."""
+    mixed = [f"{LIST[: LIST.index(chr(10))]}\n" * k + f"{PROSE}\n" * (10 - k) for k in range(8)]
+    rows = [(i, mixed[i % 8], "sv") for i in range(160)] + [(900, LIST, "sv")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    stats = quality.statistics(d, "doc_id", "text", "lang", spark.createDataFrame([], "word string, is_common boolean"))
+    assert [r.doc_id for r in quality.scored(stats).where("kind is not null").collect()] == [900]
+
+
 def test_quality_sketches_merge(spark):
     rows = [(i, "ord " * (i + 1), "sv" if i % 3 else "fi") for i in range(300)]
     stats = quality.statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", spark.createDataFrame([], "word string, is_common boolean"))
