@@ -11,7 +11,7 @@ search for runs that extends matches word by word.
 
 Null and blank texts have no words and a share of 0. Texts of under five words have a share of 0. Lines of a page
 that come again count once. An empty table gives no rows. Whole texts are read, however long. Pages of more than
-``MAX_PAGE_LINES`` lines are measured by shuffled word runs instead of in one task.
+``MAX_PAGE_LINES`` lines are measured by shuffled word runs instead of in one task, with the same values.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.llm import textkind as K
-from quirework.runtime import save
+from quirework.runtime import save, small
 
 RUN = 5
 LIMIT = 0.30
@@ -116,24 +116,69 @@ def page_texts(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pages.select("page_id", text.alias("text")), lines.join(F.broadcast(huge), "page_id", "left_semi")
 
 
+def _line_scripts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        out = pd.DataFrame([K.script_counts(t) for t in f["text"]], columns=["_surely", "_chars", "_alike", "_latin"])
+        out.insert(0, "page_id", f["page_id"].to_numpy())
+        yield out
+
+
+def _line_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each line its words, its lines with content (as ``measure`` compares them), and what ``is_junk`` adds up."""
+    for f in frames:
+        rows = []
+        for p, at, t, *of in zip(f["page_id"], f["_rank"], f["text"], f["_alike"], f["_cyrillic"], f["_latin"], strict=True):
+            words = K.WORD.findall(K.readable(t, K.Scripts(*map(bool, of))).lower())
+            plain = K.plain(t)
+            like, visible = K.word_like_share(K.WORD.findall(plain), 1), K.visible_chars(plain)
+            rows.append((p, at, words, [x for x in (x.strip().lower() for x in t.split("\n")) if x], int(like), visible))
+        yield pd.DataFrame(rows, columns=["page_id", "_rank", "_w", "_lines", "_like", "_visible"])
+
+
 def huge_statistics(lines: DataFrame) -> DataFrame:
-    """``repeated_share`` of pages of any size by shuffles alone: ``record_kind, record_id, n_words, STATS, junk``.
+    """What ``statistics`` gives for pages, by shuffles alone, whatever their size: ``record_kind, record_id, n_words, STATS, junk``.
 
-    Lines are ranked, words get a position from the words before their line, runs are compared by page and hash.
+    Lines are ranked and read one by one, with the scripts of their whole page; words get a position from the words
+    before their line, runs are compared by page and hash.
     """
-    one = lines.groupBy("page_id", "line_id").agg(F.min("region_pos").alias("r"), F.min("line_pos").alias("l"), F.min("text").alias("text"))
-    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    one = one.withColumn("_w", words).withColumn("_k", F.size("_w"))
-    at = F.sum("_k").over(Window.partitionBy("page_id").orderBy("r", "l", "line_id")) - F.col("_k")
-    w = one.withColumn("_at", at).select("page_id", "_at", F.posexplode("_w").alias("_p", "_word"))
+    order = ["region_pos", "line_pos", "line_id", "text"]
+    one = save(lines.select("page_id", *order).distinct().withColumn("_rank", F.row_number().over(Window.partitionBy("page_id").orderBy(*order)))).df
+    full = one.where("text is not null")
+    counts = full.select("page_id", "text").mapInPandas(_line_scripts, "page_id long, _surely long, _chars long, _alike boolean, _latin boolean")
+    cyrillic = F.sum("_surely") * 5 > F.sum("_chars") + F.count(F.lit(1)) - 1  # with the line feeds between the lines
+    scripts = counts.groupBy("page_id").agg(F.max("_alike").alias("_alike"), cyrillic.alias("_cyrillic"), F.max("_latin").alias("_latin"))
+    read = full.select("page_id", "_rank", "text").join(small(save(scripts).df), "page_id")
+    words = save(read.mapInPandas(_line_words, "page_id long, _rank long, _w array<string>, _lines array<string>, _like long, _visible long")).df
+
+    at = F.sum(F.size("_w")).over(Window.partitionBy("page_id").orderBy("_rank")) - F.size("_w")
+    w = words.select("page_id", "_w", at.alias("_at")).select("page_id", "_at", F.posexplode("_w").alias("_p", "_word"))
     w = w.select("page_id", (F.col("_at") + F.col("_p")).alias("_pos"), F.xxhash64("_word").alias("_h"))
-    order = Window.partitionBy("page_id").orderBy("_pos")
-    runs = w.withColumn("_run", F.xxhash64(*(F.lead("_h", k).over(order) for k in range(RUN)))).withColumn("_full", F.lead("_h", RUN - 1).over(order).isNotNull())
+    by_pos = Window.partitionBy("page_id").orderBy("_pos")
+    is_run = F.lead("_h", RUN - 1).over(by_pos).isNotNull()
+    runs = save(w.withColumn("_run", F.when(is_run, F.xxhash64(*(F.lead("_h", k).over(by_pos) for k in range(RUN)))))).df
     first = F.min("_pos").over(Window.partitionBy("page_id", "_run"))
-    again = runs.withColumn("_again", F.col("_full") & (first < F.col("_pos")))
-    hit = F.max(F.col("_again").cast("int")).over(order.rowsBetween(-(RUN - 1), 0))
-    per = again.withColumn("_hit", hit).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_words"), F.avg("_hit").alias("repeated_share"), (F.countDistinct("_run") / F.count(F.lit(1))).alias("new_run_share"))
-    return per.select(F.lit("page").alias("record_kind"), F.col("page_id").cast("long").alias("record_id"), "n_words", "repeated_share", F.col("new_run_share").alias("new_word_share"), F.lit(0.0).alias("top_run_share"), F.lit(0.0).alias("same_line_share"), "new_run_share", F.lit(False).alias("junk"))
+    again = runs.withColumn("_again", (F.col("_run").isNotNull() & (first < F.col("_pos"))).cast("int"))
+    hit = F.max("_again").over(by_pos.rowsBetween(-(RUN - 1), 0))
+    marked = again.withColumn("_hit", hit).groupBy("page_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("_hit").alias("_hits"))
+    kinds = runs.groupBy("page_id", "_h").agg(F.lit(1)).groupBy("page_id").agg(F.count(F.lit(1)).alias("_words"))
+    per_run = runs.where("_run is not null").groupBy("page_id", "_run").agg(F.count(F.lit(1)).alias("_k"))
+    per_run = per_run.groupBy("page_id").agg(F.sum("_k").alias("_runs"), F.max("_k").alias("_top"), F.count(F.lit(1)).alias("_new_runs"))
+    per_line = words.select("page_id", F.explode("_lines").alias("_line")).groupBy("page_id", "_line").agg(F.count(F.lit(1)).alias("_k"))
+    per_line = per_line.groupBy("page_id").agg(F.sum("_k").alias("_lines"), F.count(F.lit(1)).alias("_new_lines"))
+    chars = words.groupBy("page_id").agg(F.sum("_like").alias("_like"), F.sum("_visible").alias("_visible"))
+    per = one.select("page_id").distinct()
+    for part in (marked, kinds, per_run, per_line, chars):  # one row per page
+        per = per.join(part, "page_id", "left")
+
+    n, some = F.coalesce("_n", F.lit(0)), F.col("_n") >= RUN
+    share = F.when(some, F.col("_hits") / F.col("_n")).otherwise(0.0)
+    junk = F.when(F.col("_visible") > 0, F.col("_like") / F.col("_visible")).otherwise(0.0) < K.JUNK_BELOW
+    return per.select(
+        F.lit("page").alias("record_kind"), F.col("page_id").cast("long").alias("record_id"), n.cast("long").alias("n_words"), share.alias("repeated_share"),
+        F.when(some, F.col("_words") / F.col("_n")).otherwise(1.0).alias("new_word_share"), F.when(some, F.col("_top") / F.col("_runs")).otherwise(0.0).alias("top_run_share"),
+        F.when(share > 0, 1 - F.col("_new_lines") / F.col("_lines")).otherwise(0.0).alias("same_line_share"),
+        F.when(some, F.col("_new_runs") / F.col("_runs")).otherwise(1.0).alias("new_run_share"), ((share >= 0.1) & junk).alias("junk"),
+    )
 
 
 # The decision list

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from typing import NamedTuple
 
 from quirework.llm.lookalike import CYRILLIC, GREEK, LIGATURES, LOOKS
 
@@ -36,14 +37,31 @@ def _formed(text: str) -> str:
 _LATIN_OR_GREEK = re.compile(r"[a-zA-ZͰ-Ͽ]")
 
 
-def readable(text: str) -> str:
-    """``plain``, with look-alike letters in the script of their word; words of look-alikes alone follow the text."""
+class Scripts(NamedTuple):
+    """What ``readable`` asks of a whole text."""
+
+    alike: bool
+    cyrillic: bool
+    latin: bool
+
+
+def script_counts(text: str) -> tuple[int, int, bool, bool]:
+    """Surely Cyrillic letters, characters, whether there are look-alikes, and Latin or Greek letters: of parts of a text, to add up."""
+    text = _formed(text)
+    return len(_SURELY_CYRILLIC.findall(text)), len(text), _ALIKE.search(text) is not None, _LATIN_OR_GREEK.search(text) is not None
+
+
+def readable(text: str, of: Scripts | None = None) -> str:
+    """``plain``, with look-alike letters in the script of their word; words of look-alikes alone follow the text.
+
+    ``of``: the scripts of the whole text, if ``text`` is some of its lines.
+    """
     if text.isascii():
         return text
     text = _formed(text)
-    if _ALIKE.search(text):  # before accents are composed: a Cyrillic letter with a Latin accent has a form of its own
-        cyrillic = 5 * len(_SURELY_CYRILLIC.findall(text)) > len(text)
-        if not cyrillic or _LATIN_OR_GREEK.search(text):
+    if of.alike if of else _ALIKE.search(text):  # before accents are composed: a Cyrillic letter with a Latin accent has a form of its own
+        cyrillic = of.cyrillic if of else 5 * len(_SURELY_CYRILLIC.findall(text)) > len(text)
+        if not cyrillic or (of.latin if of else _LATIN_OR_GREEK.search(text)):
             to: dict[str, str] = {}
             for w in set(_RUN.findall(text)):
                 if w.isascii():

@@ -132,6 +132,32 @@ def test_pages_and_huge_pages(spark, monkeypatch):
     assert r.n_words == 12 and abs(r.repeated_share - 0.5) < 1e-9
 
 
+def test_huge_pages_have_the_same_statistics(spark, monkeypatch):
+    russian = "каждый сын и дом под старый мост"
+    pages = {
+        1: ["Dеrаѕ rågen dосk och över", "ｏｃｈ ﬁn vin\xadter kväl\u200blen", unicodedata.normalize("NFD", "på sjön över bron"), None, "  ", "DERAS rågen dock och över bron"] * 2,
+        2: [russian, "oн и она", "ор", "the mан and the дом", russian.upper(), "oн и она"],  # words of look-alikes alone follow the page
+        3: ["en rad ор", "två\nrader med ord som kommer igen", "två\nrader med ord som kommer igen"],
+        4: [None, " ", "— ·", None],
+        5: ["ett två", "tre fyra"],
+        6: ["3f9ac0b7d2e1 88ab01cd77fe xkcd qwrt pfgh bcdf"] * 4,
+        7: ["ett två tre fyra fem sex sju", "åtta nio tio ett två"],
+        8: ["ja"] * 9,
+    }
+    rows = [(p, 0 if i % 3 else None, i, 100 * p + i if i else None, t) for p, ts in pages.items() for i, t in enumerate(ts)]
+    rows += [(7, 0, 1, 701, "åtta nio tio ett två"), (7, 0, 1, 701, "en annan text med samma nummer"), (None, 0, 0, 1, "x")]
+    d = spark.createDataFrame(rows, "page_id long, region_pos int, line_pos int, line_id long, text string")
+    usual, _ = repetition.page_texts(d)
+    want = repetition.statistics(usual.select(F.lit("page").alias("record_kind"), F.col("page_id").alias("record_id"), "text")).collect()
+    monkeypatch.setattr(repetition, "MAX_PAGE_LINES", 1)
+    none, huge = repetition.page_texts(d)
+    assert none.count() == 0 and len(want) == len(pages)
+    got = repetition.huge_statistics(huge)
+    assert got.columns == ["record_kind", "record_id", "n_words", *repetition.STATS, "junk"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
+    assert {r.record_id for r in want if r.junk} == {6} and sum(r.repeated_share > 0 for r in want) >= 5
+
+
 # Look-alikes (p4)
 
 
