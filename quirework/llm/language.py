@@ -222,19 +222,24 @@ def confidence(lead: float) -> float:
 LEAST_LEAD, LEAST_LEAD_PER_WORD = 2.0, 0.3
 
 
+def _settled(n: np.ndarray, owner: np.ndarray, loss: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Language of each passage, and main language of each text."""
+    lang, _ = decide(loss)
+    k = len(LANGUAGES)
+    words = np.bincount(owner * k + lang, weights=n, minlength=texts * k).reshape(-1, k)
+    main = words.argmax(axis=1)
+    over = loss[np.arange(len(n)), main[owner]] - loss.min(axis=1)
+    sure = (over >= LEAST_LEAD) & (over >= LEAST_LEAD_PER_WORD * n) & (n >= LEAST_WORDS)
+    return np.where(sure, lang, main[owner]), main  # passages that hardly differ go with the main language
+
+
 def languages_of(texts: list[str | None], model: Model) -> list[list[tuple[str, float, int, bool]]]:
     """Per text: (language, confidence, words, ambiguous) of its main language, then of each with a whole sentence."""
     owner, n, loss = passages(texts, model)
     out: list[list[tuple[str, float, int, bool]]] = [[] for _ in texts]
     if not len(n):
         return out
-    lang, _ = decide(loss)
-    k = len(LANGUAGES)
-    words = np.bincount(owner * k + lang, weights=n, minlength=len(texts) * k).reshape(-1, k)
-    main = words.argmax(axis=1)
-    over = loss[np.arange(len(n)), main[owner]] - loss.min(axis=1)
-    sure = (over >= LEAST_LEAD) & (over >= LEAST_LEAD_PER_WORD * n) & (n >= LEAST_WORDS)
-    lang = np.where(sure, lang, main[owner])  # passages that hardly differ go with the main language
+    lang, main = _settled(n, owner, loss, len(texts))
     first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1, [len(owner)]])
     for a, b in zip(first[:-1], first[1:], strict=True):
         i = owner[a]
@@ -248,6 +253,29 @@ def languages_of(texts: list[str | None], model: Model) -> list[list[tuple[str,
     return out
 
 
+def passages_of(texts: list[str | None], model: Model) -> pd.DataFrame:
+    """The passages of all texts in order, as ``languages_of`` counts them.
+
+    Columns: ``owner`` (which text), ``passage`` (from 0 in its text), ``first_word`` (from 0 in its text), ``n_words, lang,
+    confidence, ambiguous``. The confidence is under 0.5 where the passage alone speaks for another language than its own.
+    """
+    owner, n, loss = passages(texts, model)
+    lang, _ = _settled(n, owner, loss, len(texts))
+    each = np.arange(len(n))
+    others = loss.copy()
+    others[each, lang] = np.inf
+    gap = others.min(axis=1) - loss[each, lang]
+    start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    own = np.repeat(start, np.diff(np.append(start, len(n))))  # the first passage of the same text
+    before = np.cumsum(n) - n
+    return pd.DataFrame(
+        {
+            "owner": owner, "passage": each - own, "first_word": before - before[own], "n_words": n, "lang": np.array(LANGUAGES)[lang],
+            "confidence": 1 / (1 + np.exp(-np.clip(gap, -50, 50))), "ambiguous": (gap < LEAST_LEAD) | (n < 2),
+        }
+    )
+
+
 def words_by_label(text: str) -> list[str]:
     return [t for t in _TOKEN.findall(K.readable(_DIVIDED.sub("", text)).lower()) if t[0].isalpha()]
 
@@ -305,6 +333,24 @@ def document_languages(docs: DataFrame, doc_id: str, text: str, label: str, mode
     return d.mapInPandas(run, "record_id long, label string, lang string, confidence double, n_words long, ambiguous boolean, is_main boolean, n_langs int, junk boolean")
 
 
+def document_passages(docs: DataFrame, doc_id: str, text: str, model: Model) -> DataFrame:
+    """One row per passage of each document: ``record_id`` and the columns of ``passages_of``.
+
+    Passages are sentences or parts between blank lines that hold words. Words are runs of letters, divided ones joined.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        for f in frames:
+            out = passages_of(f["text"].tolist(), m)
+            out.insert(0, "record_id", f["record_id"].to_numpy()[out.pop("owner").to_numpy()])
+            yield out
+
+    d = docs.select(F.col(doc_id).cast("long").alias("record_id"), F.col(text).alias("text")).where("record_id is not null")
+    return d.mapInPandas(run, "record_id long, passage long, first_word long, n_words long, lang string, confidence double, ambiguous boolean")
+
+
 def line_languages(lines: DataFrame, model: Model) -> DataFrame:
     """lines: ``page_id, line_id, text``. Per distinct line: ``page_id, line_id, lang, n_words, lead, sure``."""
     shared = lines.sparkSession.sparkContext.broadcast(model)
@@ -330,10 +376,20 @@ def line_languages(lines: DataFrame, model: Model) -> DataFrame:
     return per.groupBy("page_id", "line_id").agg(*(F.first(c).alias(c) for c in ("lang", "n_words", "lead", "sure")))
 
 
+def page_passages(lines: DataFrame, model: Model) -> DataFrame:
+    """One row per distinct line with words: ``page_id, line_id, lang, confidence, n_words, ambiguous``.
+
+    The language is that of the line alone, also where the line is ambiguous.
+    """
+    conf = 1 / (1 + F.exp(-F.least(F.col("lead"), F.lit(50.0))))
+    ambiguous = (F.col("lead") < LEAST_LEAD) | (F.col("n_words") < 2)
+    return line_languages(lines, model).select("page_id", "line_id", "lang", conf.alias("confidence"), "n_words", ambiguous.alias("ambiguous"))
+
+
 def page_languages(lines: DataFrame, model: Model, least_lines: int = 2) -> DataFrame:
     """Per page its main language (that of most words) and each further one of at least ``least_lines`` sure lines.
 
-    Columns: ``page_id, lang, confidence, n_words, n_lines, is_main, n_langs``. Pages are pre-aggregated by language,
+    Columns: ``page_id, lang, confidence, n_words, n_lines, ambiguous, is_main, n_langs``. Pages are pre-aggregated by language,
     so a page of any number of lines costs one row per language and map task.
     """
     per = line_languages(lines, model).groupBy("page_id", "lang").agg(
@@ -344,4 +400,4 @@ def page_languages(lines: DataFrame, model: Model, least_lines: int = 2) -> Data
     page = page.withColumn("_l", F.filter("_l", lambda x, i: (i == 0) | (x["n_lines"] >= least_lines)))
     one = page.select("page_id", F.size("_l").alias("n_langs"), F.posexplode("_l").alias("_i", "_x"))
     conf = 1 / (1 + F.exp(-F.least(F.col("_x._lead"), F.lit(50.0))))
-    return one.select("page_id", "_x.lang", conf.alias("confidence"), "_x.n_words", "_x.n_lines", (F.col("_i") == 0).alias("is_main"), "n_langs")
+    return one.select("page_id", "_x.lang", conf.alias("confidence"), "_x.n_words", "_x.n_lines", (F.col("_x._lead") < LEAST_LEAD).alias("ambiguous"), (F.col("_i") == 0).alias("is_main"), "n_langs")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quirework.llm import language, lookalike, quality, repetition, scan, textkind
+from quirework.llm import catalog, language, lookalike, quality, repetition, scan, textkind
 
 PROSE = "Den gamla mannen gick över bron och såg sjön under kvällen. Sedan kom hans dotter hem med brevet!"
 LONG = " ".join(f"ord{i} gick med hans {i % 7} dotter till staden." for i in range(120))
@@ -237,6 +237,30 @@ def test_page_languages(spark, labelled):
     assert got == {(1, "sv", True), (2, "fi", True), (4, "fi", True), (4, "ru", False)}
 
 
+def test_passages_of_mixed_records(spark, labelled):
+    model = language.train(labelled, "doc_id", "text", "lang")
+    rng = np.random.default_rng(5)
+    rows = [(2, sentence("sv", rng) + " " + sentence("ru", rng) + " 12! " + sentence("sv", rng)), (1, "Den."), (3, None), (4, " "), (None, "och")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, language.document_passages(d, "doc_id", "text", model).drop("confidence").collect()))
+    assert got == [(1, 0, 0, 1, "sv", True), (2, 0, 0, 9, "sv", False), (2, 1, 9, 9, "ru", False), (2, 2, 18, 9, "sv", False)]
+    lines = [(7, 70, sentence("fi", rng)), (7, 71, sentence("ru", rng)), (7, 72, None), (8, 80, "x"), (None, 90, "x")]
+    lines = spark.createDataFrame([*lines, lines[1]], "page_id long, line_id long, text string")
+    of = {r.line_id: r for r in language.page_passages(lines, model).collect()}
+    assert {i: (r.lang, r.ambiguous) for i, r in of.items() if i < 80} == {70: ("fi", False), 71: ("ru", False)} and of[80].ambiguous
+    assert all(0.5 <= r.confidence <= 1 for r in of.values())
+
+
+def test_passages_add_up_to_records(spark, data):
+    every = catalog.p5_languages(spark, data).collect()
+    p = catalog.p5_passages(spark, data).toPandas()
+    docs = p[p.record_kind == "document"].groupby(["record_id", "lang"]).n_words.sum().to_dict()
+    assert docs == {(r.record_id, r.lang): r.n_words for r in every if r.record_kind == "document"}
+    assert set(p[p.record_kind == "page"].record_id) == {r.record_id for r in every if r.record_kind == "page"}
+    assert not p[p.record_kind == "page"].line_id.duplicated().any()
+    assert {r.ambiguous for r in every} <= {True, False}
+
+
 def test_labels(spark):
     rows = [(x,) for x in ("sv", "SV", "fi-FI", "Finnish", "swe", "no", "se", "", " ", "und", None, "unknown", "ru_RU")]
     got = [r.c for r in spark.createDataFrame(rows, "l string").select(language.label_language(F.col("l")).alias("c")).collect()]
