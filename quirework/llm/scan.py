@@ -45,6 +45,8 @@ LINE_LIMIT = 110
 LEXICON_LIMIT = 65_536
 CONTEXTS = 256
 WINDOW = 2
+#: A task sends its word counts when it has met more distinct words.
+FLUSH_WORDS = 500_000
 #: A word is rare beside another if it has less than this share of its count.
 RARE = 0.1
 COST = 1.0
@@ -210,13 +212,17 @@ def _counting(lexicon: list[str]):
                     both = (a >= 0) & (b >= 0)
                     for u, v in ((a[both], b[both]), (b[both], a[both])):
                         grid += np.bincount(u * CONTEXTS + bucket[v], minlength=len(grid))
-            if len(counts) > 500_000:
+            if len(counts) > FLUSH_WORDS:
                 yield pd.DataFrame({"word": list(counts), "n": list(counts.values()), "around": None})
                 counts = Counter()
         if counts:
-            rows = grid.reshape(len(lexicon), CONTEXTS).astype(np.int32) if len(at) else grid
-            around = [rows[at[w]].tobytes() if w in at and rows[at[w]].any() else None for w in counts]
-            yield pd.DataFrame({"word": list(counts), "n": list(counts.values()), "around": around})
+            yield pd.DataFrame({"word": list(counts), "n": list(counts.values()), "around": None})
+        # apart from the counts, which may have been sent and cleared
+        rows = grid.reshape(len(lexicon), CONTEXTS).astype(np.int32)
+        met = np.flatnonzero(rows.any(axis=1))
+        for part in np.split(met, range(4096, len(met), 4096)):
+            if len(part):
+                yield pd.DataFrame({"word": [lexicon[i] for i in part], "n": 0, "around": [rows[i].tobytes() for i in part]})
 
     return run
 

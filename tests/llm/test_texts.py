@@ -1,8 +1,10 @@
 """p2, p3, p4, p5 and p10 on small texts with known answers."""
 
 import unicodedata
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -314,6 +316,18 @@ def test_noise_and_repair(spark, corpus):
     assert fixed[3] is None and fixed[5] == LIST and fixed[6] == JUNK[0]
 
 
+@pytest.mark.parametrize("limit", [500_000, 5, 0])
+def test_flushed_counts_lose_no_context(monkeypatch, limit):
+    monkeypatch.setattr(scan, "FLUSH_WORDS", limit)
+    texts = ["mannen gick över bron", "hans dotter kom hem", "ett två tre fyra fem sex sju åtta", "ingen kom hem"]
+    frames = list(scan._counting(sorted(LEXICON))(pd.DataFrame({"text": [t], "copies": 1}) for t in texts))
+    every = pd.concat(frames)
+    assert every.groupby("word").n.sum().to_dict() == Counter(" ".join(texts).split())
+    rows = every[every.around.notna()]
+    grid = {w: np.frombuffer(b, dtype=np.int32).sum() for w, b in zip(rows.word, rows.around, strict=True)}
+    assert grid == {"mannen": 2, "gick": 3, "över": 3, "bron": 2, "hans": 2, "dotter": 3, "kom": 5, "hem": 4, "ingen": 2} and len(rows) == len(grid)
+
+
 def test_no_lexicon_and_no_rows(spark, corpus):
     lex = spark.createDataFrame([], "word string, is_common boolean")
     c = scan.fit(corpus, "text", lex)
