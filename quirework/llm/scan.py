@@ -7,7 +7,7 @@ text goes on in lower case.
 Misread words. All texts give word counts and skip-gram counts (words of the lexicon with the words around them). Skip-
 gram vectors are learned from these by full-batch gradient descent with the expected negative samples. Every word
 outside the lexicon is linked to the lexicon words from which plausible glyph edits make it, if it is rare beside
-them; in its line the link whose vector suits the neighbours best, less the cost of the edits, corrects it.
+them in all texts or in the distinct ones, where copies of a misread text count once; in its line the link whose vector suits the neighbours best, less the cost of the edits, corrects it.
 
 Repair drops furniture, joins divided words, corrects misread ones and reflows lines into paragraphs.
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm import textkind as K
-from quirework.runtime import save
+from quirework.runtime import save, small
 
 # What a glyph is often read as.
 GLYPHS = [
@@ -47,7 +47,7 @@ CONTEXTS = 256
 WINDOW = 2
 #: A task sends its word counts when it has met more distinct words.
 FLUSH_WORDS = 500_000
-#: A word is rare beside another if it has less than this share of its count.
+#: A word is rare beside another if it has less than this share of its count, in all texts or in the distinct ones.
 RARE = 0.1
 COST = 1.0
 
@@ -189,20 +189,36 @@ def _prepared(text: str) -> tuple[str, list[tuple[int, int]], dict[int, str], se
     return whole, starts, marks, divided, lines, cut_into_lines(lines)
 
 
+def _sent(counts: Counter[str], again: Counter[str]) -> pd.DataFrame:
+    return pd.DataFrame({"word": list(counts), "n": list(counts.values()), "once": [float(n - again[w]) for w, n in counts.items()], "around": None})
+
+
+def with_copies(docs: DataFrame, text: str) -> DataFrame:
+    """Texts that are not null, and of how many rows they are the text: ``text, copies``. Copies are found by hashes."""
+    t = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    t = t.withColumns({"_k1": F.xxhash64("text"), "_k2": F.hash("text", F.lit(7))})
+    several = save(t.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")).df
+    return t.join(small(several), ["_k1", "_k2"], "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
 def _counting(lexicon: list[str]):
     at = {w: i for i, w in enumerate(lexicon)}
     bucket = np.array([sum(map(ord, w)) * 31 % 8191 % CONTEXTS for w in lexicon], dtype=np.int64)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter[str] = Counter()
+        again: Counter[str] = Counter()  # the share of copies in the counts
         grid = np.zeros(len(lexicon) * CONTEXTS, dtype=np.int64)
         for f in frames:
             ids: list[int] = []
-            for t in f["text"]:
+            for t, copies in zip(f["text"], f["copies"], strict=True):
                 words = _TOKEN.findall(K.readable(_ACROSS.sub("", t)).lower())
+                bare = [w.rstrip("!|") for w in words if w[-1] in "!|"] if "!" in t or "|" in t else []
                 counts.update(words)
-                if "!" in t or "|" in t:
-                    counts.update(w.rstrip("!|") for w in words if w[-1] in "!|")
+                counts.update(bare)
+                if copies > 1:  # all of them together count once among the distinct texts
+                    for w, k in Counter(words + bare).items():
+                        again[w] += k * (1 - 1 / copies)
                 ids += [at.get(w, -1) for w in words]
                 ids += [-1] * WINDOW
             if len(at):
@@ -213,16 +229,16 @@ def _counting(lexicon: list[str]):
                     for u, v in ((a[both], b[both]), (b[both], a[both])):
                         grid += np.bincount(u * CONTEXTS + bucket[v], minlength=len(grid))
             if len(counts) > FLUSH_WORDS:
-                yield pd.DataFrame({"word": list(counts), "n": list(counts.values()), "around": None})
-                counts = Counter()
+                yield _sent(counts, again)
+                counts, again = Counter(), Counter()
         if counts:
-            yield pd.DataFrame({"word": list(counts), "n": list(counts.values()), "around": None})
+            yield _sent(counts, again)
         # apart from the counts, which may have been sent and cleared
         rows = grid.reshape(len(lexicon), CONTEXTS).astype(np.int32)
         met = np.flatnonzero(rows.any(axis=1))
         for part in np.split(met, range(4096, len(met), 4096)):
             if len(part):
-                yield pd.DataFrame({"word": [lexicon[i] for i in part], "n": 0, "around": [rows[i].tobytes() for i in part]})
+                yield pd.DataFrame({"word": [lexicon[i] for i in part], "n": 0, "once": 0.0, "around": [rows[i].tobytes() for i in part]})
 
     return run
 
@@ -282,19 +298,19 @@ def glyph_sources(word: str, known: Container[str], forms: dict[str, list[str]])
     return found
 
 
-def _linking(counts: dict[str, int]):
-    """Distinct rare words to (word, source, edits)."""
+def _linking(counts: dict[str, int], once: dict[str, int]):
+    """Distinct rare words to (word, source, edits). ``once``: counts of distinct texts."""
     forms = glyph_forms(counts)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
-            for w, n in zip(f["word"], f["n"], strict=True):
+            for w, n, o in zip(f["word"], f["n"], f["once"], strict=True):
                 bare = w.strip("!|")
                 if len(bare) < 2 or bare in counts or w.isdigit() or not any(map(str.isalpha, w)):
                     continue
                 for t, e in glyph_sources(w, counts, forms).items():
-                    if n < RARE * counts[t]:
+                    if n < RARE * counts[t] or o < RARE * once[t]:
                         rows.append((w, t, e))
             yield pd.DataFrame(rows, columns=["word", "source", "edits"])
 
@@ -329,11 +345,13 @@ def fit(docs: DataFrame, text: str, lexicon: DataFrame) -> Corrector:
     if len(words) > LEXICON_LIMIT:
         raise ValueError(f"at most {LEXICON_LIMIT} words in the lexicon")
     spark = docs.sparkSession
-    saved = save(docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).mapInPandas(_counting(words), "word string, n long, around binary"))
-    counted = saved.df.groupBy("word").agg(F.sum("n").alias("n"))
+    saved = save(with_copies(docs, text).mapInPandas(_counting(words), "word string, n long, once double, around binary"))
+    counted = saved.df.groupBy("word").agg(F.sum("n").alias("n"), F.round(F.sum("once")).cast("long").alias("once"))
     known = spark.createDataFrame([(w,) for w in words], "word string")
     # rows of the lexicon only: at most LEXICON_LIMIT
-    n_of = {r["word"]: r["n"] for r in counted.join(F.broadcast(known), "word").toLocalIterator()}
+    n_of, once_of = {}, {}
+    for r in counted.join(F.broadcast(known), "word").toLocalIterator():
+        n_of[r["word"]], once_of[r["word"]] = r["n"], r["once"]
     grid = np.zeros((len(words), CONTEXTS), dtype=np.int64)
     at = {w: i for i, w in enumerate(words)}
     for r in saved.df.where("around is not null").groupBy("word").applyInPandas(_summed, "word string, around binary").toLocalIterator():
@@ -341,7 +359,7 @@ def fit(docs: DataFrame, text: str, lexicon: DataFrame) -> Corrector:
     w, c = learn_vectors(grid)
     links: dict[str, list[tuple[str, int]]] = {}
     # bounded by the lexicon: each of its words has so many glyph edits
-    for r in counted.mapInPandas(_linking(n_of), "word string, source string, edits int").toLocalIterator():
+    for r in counted.mapInPandas(_linking(n_of, once_of), "word string, source string, edits int").toLocalIterator():
         links.setdefault(r["word"], []).append((r["source"], r["edits"]))
     saved.drop()
     return Corrector(links, words, w, c)

@@ -328,6 +328,18 @@ def test_flushed_counts_lose_no_context(monkeypatch, limit):
     assert grid == {"mannen": 2, "gick": 3, "över": 3, "bron": 2, "hans": 2, "dotter": 3, "kom": 5, "hem": 4, "ingen": 2} and len(rows) == len(grid)
 
 
+def test_a_misread_word_in_a_copied_text(spark):
+    lines = ["mannen gick över bron med hans dotter", "ingen kom hem med brevet på kvällen"]
+    rows = [(i, "\n".join([*lines, f"tuomari gick över bron {i}"])) for i in range(40)]
+    rows += [(100 + i, "\n".join(["tnomari gick över bron", *lines])) for i in range(20)]  # a third of all rows
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    c = scan.fit(d, "text", spark.createDataFrame([(w, True) for w in LEXICON], "word string, is_common boolean"))
+    found = scan.find_noise(d, "doc_id", "text", c).collect()
+    assert {(r.doc_id, r.line_no, r.noise_kind) for r in found} == {(100 + i, 0, "misread") for i in range(20)}
+    copies = {r.text: r.copies for r in scan.with_copies(d, "text").collect()}
+    assert copies[rows[-1][1]] == 20 and copies[rows[0][1]] == 1 and len(copies) == 41
+
+
 def test_no_lexicon_and_no_rows(spark, corpus):
     lex = spark.createDataFrame([], "word string, is_common boolean")
     c = scan.fit(corpus, "text", lex)
