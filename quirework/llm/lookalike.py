@@ -7,7 +7,8 @@ back to the records.
 
 All texts are not shuffled for this: a coarse block key (a hash of the text without accents, marks, spaces,
 punctuation and the letters that ligatures hide) is grouped first, on rows of a few numbers. Texts equal in looks
-have equal block keys, so only blocks that hold different stored texts are read again and compared in full.
+have equal block keys, so only blocks that hold different stored texts are read again and compared in full. Texts of
+those letters alone have a key with the ligatures written out instead.
 
 Null and blank texts, and texts without letters or digits, have no look-alikes. Exact copies are one text: they are
 no pair. Repeated rows of one id and text count once. An empty table gives no rows. Null ids never pair.
@@ -53,21 +54,21 @@ def _looks() -> dict[str, str]:
 LOOKS = _looks()
 
 
-def _coarse() -> dict[str, str]:
-    """Character to its block letter: also without accents, with nothing but letters and digits."""
+def _coarse(hidden: str = "filst") -> dict[str, str]:
+    """Character to its block letter: also without accents, with nothing but letters and digits, none of them ``hidden``."""
     m = dict(LOOKS)
     for cp in [*range(0x20), *range(0x21, 0x80)]:
         c = chr(cp)
-        if not c.isalnum() or c in "filst":
+        if not c.isalnum() or c in hidden:
             m[c] = ""
     for cp in [*range(0x80, 0x600), *range(0x1E00, 0x1F00), 0xFB00, 0xFB01, 0xFB02, 0xFB03, 0xFB04, 0xFB05, 0xFB06, *range(0x2010, 0x2070)]:
         c = chr(cp)
         base = "".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x))
         base = "".join(LOOKS.get(x, x) for x in base)
         keep = len(base) == 1 and base.isalnum() and c not in LIGATURES
-        m[c] = base if keep and base not in "filst" else ""
+        m[c] = base if keep and base not in hidden else ""
     for c, to in LOOKS.items():
-        if to == " " or to in "filst" or (to and not to.isalnum()):
+        if to == " " or to in hidden or (to and not to.isalnum()):
             m[c] = ""
         elif len(to) == 1 and to:
             m[c] = "".join(x for x in unicodedata.normalize("NFD", to) if not unicodedata.combining(x))
@@ -93,6 +94,11 @@ def mapped(c: Column) -> Column:
     return F.regexp_replace(out, " {2,}", " ")
 
 
+def block_key(c: Column) -> Column:
+    """``block_text``; of texts of which it leaves nothing, their letters f, i, l, s and t. Empty without letters and digits."""
+    return F.coalesce(F.nullif(block_text(c), F.lit("")), _translate(mapped(c), _coarse("")))
+
+
 def classes(records: DataFrame) -> DataFrame:
     """Classes of at least two different stored texts that look the same.
 
@@ -100,7 +106,7 @@ def classes(records: DataFrame) -> DataFrame:
     text as ``form`` and its least id as ``class_id``, one row per record.
     """
     r = records.select("record_kind", F.col("id").cast("long").alias("id"), "text").where(F.col("text").isNotNull() & F.col("id").isNotNull())
-    key = block_text(F.col("text"))
+    key = block_key(F.col("text"))
     narrow = r.select("record_kind", "id", key.alias("_b"), F.xxhash64("text").alias("_h")).where("_b <> ''")
     narrow = narrow.select("record_kind", "id", "_h", F.xxhash64("_b").alias("_k1"), F.hash("_b", F.lit(7)).alias("_k2"))
     blocks = narrow.groupBy("record_kind", "_k1", "_k2").agg(F.min("_h").alias("_lo"), F.max("_h").alias("_hi")).where("_lo <> _hi").drop("_lo", "_hi")

@@ -193,6 +193,14 @@ def test_block_keys_hide_no_pair(spark):
     assert d.count() == 1
 
 
+def test_pairs_of_short_texts_of_hidden_letters(spark):
+    groups = [["till", "ｔｉｌｌ", "ti\u200bll", "tіll", "till"], ["list", "liѕt"], ["fist.", "ﬁst.", "fiﬆ."], ["ist ïst", unicodedata.normalize("NFD", "ist ïst")], ["fil"], ["Till"], ["till till"], ["tïll"], ["—"], ["-"], ["‐"]]
+    rows = [("line", 10 * g + i, x) for g, xs in enumerate(groups) for i, x in enumerate(xs)]
+    got = {(r.id_a, r.id_b) for r in lookalike.pairs(lookalike.classes(spark.createDataFrame(rows, "record_kind string, id long, text string"))).collect()}
+    want = {(a, b) for _, a, x in rows for _, b, y in rows if a < b and a // 10 == b // 10 and x != y}
+    assert got == want and len(want) == 9 + 1 + 3 + 1
+
+
 # Languages (p5)
 
 WORDS = {
