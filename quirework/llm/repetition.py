@@ -3,11 +3,12 @@
 For every text the share of words in runs of five or more that occurred before in it is measured, with some more
 statistics of repetition. Letter case, punctuation and line breaks do not count, and look-alike letters are one.
 
-Texts are judged by a learned decision list. Sequential covering grows a conjunction of thresholds on the statistics
-from two thirds of the labelled rows (by information gain), prunes it on the other third, keeps it if it is precise
-enough, removes what it covers and goes on; the rules come out as one ordered CASE expression that Spark evaluates.
-The labelled rows are a sample of at most ``train_rows`` texts, drawn by a hash of their ids, labelled by a direct
-search for runs that extends matches word by word.
+Texts are judged by a learned decision list alone. Sequential covering grows a conjunction of thresholds on the
+statistics from two thirds of the labelled rows (by information gain), prunes it on the other third, keeps it if it
+is precise enough, removes what it covers and goes on; the rules come out as one ordered CASE expression that Spark
+evaluates. The list never sees the share that labels its rows, only the ``FEATURES`` beside it, and no test of that
+share follows it. Labelled are at most about ``train_rows`` records in which some run comes again, drawn by a hash of
+their ids.
 
 Null and blank texts have no words and a share of 0. Texts of under five words have a share of 0. Lines of a page
 that come again count once. An empty table gives no rows. Whole texts are read, however long. Pages of more than
@@ -29,44 +30,57 @@ from quirework.runtime import save, small
 RUN = 5
 LIMIT = 0.30
 MAX_PAGE_LINES = 50_000
-STATS = ["repeated_share", "new_word_share", "top_run_share", "same_line_share", "new_run_share"]
+#: Runs shorter and longer than ``RUN`` whose shares the list may use.
+SHORT, LONG = 3, 8
+STATS = ["repeated_share", "short_share", "long_share", "new_word_share", "top_run_share", "same_line_share", "new_run_share"]
+FEATURES = STATS[1:]
+NOTHING = (0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 1.0)
 
 
 def _ids(text: str) -> np.ndarray:
     return np.fromiter(map(hash, K.WORD.findall(K.readable(text).lower())), dtype=np.int64)
 
 
-def _runs(ids: np.ndarray) -> np.ndarray:
-    """One number for each run of ``RUN`` words."""
-    h = np.zeros(len(ids) - RUN + 1, dtype=np.uint64)
+def _runs(ids: np.ndarray, length: int = RUN) -> np.ndarray:
+    """One number for each run of ``length`` words."""
+    h = np.zeros(len(ids) - length + 1, dtype=np.uint64)
     u = ids.astype(np.uint64)
-    for k in range(RUN):
+    for k in range(length):
         h = h * np.uint64(0x9E3779B97F4A7C15) + (u[k : k + len(h)] ^ (u[k : k + len(h)] >> np.uint64(29)))
     return h
 
 
-def measure(text: str | None) -> tuple[int, float, float, float, float, float]:
+def _covered(ids: np.ndarray, length: int) -> tuple[float, float, float]:
+    """Of runs of ``length`` words: the share of words in runs met before, of different runs, of the most frequent run."""
+    n = len(ids)
+    if n < length:
+        return 0.0, 1.0, 0.0
+    runs = _runs(ids, length)
+    _, first, back, count = np.unique(runs, return_index=True, return_inverse=True, return_counts=True)
+    if len(first) == len(runs):
+        return 0.0, 1.0, 1 / len(runs)
+    again = np.flatnonzero(first[back] < np.arange(len(runs)))
+    edge = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edge, again, 1)
+    np.add.at(edge, again + length, -1)
+    return float(np.count_nonzero(np.cumsum(edge[:n]))) / n, len(first) / len(runs), float(count.max()) / len(runs)
+
+
+def measure(text: str | None) -> tuple:
     """Words, and the values of ``STATS``."""
     if not text or text.isspace():
-        return 0, 0.0, 1.0, 0.0, 0.0, 1.0
+        return (0, *NOTHING)
     ids = _ids(text)
     n = len(ids)
     if n < RUN:
-        return n, 0.0, 1.0, 0.0, 0.0, 1.0
-    runs = _runs(ids)
-    _, first, back, count = np.unique(runs, return_index=True, return_inverse=True, return_counts=True)
-    if len(first) == len(runs):
-        repeated = 0.0
-    else:
-        again = np.flatnonzero(first[back] < np.arange(len(runs)))
-        edge = np.zeros(n + 1, dtype=np.int64)
-        np.add.at(edge, again, 1)
-        np.add.at(edge, again + RUN, -1)
-        repeated = float(np.count_nonzero(np.cumsum(edge[:n]))) / n
+        return (n, *NOTHING)
+    new_words = len(set(ids.tolist())) / n
+    short, _, _ = _covered(ids, SHORT)
+    repeated, new, top = _covered(ids, RUN) if short else (0.0, 1.0, 1 / (n - RUN + 1))
     if repeated == 0.0:
-        return n, 0.0, len(set(ids.tolist())) / n, float(count.max()) / len(runs), 0.0, 1.0
+        return n, 0.0, short, 0.0, new_words, top, 0.0, 1.0
     lines = [x for x in (x.strip().lower() for x in text.split("\n")) if x]
-    return n, repeated, len(set(ids.tolist())) / n, float(count.max()) / len(runs), 1 - len(set(lines)) / max(len(lines), 1), len(first) / len(runs)
+    return n, repeated, short, _covered(ids, LONG)[0], new_words, top, 1 - len(set(lines)) / max(len(lines), 1), new
 
 
 def label(text: str | None) -> bool:
@@ -154,28 +168,39 @@ def huge_statistics(lines: DataFrame) -> DataFrame:
     w = words.select("page_id", "_w", at.alias("_at")).select("page_id", "_at", F.posexplode("_w").alias("_p", "_word"))
     w = w.select("page_id", (F.col("_at") + F.col("_p")).alias("_pos"), F.xxhash64("_word").alias("_h"))
     by_pos = Window.partitionBy("page_id").orderBy("_pos")
-    is_run = F.lead("_h", RUN - 1).over(by_pos).isNotNull()
-    runs = save(w.withColumn("_run", F.when(is_run, F.xxhash64(*(F.lead("_h", k).over(by_pos) for k in range(RUN)))))).df
-    first = F.min("_pos").over(Window.partitionBy("page_id", "_run"))
-    again = runs.withColumn("_again", (F.col("_run").isNotNull() & (first < F.col("_pos"))).cast("int"))
-    hit = F.max("_again").over(by_pos.rowsBetween(-(RUN - 1), 0))
-    marked = again.withColumn("_hit", hit).groupBy("page_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("_hit").alias("_hits"))
+
+    def run_of(length: int) -> Column:
+        return F.when(F.lead("_h", length - 1).over(by_pos).isNotNull(), F.xxhash64(*(F.lead("_h", k).over(by_pos) for k in range(length))))
+
+    runs = save(w.withColumns({f"_run{k}": run_of(k) for k in (SHORT, RUN, LONG)})).df
+
+    def hits(length: int) -> DataFrame:
+        """Per page its words and those in runs met before."""
+        run = f"_run{length}"
+        first = F.min("_pos").over(Window.partitionBy("page_id", run))
+        again = runs.select("page_id", "_pos", run).withColumn("_again", (F.col(run).isNotNull() & (first < F.col("_pos"))).cast("int"))
+        hit = F.max("_again").over(by_pos.rowsBetween(-(length - 1), 0))
+        return again.withColumn("_hit", hit).groupBy("page_id").agg(F.count(F.lit(1)).alias(f"_n{length}"), F.sum("_hit").alias(f"_hits{length}"))
+
     kinds = runs.groupBy("page_id", "_h").agg(F.lit(1)).groupBy("page_id").agg(F.count(F.lit(1)).alias("_words"))
-    per_run = runs.where("_run is not null").groupBy("page_id", "_run").agg(F.count(F.lit(1)).alias("_k"))
+    per_run = runs.where(F.col(f"_run{RUN}").isNotNull()).groupBy("page_id", f"_run{RUN}").agg(F.count(F.lit(1)).alias("_k"))
     per_run = per_run.groupBy("page_id").agg(F.sum("_k").alias("_runs"), F.max("_k").alias("_top"), F.count(F.lit(1)).alias("_new_runs"))
     per_line = words.select("page_id", F.explode("_lines").alias("_line")).groupBy("page_id", "_line").agg(F.count(F.lit(1)).alias("_k"))
     per_line = per_line.groupBy("page_id").agg(F.sum("_k").alias("_lines"), F.count(F.lit(1)).alias("_new_lines"))
     chars = words.groupBy("page_id").agg(F.sum("_like").alias("_like"), F.sum("_visible").alias("_visible"))
     per = one.select("page_id").distinct()
-    for part in (marked, kinds, per_run, per_line, chars):  # one row per page
+    for part in (*map(hits, (SHORT, RUN, LONG)), kinds, per_run, per_line, chars):  # one row per page
         per = per.join(part, "page_id", "left")
 
-    n, some = F.coalesce("_n", F.lit(0)), F.col("_n") >= RUN
-    share = F.when(some, F.col("_hits") / F.col("_n")).otherwise(0.0)
+    n = F.coalesce(f"_n{RUN}", F.lit(0))
+    some = n >= RUN
+    share_of = lambda k: F.when(some, F.col(f"_hits{k}") / F.col(f"_n{k}")).otherwise(0.0)
+    share = share_of(RUN)
     junk = F.when(F.col("_visible") > 0, F.col("_like") / F.col("_visible")).otherwise(0.0) < K.JUNK_BELOW
     return per.select(
         F.lit("page").alias("record_kind"), F.col("page_id").cast("long").alias("record_id"), n.cast("long").alias("n_words"), share.alias("repeated_share"),
-        F.when(some, F.col("_words") / F.col("_n")).otherwise(1.0).alias("new_word_share"), F.when(some, F.col("_top") / F.col("_runs")).otherwise(0.0).alias("top_run_share"),
+        share_of(SHORT).alias("short_share"), share_of(LONG).alias("long_share"),
+        F.when(some, F.col("_words") / F.col(f"_n{RUN}")).otherwise(1.0).alias("new_word_share"), F.when(some, F.col("_top") / F.col("_runs")).otherwise(0.0).alias("top_run_share"),
         F.when(share > 0, 1 - F.col("_new_lines") / F.col("_lines")).otherwise(0.0).alias("same_line_share"),
         F.when(some, F.col("_new_runs") / F.col("_runs")).otherwise(1.0).alias("new_run_share"), ((share >= 0.1) & junk).alias("junk"),
     )
@@ -258,22 +283,24 @@ def as_case(rules: list[Rule]) -> Column:
 
 
 def fit(sample: pd.DataFrame) -> list[Rule]:
-    """Rules from texts labelled by the definition; without positive or negative texts, the definition's own limit."""
-    stats = np.array([measure(t)[1:] for t in sample["text"]], dtype=float).reshape(-1, len(STATS))
-    y = np.array([label(t) for t in sample["text"]], dtype=bool)
+    """Rules over ``FEATURES`` from rows of statistics labelled by their share; a rule of always or never without both labels."""
+    y = sample["repeated_share"].to_numpy(dtype=float) >= LIMIT
     if not y.any() or y.all():
-        return [[(STATS[0], ">=", LIMIT)]]
-    return learn(stats, y, STATS) or [[(STATS[0], ">=", LIMIT)]]
+        return [[(FEATURES[0], ">=", 0.0 if len(y) and y.all() else 2.0), ("new_run_share", "<=", 1 - 1e-12)]]
+    x = sample[FEATURES].to_numpy(dtype=float)
+    return learn(x, y, FEATURES) or [_grow(x, y, FEATURES, 3)]  # few rows: one rule from all of them, not pruned
+
+
+def judged(stats: DataFrame, train_rows: int = 3000) -> DataFrame:
+    """``stats`` with ``is_repeated`` by a list learned from a sample of them: rows of no junk in which some run comes again."""
+    kept = save(stats).df
+    pool = kept.where("new_run_share < 1 and not junk")
+    share = min(1.0, train_rows / max(pool.count(), 1))
+    sample = pool.where(F.pmod(F.xxhash64("record_kind", "record_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    return kept.withColumn("is_repeated", as_case(fit(sample.select(*STATS).orderBy(*STATS).toPandas())))
 
 
-def repeated(records: DataFrame, more: DataFrame | None = None, train: DataFrame | None = None, train_rows: int = 3000) -> DataFrame:
+def repeated(records: DataFrame, more: DataFrame | None = None, train_rows: int = 3000) -> DataFrame:
     """Statistics of all records with ``is_repeated`` by the learned list. ``more``: statistics measured elsewhere."""
-    pool = records if train is None else train
-    near = pool.select("record_id", "text").where("text is not null and record_id is not null")
-    n = near.count()
-    share = min(1.0, train_rows / max(n, 1))
-    sample = near.where(F.pmod(F.xxhash64("record_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).limit(2 * train_rows).toPandas()
     stats = statistics(records)
-    if more is not None:
-        stats = stats.unionByName(more)
-    return stats.withColumn("is_repeated", as_case(fit(sample)))
+    return judged(stats if more is None else stats.unionByName(more), train_rows)

@@ -121,6 +121,25 @@ def test_repetition(spark):
     assert repetition.repeated(d.limit(0)).count() == 0
 
 
+def test_the_list_decides_without_the_share(spark):
+    """Held-out texts are judged from the other statistics; without the list nothing is found."""
+    rng = np.random.default_rng(8)
+
+    def text(k):
+        own = ["ano" + "".join("aeioubdgkl"[int(c)] for c in str(x)) for x in rng.integers(0, 5000, 120)]
+        again = own[: int(120 * k / (1 - k))]
+        return " ".join(own + again)
+
+    rows = [("document", i, text(0.05 + 0.1 * (i % 2) if i % 3 else 0.42)) for i in range(240)]
+    d = spark.createDataFrame(rows, "record_kind string, record_id long, text string")
+    assert "repeated_share" not in repetition.FEATURES
+    got = repetition.repeated(d, train_rows=90).toPandas()
+    assert (got["is_repeated"] == (got["repeated_share"] >= repetition.LIMIT)).all() and 0 < got["is_repeated"].sum() < 240
+    rules = repetition.fit(got.head(90))
+    assert rules and {name for rule in rules for name, _, _ in rule} <= set(repetition.FEATURES)
+    assert not d.sparkSession.createDataFrame(got).withColumn("no_list", repetition.as_case([])).where("no_list").count()
+
+
 def test_pages_and_huge_pages(spark, monkeypatch):
     rows = [(1, 0, i, 100 + i, t) for i, t in enumerate(["ett två tre fyra", "fem sex", "ett två tre fyra", "fem sex"])] + [(1, 0, 0, 100, "ett två tre fyra"), (2, 0, 0, 200, None), (None, 0, 0, 300, "x")]
     d = spark.createDataFrame(rows, "page_id long, region_pos int, line_pos int, line_id long, text string")
