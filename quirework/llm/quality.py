@@ -2,14 +2,17 @@
 
 Each document is read once, as a whole. Every statistic has a mergeable quantile sketch (KLL) per language label;
 merging them gives the sketch of all documents. A value becomes a robust z-score, its distance from the median in
-units of the interquartile range. Documents in the tail of their language or of all documents are flagged, and a
-flagged document is a list, table or junk if the share concerned also passes the limit of its kind. The tails are
-measured from running text (documents within all limits), and their unit is small enough for every value beyond a
-limit to lie in its tail: cases lose their kind neither by their number nor by the spread of the others.
-
-Null and blank texts have statistics of 0 and no kind. Labels are taken as stored; null labels form a group. With
-fewer than ``least`` documents there are no tails, and the limits decide alone. Ties share a score. Repeated rows
-are documents of their own. An empty table gives no rows. Only the named columns are read.
+units of the interquartile range.
+
+Kinds are told by the sketches. For each share that makes a kind, documents in its tail (robust z-score of ``tail`` or
+more within their language or among all, as measured from documents of which the share holds no majority) get a sketch
+of their own. Its emptiest stretch on the side of the majority parts the documents that are of the kind from those
+that merely lie far out, and the middle of that stretch is the limit. Junk is told first, then tables among the rest,
+then lists. No limit is given beforehand but the majority, by which the kinds are defined.
+
+Null and blank texts have statistics of 0 and no kind. Labels are taken as stored; null labels form a group. Ties
+share a score. Repeated rows are documents of their own. An empty table gives no rows, and without a tail there is
+no kind. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -24,12 +27,14 @@ from quirework.llm import textkind as K
 from quirework.runtime import save, small
 
 STATS = ["n_words", "mean_word_length", "word_like_share", "symbol_share", "common_share", "n_lines", "entry_share", "row_share", "ended_share", "marked_share"]
-#: The statistics whose tails tell a kind, with the side of the tail.
-TAILS = {"word_like_share": -1, "row_share": 1, "entry_share": 1}
-#: Beyond these a share tells the kind.
-LIMITS = {"word_like_share": K.JUNK_BELOW, "row_share": K.ROWS_ABOVE, "entry_share": K.ENTRIES_ABOVE}
+#: The shares that make a kind, with the side of the majority, in the order in which they are judged.
+KINDS = {"junk": ("word_like_share", -1), "table": ("row_share", 1), "list": ("entry_share", 1)}
+HALF = 0.5
 #: Smallest unit of a z-score of a share, where most values are equal.
 LEAST_SCALE = 0.03
+#: Steps of a share at which a sketch is asked, the width of the stretch that must be empty, and how far from the
+#: emptiest one a stretch may be (the error of the sketch in rank).
+STEPS, STRETCH, RANK_ERROR = 100, 15, 0.002
 LEXICON_LIMIT = 1_000_000
 
 
@@ -67,15 +72,15 @@ def statistics(docs: DataFrame, doc_id: str, text: str, lang: str, lexicon: Data
     return rows.mapInPandas(run, f"doc_id string, lang string, {kinds}").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def sketches(stats: DataFrame, names: list[str] = STATS) -> DataFrame:
-    """Mergeable sketches per language: ``lang, n``, and one binary column per statistic."""
-    return stats.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(F.col(s).cast("double"), F.lit(400)).alias(s) for s in names))
+def sketches(stats: DataFrame, names: list[str] = STATS, size: int = 400) -> DataFrame:
+    """Mergeable sketches per language: ``lang, n``, and one binary column per statistic, null without values."""
+    return stats.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *(F.when(F.count(s) > 0, F.kll_sketch_agg_double(F.col(s).cast("double"), F.lit(size))).alias(s) for s in names))
 
 
 def merge(parts: DataFrame, keys: list[str], names: list[str] = STATS) -> DataFrame:
     """Sketches of several languages, days or parts as one per ``keys``; without keys all as one, no row of no parts."""
     whole = F.lit(0).alias("_whole")
-    m = parts.groupBy(*(keys or [whole])).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(s).alias(s) for s in names))
+    m = parts.groupBy(*(keys or [whole])).agg(F.sum("n").alias("n"), *(F.when(F.count(s) > 0, F.kll_merge_agg_double(s)).alias(s) for s in names))
     return m.drop("_whole")
 
 
@@ -89,44 +94,67 @@ def limits(sk: DataFrame, prefix: str, stats: list[str]) -> list[Column]:
     return out
 
 
-def _beyond(s: str) -> Column:
-    """Whether the share passes the limit of its kind."""
-    past = F.col(s) < LIMITS[s] if TAILS[s] < 0 else F.col(s) > LIMITS[s]
-    return past & (F.col("n_lines") > (1 if s == "entry_share" else 0))
-
-
-def _joined(stats: DataFrame, parts: DataFrame, names: list[str], least: int, prefix: str) -> DataFrame:
-    """``stats`` with the limits of their language (``<prefix>o_``), the pooled ones (``<prefix>a_``) and the pooled ``<prefix>n``."""
-    parts = save(parts).df
-    own = parts.where(F.col("n") >= least).select(F.col("lang").alias("_lang"), *limits(parts, f"{prefix}o_", names))
+def _joined(stats: DataFrame, parts: DataFrame, names: list[str]) -> DataFrame:
+    """``stats`` with the limits of their language (``_o_``) and the pooled ones (``_a_``)."""
+    own = parts.select(F.col("lang").alias("_lang"), *limits(parts, "_o_", names))
     # one row: the pooled limits become literals
-    every = merge(parts, [], names).select(F.col("n").alias(f"{prefix}n"), *limits(parts, f"{prefix}a_", names)).first()
+    every = merge(parts, [], names).select(*limits(parts, "_a_", names)).first()
     pooled = every.asDict() if every else {}
     j = stats.join(small(own), F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
-    limit_names = [f"{prefix}n", *(f"{prefix}a_{s}_{k}" for s in names for k in ("mid", "scale"))]
-    return j.withColumns({c: F.lit(pooled.get(c)).cast("long" if c == f"{prefix}n" else "double") for c in limit_names})
+    return j.withColumns({c: F.lit(pooled.get(c)).cast("double") for c in (f"_a_{s}_{k}" for s in names for k in ("mid", "scale"))})
+
+
+def emptiest(ranks: list[float], side: int) -> float:
+    """Middle of the emptiest stretch of a share, on the side of ``HALF`` where the majority is.
+
+    ranks: the part of the values at or below 0, 1/``STEPS``, ... 1. Of several stretches as empty as the sketch can
+    tell, the longest run of them counts.
+    """
+    first, last = (STEPS // 2, STEPS - STRETCH) if side > 0 else (0, STEPS // 2 - STRETCH)
+    mass = [ranks[i + STRETCH] - ranks[i] for i in range(first, last + 1)]
+    best, run = (0, 0, 0), 0
+    for i, m in enumerate([*mass, float("inf")]):
+        if m <= min(mass) + RANK_ERROR:
+            run += 1
+        else:
+            best, run = max(best, (run, i - run, i - 1), key=lambda b: b[0]), 0
+    return (2 * first + best[1] + best[2] + STRETCH) / 2 / STEPS
+
+
+def _ref(share: str) -> str:
+    return f"{share}_ref"
+
+
+def tail_limit(joined: DataFrame, share: str, side: int, tail: float) -> float | None:
+    """The limit of a share by the sketch of the documents in its tail; None without a tail.
+
+    joined: documents with the limits of ``_ref(share)``, the documents without a majority. The unit of the tail is small
+    enough for every majority to lie in it, however far the others spread.
+    """
+
+    def of(p: str) -> Column:
+        mid = F.col(f"{p}{_ref(share)}_mid")
+        unit = F.least(F.col(f"{p}{_ref(share)}_scale"), F.abs(F.lit(HALF) - mid) / tail)
+        return F.coalesce((F.col(share) - mid) * side >= unit * tail, F.lit(False))
+
+    alone = F.coalesce(f"_o_{_ref(share)}_mid", f"_a_{_ref(share)}_mid").isNull()  # there are majorities only
+    far = joined.where(of("_o_") | of("_a_") | alone).agg(F.kll_sketch_agg_double(F.col(share), F.lit(2000)).alias("s"), F.count(F.lit(1)).alias("n"))
+    grid = F.array(*(F.lit(i / STEPS) for i in range(STEPS + 1)))
+    r = far.where("n > 0").select(F.kll_sketch_get_rank_double("s", grid).alias("r")).first()
+    return emptiest(r["r"], side) if r else None
 
 
-def scored(stats: DataFrame, tail: float = 3.0, least: int = 30) -> DataFrame:
+def scored(stats: DataFrame, tail: float = 3.0) -> DataFrame:
     """``stats`` with ``<stat>_z`` (within the language), and ``kind``."""
-    filled = stats.where("n_words > 0 or symbol_share > 0")
-    running = filled
-    for s in TAILS:
-        running = running.where(~_beyond(s))
-    j = _joined(stats, sketches(filled), STATS, least, "_")
-    j = _joined(j, sketches(running, [*TAILS]), [*TAILS], least, "_t")
-
-    def z(s: str, p: str) -> Column:
-        return (F.col(s) - F.col(f"{p}{s}_mid")) / F.col(f"{p}{s}_scale")
-
-    def in_tail(s: str) -> Column:
-        def of(p: str) -> Column:
-            mid = F.col(f"{p}{s}_mid")
-            unit = F.least(F.col(f"{p}{s}_scale"), F.abs(F.lit(LIMITS[s]) - mid) / tail)
-            return F.coalesce((F.col(s) - mid) * TAILS[s] >= unit * tail, F.lit(False))
-
-        return of("_to_") | of("_ta_") | (F.coalesce(F.col("_tn"), F.lit(0)) < least)
-
-    kind = F.when(_beyond("word_like_share") & in_tail("word_like_share"), "junk").when(_beyond("row_share") & in_tail("row_share"), "table")
-    kind = kind.when(_beyond("entry_share") & in_tail("entry_share"), "list")
-    return j.select("doc_id", "lang", *STATS, *(F.coalesce(z(s, "_o_"), z(s, "_a_")).alias(f"{s}_z") for s in STATS), kind.alias("kind"))
+    some = F.col("n_lines") > 0
+    refs = {_ref(share): F.when(some & (F.col(share) * side <= HALF * side), F.col(share)) for share, side in KINDS.values()}
+    seen = stats.withColumns({s: F.when(some, F.col(s)) for s in STATS} | refs)
+    names = [*STATS, *refs]
+    j = _joined(stats, save(sketches(seen, names)).df, names)
+    kind, left = F.lit(None).cast("string"), j.where(some)
+    for name, (share, side) in KINDS.items():
+        limit = tail_limit(left, share, side, tail)
+        is_kind = F.lit(False) if limit is None else (F.col(share) * side > limit * side) & (F.col("n_lines") > (1 if name == "list" else 0))
+        kind, left = F.coalesce(kind, F.when(is_kind, name)), left.where(~is_kind)
+    z = [((F.col(s) - F.col(f"_o_{s}_mid")) / F.col(f"_o_{s}_scale")).alias(f"{s}_z") for s in STATS]
+    return j.select("doc_id", "lang", *STATS, *z, kind.alias("kind"))

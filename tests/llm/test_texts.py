@@ -66,6 +66,26 @@ def test_a_wide_spread_hides_no_list(spark):
     assert [r.doc_id for r in quality.scored(stats).where("kind is not null").collect()] == [900]
 
 
+def test_the_emptiest_stretch_gives_the_limit():
+    def ranks(values):
+        return [float(np.mean(np.asarray(values) <= i / quality.STEPS)) for i in range(quality.STEPS + 1)]
+
+    assert abs(quality.emptiest(ranks([0.3] * 50 + [0.62] * 30 + [0.95] * 20), 1) - 0.785) < 0.02
+    assert abs(quality.emptiest(ranks([0.55] * 50 + [0.1] * 20), -1) - 0.3) < 0.06
+    assert quality.emptiest(ranks([0.2, 0.6]), 1) > 0.6  # no case: beyond all values
+
+
+@pytest.mark.parametrize("upper", [0.6, 0.7])
+def test_sketches_move_the_limit(spark, upper):
+    """What merely lies far out is no list, however far, if the lists lie apart from it."""
+    shares = [0.0, 0.1, 0.05, upper] * 30 + [1.0] * 40
+    rows = [(i, "sv", 40, 4.0, 0.95, 0.1, 0.5, 20, x, 0.0, 0.9, 0.0) for i, x in enumerate(shares)]
+    d = spark.createDataFrame(rows, "doc_id long, lang string, " + ", ".join(f"{s} {'long' if s.startswith('n_') else 'double'}" for s in quality.STATS))
+    got = {r.doc_id for r in quality.scored(d).where("kind = 'list'").collect()}
+    assert got == {i for i, x in enumerate(shares) if x == 1.0}
+    assert quality.scored(d.limit(0)).count() == 0
+
+
 def test_quality_sketches_merge(spark):
     rows = [(i, "ord " * (i + 1), "sv" if i % 3 else "fi") for i in range(300)]
     stats = quality.statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", spark.createDataFrame([], "word string, is_common boolean"))
