@@ -7,12 +7,15 @@ text goes on in lower case.
 Misread words. All texts give word counts and skip-gram counts (words of the lexicon with the words around them). Skip-
 gram vectors are learned from these by full-batch gradient descent with the expected negative samples. Every word
 outside the lexicon is linked to the lexicon words from which plausible glyph edits make it, if it is rare beside
-them in all texts or in the distinct ones, where copies of a misread text count once; in its line the link whose vector suits the neighbours best, less the cost of the edits, corrects it.
+them in all texts or in the distinct ones, where copies of a misread text count once. Where it stands the context
+decides: the source whose vector suits the neighbours best, less a cost for more than one edit, replaces the word if it
+suits them better than the average word of the lexicon does; else the word stays. Without any known neighbour the
+links decide alone.
 
 Repair drops furniture, joins divided words, corrects misread ones and reflows lines into paragraphs.
 
-Null and blank texts, lists, tables and junk have no noise and are returned as they are. Texts that are not cut into
-lines (their long lines exceed ``LINE_LIMIT`` characters) have no misread words here. Repeated rows are judged each
+Null and blank texts, lists, tables and junk have no noise and are returned as they are. Misread words are those of
+scanned pages, whose text is cut into lines: at least a third of the line ends that can be told fall inside a sentence. Repeated rows are judged each
 by itself. An empty table gives no rows. Without lexicon no word is misread.
 """
 
@@ -41,7 +44,6 @@ GLYPHS = [
 ]
 DIVISION = "-¬=⸗­‐"
 _SOFT = re.compile(r"\xad(?=\s*\n)")
-LINE_LIMIT = 110
 LEXICON_LIMIT = 65_536
 CONTEXTS = 256
 WINDOW = 2
@@ -49,7 +51,10 @@ WINDOW = 2
 FLUSH_WORDS = 500_000
 #: A word is rare beside another if it has less than this share of its count, in all texts or in the distinct ones.
 RARE = 0.1
-COST = 1.0
+#: Cost of each edit after the first, in the score's unit (logarithms of likelihood).
+COST = 3.0
+#: A word may be misread by one edit for this many of its characters.
+CHARS_AN_EDIT = 3
 
 _BACK: dict[str, list[str]] = {}
 _FORTH: dict[str, list[str]] = {}
@@ -138,11 +143,6 @@ def furniture(lines: list[str]) -> dict[int, str]:
     return out
 
 
-def cut_into_lines(lines: list[str]) -> bool:
-    sizes = sorted(len(x) for x in lines if x and not x.isspace())
-    return len(sizes) >= 3 and sizes[int(len(sizes) * 0.9)] <= LINE_LIMIT
-
-
 def layout(lines: list[str], marks: dict[int, str]) -> tuple[list[int], set[int]]:
     """Numbers of the lines of text, and of those whose last word is divided."""
     text = [i for i, x in enumerate(lines) if i not in marks and x and not x.isspace()]
@@ -155,6 +155,17 @@ def layout(lines: list[str], marks: dict[int, str]) -> tuple[list[int], set[int]
     return text, divided
 
 
+def cut_into_lines(lines: list[str], text: list[int]) -> bool:
+    """Whether at least a third of the line ends fall inside a sentence, of those that end one or are followed by a small letter."""
+    inside = ended = 0
+    for a, b in zip(text, text[1:], strict=False):
+        if lines[a].rstrip()[-1] in ".!?…":
+            ended += 1
+        elif lines[b].lstrip()[0].islower():
+            inside += 1
+    return inside > 0 and 2 * inside >= ended
+
+
 def joined(lines: list[str], text: list[int], divided: set[int]) -> tuple[str, list[tuple[int, int]]]:
     """The lines of text as one string, divided words joined, and (start, line) of each line in it."""
     parts, starts, at, glue = [], [], 0, False
@@ -183,10 +194,10 @@ def _prepared(text: str) -> tuple[str, list[tuple[int, int]], dict[int, str], se
         return None
     # a soft hyphen that divides a word must outlive the removal of invisible characters
     lines = K.readable(_SOFT.sub("-", text)).split("\n")
-    marks = furniture(lines) if len(lines) > 2 else {}
+    marks = furniture(lines)
     body, divided = layout(lines, marks)
     whole, starts = joined(lines, body, divided)
-    return whole, starts, marks, divided, lines, cut_into_lines(lines)
+    return whole, starts, marks, divided, lines, cut_into_lines(lines, body)
 
 
 def _sent(counts: Counter[str], again: Counter[str]) -> pd.DataFrame:
@@ -282,19 +293,17 @@ def glyph_forms(words: Iterable[str]) -> dict[str, list[str]]:
     return forms
 
 
-def glyph_sources(word: str, known: Container[str], forms: dict[str, list[str]]) -> dict[str, int]:
-    """Lexicon words that one glyph edit, or else two in a long word, turns into ``word``, with the number of edits."""
-    one = forms.get(word)
-    if one:
-        return dict.fromkeys(one, 1)
+def glyph_sources(word: str, forms: dict[str, list[str]]) -> dict[str, int]:
+    """Lexicon words that one glyph edit turns into ``word``, or two in a word long enough, with the least number of edits."""
     found: dict[str, int] = {}
-    if len(word) >= 6:  # undo one edit; what is left must be one edit from a word
+    if len(word) >= 2 * CHARS_AN_EDIT:  # undo one edit; what is left must be one edit from a word
         for i in range(len(word)):
             for seen in (word[i], word[i : i + 2]) if i + 1 < len(word) else (word[i],):
                 for true in _BACK.get(seen, ()):
                     for w in forms.get(word[:i] + true + word[i + len(seen) :], ()):
                         if w != word:
                             found[w] = 2
+    found.update(dict.fromkeys(forms.get(word, ()), 1))
     return found
 
 
@@ -309,7 +318,7 @@ def _linking(counts: dict[str, int], once: dict[str, int]):
                 bare = w.strip("!|")
                 if len(bare) < 2 or bare in counts or w.isdigit() or not any(map(str.isalpha, w)):
                     continue
-                for t, e in glyph_sources(w, counts, forms).items():
+                for t, e in glyph_sources(w, forms).items():
                     if n < RARE * counts[t] or o < RARE * once[t]:
                         rows.append((w, t, e))
             yield pd.DataFrame(rows, columns=["word", "source", "edits"])
@@ -318,25 +327,25 @@ def _linking(counts: dict[str, int], once: dict[str, int]):
 
 
 class Corrector:
-    """Links of misread words, with vectors to choose among them."""
+    """Links of misread words, with vectors that decide in context."""
 
     def __init__(self, links: dict[str, list[tuple[str, int]]], lexicon: list[str], words: np.ndarray, contexts: np.ndarray):
         self.links, self.words, self.contexts = links, words.astype(np.float32), contexts.astype(np.float32)
+        self.average = self.words.mean(axis=0) if len(lexicon) else np.zeros(self.contexts.shape[1], dtype=np.float32)
         self.at = {w: i for i, w in enumerate(lexicon)}
         self.bucket = [sum(map(ord, w)) * 31 % 8191 % CONTEXTS for w in lexicon]
 
     def correct(self, word: str, around: list[str]) -> str | None:
-        """The source of a misread word among its neighbours; None if it is none."""
+        """The source of a misread word among its neighbours; None if it is none or if the context speaks for the word as it is."""
         options = self.links.get(word)
         if not options:
             return None
-        if len(options) == 1:
-            return options[0][0]
         near = [self.bucket[self.at[x]] for x in around if x in self.at]
         if not near:
             return min(options, key=lambda o: (o[1], o[0]))[0]
         here = self.contexts[near].mean(axis=0)
-        return max(options, key=lambda o: (float(self.words[self.at[o[0]]] @ here) - COST * o[1], o[0]))[0]
+        best = max(options, key=lambda o: (float(self.words[self.at[o[0]]] @ here) - COST * (o[1] - 1), o[0]))
+        return best[0] if float(self.words[self.at[best[0]]] @ here) - COST * (best[1] - 1) > float(self.average @ here) else None
 
 
 def fit(docs: DataFrame, text: str, lexicon: DataFrame) -> Corrector:

@@ -346,7 +346,7 @@ med brevet.
 @pytest.fixture(scope="module")
 def corpus(spark):
     rows = [(1, PAGES), (2, "tuom@ri\n" * 3), (3, None), (4, " "), (5, LIST), (6, JUNK[0]), (7, "en rad"), (None, PAGES)]
-    rows += [(100 + i, "\n".join(["mannen gick över bron med hans dotter", "ingen kom hem med brevet på kvällen", "tuomari gick över bron"])) for i in range(30)]
+    rows += [(100 + i, "\n".join(["mannen gick över bron med hans dotter", "ingen kom hem med brevet på kvällen", "tuomari gick över bron", "ingen gick över bron med brevet"])) for i in range(30)]
     return spark.createDataFrame(rows, "doc_id long, text string").withColumn("line_no", F.lit(0))
 
 
@@ -387,6 +387,27 @@ def test_a_misread_word_in_a_copied_text(spark):
     assert copies[rows[-1][1]] == 20 and copies[rows[0][1]] == 1 and len(copies) == 41
 
 
+def test_the_context_decides_on_misread_words(spark, corpus):
+    """Without vectors no word is misread, and a word that its neighbours do not speak for stays."""
+    c = scan.fit(corpus, "text", spark.createDataFrame([(w, True) for w in LEXICON], "word string, is_common boolean"))
+    plain = scan.Corrector(c.links, list(c.at), np.zeros_like(c.words), c.contexts)
+    got = {name: {(k, n) for k, n in scan.noise(PAGES, x)} for name, x in (("learned", c), ("none", plain))}
+    assert got["learned"] - got["none"] == {(7, "misread")} and got["none"] < got["learned"]
+    words, contexts = np.eye(2), np.zeros((scan.CONTEXTS, 2))
+    two = scan.Corrector({"hcm": [("hem", 1)]}, ["hem", "kom"], words, contexts)
+    contexts[two.bucket[two.at["kom"]]] = [1, -1]
+    good = scan.Corrector(two.links, ["hem", "kom"], words, contexts)
+    bad = scan.Corrector(two.links, ["hem", "kom"], words, -contexts)
+    assert good.correct("hcm", ["kom"]) == "hem" and bad.correct("hcm", ["kom"]) is None
+    assert bad.correct("hcm", ["okänt"]) == "hem" and bad.correct("hem", ["kom"]) is None
+
+
+def test_cut_into_lines():
+    prose = ["Mannen gick över bron.", "Hans dotter kom hem med brevet!", "Ingen gick."]
+    assert not scan.cut_into_lines(prose, [0, 1, 2]) and not scan.cut_into_lines(["en rad"], [0]) and not scan.cut_into_lines([], [])
+    assert scan.cut_into_lines(["Mannen gick över", "bron. Hans dotter kom", "hem med brevet."], [0, 1, 2])
+
+
 def test_no_lexicon_and_no_rows(spark, corpus):
     lex = spark.createDataFrame([], "word string, is_common boolean")
     c = scan.fit(corpus, "text", lex)
@@ -402,10 +423,10 @@ def test_lone_numbers():
 
 def test_glyphs():
     forms = scan.glyph_forms(["tuomari", "kylä", "mark"])
-    assert scan.glyph_sources("tnomari", {"tuomari"}, forms) == {"tuomari": 1}
-    assert scan.glyph_sources("tnomar1", {"tuomari"}, forms) == {"tuomari": 2}
-    assert scan.glyph_sources("marlc", {"mark"}, forms) == {"mark": 1}
-    assert scan.glyph_sources("bord", {"mark"}, forms) == {}
+    assert scan.glyph_sources("tnomari", forms) == {"tuomari": 1}
+    assert scan.glyph_sources("tnomar1", forms) == {"tuomari": 2}
+    assert scan.glyph_sources("marlc", forms) == {"mark": 1}
+    assert scan.glyph_sources("bord", forms) == {}
 
 
 def test_vectors_bring_like_words_together():
