@@ -2,16 +2,17 @@
 
 A document larger than the capacity is cut into full pieces, each a container of its own, and a remainder; all
 other documents stay whole. What is left is bin packing, and a packing depends on the documents only by the number
-of documents of each size. That histogram has at most ``capacity`` rows however many documents there are, so it is
-counted by Spark and packed as a whole:
+of documents of each size. That histogram has at most ``capacity`` rows however many documents there are; it is
+counted by Spark, and the histogram of each profile is packed by one task, none by the driver:
 
 1. Reduction by dominance (Martello-Toth): from the largest size down, sets that provably dominate every other set
    holding that size are fixed at once: alone where nothing fits beside it, with the one size that fills the
    container exactly, with the largest partner where only one fits, or where the partner is worth any two that fit.
 2. The remaining, smaller instance is packed best-fit decreasing, containers of equal content at a time.
 
-The packing comes out as runs (size, first rank, last rank, first container). Documents get a rank within their
-size, counted over salted buckets so that one frequent size is spread over many tasks, and join their run.
+The packing comes out as a table of runs (size, first rank, last rank, first container). Documents get a rank within
+their size, counted over salted buckets so that one frequent size is spread over many tasks, and join their run by
+size and block of ranks, so neither a frequent size nor one of many runs meets in one task.
 
 Null texts have 0 tokens; documents of 0 tokens share the first container. Documents with null ids are packed like
 others. Profiles with null or non-positive capacity give no rows, nor does an empty table. Equal sizes are ranked
@@ -23,14 +24,17 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.runtime import save, small
+from quirework.runtime import save
 
-#: The histogram on the driver has at most this many rows over all profiles.
-MAX_CAPACITY_SUM = 8_000_000
+#: The histogram of one profile has at most this many rows.
+MAX_CAPACITY = 8_000_000
 SALT = 256
+#: Ranks of a size that are joined with their runs together.
+BLOCK = 256
 
 
 def byte_tokens(text: Column) -> Column:
@@ -168,40 +172,48 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, list[tuple[in
     return out
 
 
-def pack_histogram(counts: np.ndarray, capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """All groups of containers for ``counts[size]`` items of each size from 1 to ``capacity``."""
+def pack_histogram(counts: np.ndarray, capacity: int) -> tuple[list[tuple[int, list[tuple[int, int]]]], int]:
+    """All groups of containers for ``counts[size]`` items of each size from 1 to ``capacity``, those fixed by dominance
+    first, and how many these are."""
     counts = counts.copy()
     fixed = reduce_by_dominance(counts, capacity)
-    return fixed + best_fit(counts, capacity)
+    return fixed + best_fit(counts, capacity), len(fixed)
 
 
-def _runs(profile: str, groups: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple]:
+_RUNS = "profile string, size long, first long, last long, container long, each long, placed_by string"
+
+
+def _planned(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    """Runs of one profile from its histogram ``size, n``."""
+    profile, capacity = key[0], int(key[1])
+    counts = np.zeros(capacity + 1, dtype=np.int64)
+    np.add.at(counts, frame["size"].to_numpy(), frame["n"].to_numpy())
+    groups, n_fixed = pack_histogram(counts, capacity)
+    rows = [(profile, 0, 0, int(counts[0]), 0, int(counts[0]), "best_fit")] if counts[0] else []
     rank: dict[int, int] = {}
-    rows, container = [], 0
-    for n, items in groups:
+    container = 0
+    for i, (n, items) in enumerate(groups):
         for s, each in items:
             first = rank.get(s, 0)
             rank[s] = first + n * each
-            rows.append((profile, s, first, first + n * each, container, each))
+            rows.append((profile, s, first, first + n * each, container, each, "dominance" if i < n_fixed else "best_fit"))
         container += n
-    return rows
+    return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in _RUNS.split(", ")])
 
 
 def pack(docs: DataFrame, doc_id: str, tokens: Column, profiles: DataFrame, profile: str = "profile", capacity: str = "capacity") -> DataFrame:
     """One row for each piece of each document and profile.
 
-    Columns: ``profile, doc_id, n_pieces, piece`` (from 0), ``piece_tokens, container``. Containers named
-    ``f:<doc>:<piece>`` hold one full piece, ``s:<n>`` are shared. Profiles are read on the driver: their capacities
-    may sum up to ``MAX_CAPACITY_SUM``.
+    Columns: ``profile, doc_id, n_pieces, piece`` (from 0), ``piece_tokens, container, placed_by`` (full, dominance or
+    best_fit). Containers named ``f:<doc>:<piece>`` hold one full piece, ``s:<n>`` are shared. Profiles, at most 10,000,
+    are read by the driver; a capacity is at most ``MAX_CAPACITY``.
     """
-    spark: SparkSession = docs.sparkSession
     caps = {
         r[0]: int(r[1])
         for r in profiles.select(profile, capacity).where(F.col(capacity) > 0).where(F.col(profile).isNotNull()).distinct().limit(10_001).collect()
     }
-    if len(caps) > 10_000 or sum(caps.values()) > MAX_CAPACITY_SUM:
-        raise ValueError(f"the capacities of all profiles may sum up to {MAX_CAPACITY_SUM}")
-    schema = "profile string, size long, first long, last long, container long, each long"
+    if len(caps) > 10_000 or max(caps.values(), default=0) > MAX_CAPACITY:
+        raise ValueError(f"at most 10,000 profiles, of a capacity of at most {MAX_CAPACITY}")
     each_cap = F.array(*(F.struct(F.lit(p).alias("profile"), F.lit(c).cast("long").alias("cap")) for p, c in caps.items()))
     base = docs.select(F.col(doc_id).alias("doc_id"), tokens.cast("long").alias("_t"))
     if not caps:
@@ -211,23 +223,18 @@ def pack(docs: DataFrame, doc_id: str, tokens: Column, profiles: DataFrame, prof
     n_full = F.when(F.col("_t") > F.col("cap"), F.expr("_t div cap")).otherwise(F.lit(0))
     per = per.withColumns({"_full": n_full, "size": F.col("_t") - n_full * F.col("cap")})
     shared = per.where((F.col("size") > 0) | (F.col("_t") == 0))
-    hist: dict[str, np.ndarray] = {p: np.zeros(c + 1, dtype=np.int64) for p, c in caps.items()}
-    for r in shared.groupBy("profile", "size").count().toLocalIterator():
-        hist[r["profile"]][r["size"]] = r["count"]
-    runs = []
-    for p, h in hist.items():
-        runs += _runs(p, pack_histogram(h, caps[p]))
-        if h[0]:
-            runs.append((p, 0, 0, int(h[0]), 0, int(h[0])))
-    plan = save(spark.createDataFrame(runs, schema)).df
+    hist = shared.groupBy("profile", "cap", "size").agg(F.count(F.lit(1)).alias("n"))
+    runs = save(hist.groupBy("profile", "cap").applyInPandas(_planned, _RUNS)).df
+    blocks = F.explode(F.sequence(F.expr(f"first div {BLOCK}"), F.expr(f"(last - 1) div {BLOCK}"))).alias("_block")
+    runs = runs.select("profile", "size", blocks, "first", "last", "container", "each", "placed_by")
 
     w = Window.partitionBy("profile", "size", "_salt")
     salted = shared.select("profile", "doc_id", "size", "_full", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).alias("_salt"))
     offsets = salted.groupBy("profile", "size", "_salt").agg(F.count(F.lit(1)).alias("_c"))
     offsets = offsets.withColumn("_off", F.sum("_c").over(Window.partitionBy("profile", "size").orderBy("_salt")) - F.col("_c")).drop("_c")
     ranked = salted.withColumn("_r", F.row_number().over(w.orderBy("doc_id")) - 1).join(offsets, ["profile", "size", "_salt"])
-    ranked = ranked.withColumn("_r", F.col("_r") + F.col("_off"))
-    placed = ranked.join(small(plan), ["profile", "size"]).where((F.col("_r") >= F.col("first")) & (F.col("_r") < F.col("last")))
+    ranked = ranked.withColumn("_r", F.col("_r") + F.col("_off")).withColumn("_block", F.expr(f"_r div {BLOCK}"))
+    placed = ranked.join(runs, ["profile", "size", "_block"]).where((F.col("_r") >= F.col("first")) & (F.col("_r") < F.col("last")))
     rest = placed.select(
         "profile",
         "doc_id",
@@ -235,6 +242,7 @@ def pack(docs: DataFrame, doc_id: str, tokens: Column, profiles: DataFrame, prof
         F.col("_full").alias("piece"),
         F.col("size").alias("piece_tokens"),
         F.concat(F.lit("s:"), (F.col("container") + F.floor((F.col("_r") - F.col("first")) / F.col("each"))).cast("long").cast("string")).alias("container"),
+        "placed_by",
     )
     full = per.where(F.col("_full") > 0).select(
         "profile",
@@ -243,8 +251,9 @@ def pack(docs: DataFrame, doc_id: str, tokens: Column, profiles: DataFrame, prof
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_full") - 1)).alias("piece"),
         F.col("cap").alias("piece_tokens"),
     )
-    full = full.withColumn("container", F.concat_ws(":", F.lit("f"), F.col("doc_id").cast("string"), F.col("piece").cast("string")))
-    return rest.unionByName(full).select("profile", "doc_id", F.col("n_pieces").cast("int").alias("n_pieces"), F.col("piece").cast("int").alias("piece"), "piece_tokens", "container")
+    full = full.withColumns({"container": F.concat_ws(":", F.lit("f"), F.col("doc_id").cast("string"), F.col("piece").cast("string")), "placed_by": F.lit("full")})
+    out = rest.unionByName(full)
+    return out.select("profile", "doc_id", F.col("n_pieces").cast("int").alias("n_pieces"), F.col("piece").cast("int").alias("piece"), "piece_tokens", "container", "placed_by")
 
 
 def fill(pieces: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -260,3 +269,21 @@ def fill(pieces: DataFrame, profiles: DataFrame) -> DataFrame:
         F.ceil(F.col("tokens") / F.col("capacity")).alias("least_containers"),
         F.round(100 * F.col("tokens") / (F.col("n_containers") * F.col("capacity")), 3).alias("fill"),
     )
+
+
+def placements(pieces: DataFrame) -> DataFrame:
+    """Per profile and ``placed_by``: ``n_pieces, n_containers, tokens``."""
+    per = pieces.groupBy("profile", "placed_by", "container").agg(F.count(F.lit(1)).alias("_n"), F.sum("piece_tokens").alias("_t"))
+    return per.groupBy("profile", "placed_by").agg(F.sum("_n").alias("n_pieces"), F.count(F.lit(1)).alias("n_containers"), F.sum("_t").alias("tokens"))
+
+
+def wholeness(pieces: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Per profile, as counted in the packing: ``tokens``, ``n_docs`` (ids placed), ``n_cut``, ``n_over`` (containers over capacity),
+    ``n_loose`` (pieces of cut documents but for the last that fill no container)."""
+    c = profiles.select("profile", F.col("capacity").cast("long").alias("_cap"))
+    p = pieces.join(c, "profile")
+    per = p.groupBy("profile", "container", "_cap").agg(F.sum("piece_tokens").alias("_t"))
+    over = per.groupBy("profile").agg(F.sum("_t").alias("tokens"), F.count_if(F.col("_t") > F.col("_cap")).alias("n_over"))
+    docs = p.groupBy("profile", "doc_id").agg(F.max("piece").alias("_last"), F.count_if(F.col("piece_tokens") < F.col("_cap")).alias("_part"))
+    docs = docs.groupBy("profile").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("_last") > 0).alias("n_cut"), F.count_if((F.col("_part") > 1)).alias("n_loose"))
+    return over.join(docs, "profile").select("profile", "tokens", "n_docs", "n_cut", "n_over", "n_loose")
