@@ -1,8 +1,9 @@
 """Problem 1: percentiles of very large numeric columns by radix selection.
 
 Doubles become order-preserving 64-bit integers; histograms of successive bit digits are counted per group and
-only the digit that holds a target rank is followed. Counts are pre-aggregated before every shuffle, so a group
-that holds a third of all rows costs its reducer no more than 2**bits counters.
+only the digit that holds a target rank is followed. The keys are written once, without a shuffle; every digit is
+counted in the tasks that read them, so a shuffle carries counters only, at most 2**16 for a group and prefix in play
+and task, and a group that holds a third of all rows costs its reducer no more.
 
 Histograms of the leading bits are mergeable: add the counts of any parts, days or partitions. Percentiles read
 from one are bounded by the edges of the bucket that holds the rank: relative error at most 2**(12 - bits).
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.runtime import save
+from quirework.runtime import save, small
 
 DIGIT_BITS = 16
 _MANTISSA = 1 << 52
@@ -62,7 +63,8 @@ def _same(cols: Sequence[str]) -> Column:
 def radix_select(counts: DataFrame, keys: Sequence[str], targets: DataFrame) -> DataFrame:
     """The values at given ranks.
 
-    counts: ``keys``, ``_k`` (order key), ``_n``. targets: ``keys``, ``_rank`` (from 0). Returns ``keys, _rank, _value``.
+    counts: ``keys``, ``_k`` (order key), ``_n`` (how often; keys may come again). targets: ``keys``, ``_rank`` (from 0).
+    Returns ``keys, _rank, _value``.
     """
     keys = list(keys)
     state = targets.select(*keys, "_rank").distinct().withColumns({"_p": F.lit(0).cast("long"), "_off": F.col("_rank")})
@@ -73,7 +75,7 @@ def radix_select(counts: DataFrame, keys: Sequence[str], targets: DataFrame) ->
         rows = counts.withColumn("_p", prefix)
         if up < 64:
             live = state.select(*keys, "_p").distinct()
-            rows = rows.alias("a").join(live.alias("b"), _same([*keys, "_p"]), "left_semi")
+            rows = rows.alias("a").join(small(live).alias("b"), _same([*keys, "_p"]), "left_semi")
         hist = rows.groupBy(*keys, "_p", F.shiftright("_k", shift).alias("_d")).agg(F.sum("_n").alias("_n"))
         before = F.sum("_n").over(Window.partitionBy(*keys, "_p").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1))
         hist = hist.withColumn("_before", F.coalesce(before, F.lit(0)))
@@ -87,12 +89,8 @@ def radix_select(counts: DataFrame, keys: Sequence[str], targets: DataFrame) ->
 def radix_percentiles(df: DataFrame, keys: Sequence[str], value: str, percents: dict[str, float]) -> DataFrame:
     """Exact percentiles (linear interpolation) per group: ``keys``, ``n`` and a column for each name in ``percents``."""
     keys = list(keys)
-    counts = save(
-        df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .where(finite(F.col("_v")))
-        .groupBy(*keys, order_key(F.col("_v")).alias("_k"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    ).df
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(finite(F.col("_v")))
+    counts = save(rows.select(*keys, order_key(F.col("_v")).alias("_k"))).df.withColumn("_n", F.lit(1).cast("long"))
     n = counts.groupBy(*keys).agg(F.sum("_n").alias("n"))
     pos = {name: F.lit(q) * (F.col("n") - 1) for name, q in percents.items()}
     ranks = F.array_distinct(F.array(*(f(p).cast("long") for p in pos.values() for f in (F.floor, F.ceil))))
