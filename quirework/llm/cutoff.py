@@ -4,7 +4,7 @@ Each round every partition gives its median of the values still in play per grou
 medians becomes the group's pivot, and counts above and at it discard one side: the group's window of values shrinks.
 A group leaves when its pivot is the cutoff, or once at most ``finish`` records are in its window, whose exact order
 isolates the rank. Only medians and counts are shuffled, a row per group and task; the values are written once without
-a shuffle, and again when the windows hold less than a quarter of what was written. The counts give the number kept.
+a shuffle, and again when the windows hold less than two thirds of what was written. The counts give the number kept.
 
 Null, NaN and infinite scores are no records here; rows with a null group key or a source without target give none.
 Ties at the cutoff are all kept (score >= cutoff). A target of 0 percent keeps the best score and its ties.
@@ -64,12 +64,12 @@ def quickselect(values: DataFrame, keys: Sequence[str], ranks: DataFrame, finish
             break
         lo, hi = F.when(up, F.col("_pivot")).otherwise(F.col("_lo")), F.when(down, F.col("_pivot")).otherwise(F.col("_hi"))
         nxt = save(split.df.where(up | down).select(*keys, "_rank", lo.alias("_lo"), hi.alias("_hi"), (F.col("_base") + F.when(down, F.col("_upto")).otherwise(0)).alias("_base")))
-        if size and 4 * n[0] < size:
+        if size and 3 * n[0] < 2 * size:
             less = save(play.join(small(nxt.df.select(*keys)), keys, "left_semi").select(*keys, "_v"))
             if written is not None:
                 written.drop()
             live, written = less.df, less
-        if not size or 4 * n[0] < size:
+        if not size or 3 * n[0] < 2 * size:
             size = n[0]
         for t in (state, pivots, split):
             t.drop()
