@@ -5,10 +5,8 @@ A polygon is ARRAY<STRUCT<x, y>>. Null polygons give null; polygons of under thr
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 LONG_ROW = 100
 
@@ -153,26 +151,33 @@ def points_text(polygon: Column, least: int | None = None) -> Column:
     return F.array_join(F.transform(polygon, lambda p: F.concat(num(p["x"]), F.lit(","), num(p["y"]))), " ")
 
 
-@F.pandas_udf(T.StringType())
-def confidence_text(conf: pd.Series) -> pd.Series:
-    """Confidence clamped to [0, 1] with four decimals, rounded by the exact binary value; null if not finite."""
-    out = []
-    for v in conf:
-        ok = v is not None and v == v and abs(v) != float("inf")
-        out.append(f"{min(max(v, 0.0), 1.0):.4f}" if ok else None)
-    return pd.Series(out, dtype=object)
+def decimal_text(value: Column) -> Column:
+    """Four decimals, rounded by the exact binary value and halves to even; null if not finite.
 
+    Ten thousand times the value is the exact sum of two doubles: the products of its upper and lower bits. Their signs
+    tell on which side of a half the value lies.
+    """
+    v = F.when(is_finite(value), value.cast("double"))
+    x = F.abs(v)
+    cut = x * F.lit(134217729.0)
+    upper = cut - (cut - x)
+    high, low = upper * 10000.0, (x - upper) * 10000.0
+    down = F.floor(high)
+    side = (high - down - 0.5) + low
+    n = down + F.when(side > 0, F.lit(1)).when(side < 0, F.lit(0)).otherwise(down % 2)
+    n = n.cast("long")
+    sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, F.floor(n / 10000).cast("string"), F.lit("."), F.lpad((n % 10000).cast("string"), 4, "0"))
 
-@F.pandas_udf(T.StringType())
-def decimal_text(value: pd.Series) -> pd.Series:
-    """Four decimals, rounded by the exact binary value."""
-    return pd.Series([None if v is None or v != v else f"{v:.4f}" for v in value], dtype=object)
 
+def confidence_text(conf: Column) -> Column:
+    """Confidence clamped to [0, 1] with four decimals; null if not finite."""
+    return F.when(is_finite(conf), decimal_text(F.least(F.greatest(conf.cast("double"), F.lit(0.0)), F.lit(1.0))))
 
-def stats_settings(stats: Column, names: tuple[str, ...] = ("PC25", "PC50", "PC75", "N_LONG_ROWTEXT"), text=None) -> Column:
-    """'name=value;...' of the statistics that have a value; null if none has. ``text`` formats doubles."""
-    text = decimal_text if text is None else text
-    part = lambda n: stats[n].cast("string") if n.startswith("N_") else text(stats[n])
+
+def stats_settings(stats: Column, names: tuple[str, ...] = ("PC25", "PC50", "PC75", "N_LONG_ROWTEXT")) -> Column:
+    """'name=value;...' of the statistics that have a value; null if none has."""
+    part = lambda n: stats[n].cast("string") if n.startswith("N_") else decimal_text(stats[n])
     return F.nullif(F.concat_ws(";", *(F.concat(F.lit(f"{n}="), part(n)) for n in names)), F.lit(""))
 
 

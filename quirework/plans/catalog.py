@@ -51,8 +51,7 @@ def page_languages_stored(spark: SparkSession, d: str) -> DataFrame:
 
 def stats_text(spark: SparkSession, d: str) -> DataFrame:
     p = pages.page_stats(X.doc_lines(spark, d), "doc_id", text="t")
-    text = lambda c: F.round(c, 3).cast("string")
-    return p.select("doc_id", S.stats_settings(pages.stats_struct(), text=text).alias("settings"))
+    return p.select("doc_id", S.stats_settings(pages.stats_struct()).alias("settings"))
 
 
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -368,7 +367,7 @@ def oracle_sql() -> dict[str, str]:
         "long_rows": f"SELECT doc_id, count(*) n_long FROM ({X.DOC_LINES}) WHERE length(t) > 100 GROUP BY doc_id",
         "has_letters": "SELECT doc_id, coalesce(regexp_matches(text, '\\p{L}'), false) letters FROM documents",
         "page_languages_stored": "SELECT DISTINCT page_id, CASE WHEN regexp_full_match(language, '[a-zA-Z]{1,8}(-[a-zA-Z0-9]{1,8})*') AND lower(language) <> 'unknown' THEN language END lang FROM page_info",
-        "stats_text": f"SELECT doc_id, 'PC25=' || round(quantile_cont(conf, 0.25), 3) || ';PC50=' || round(median(conf), 3) || ';PC75=' || round(quantile_cont(conf, 0.75), 3) || ';N_LONG_ROWTEXT=' || count(*) FILTER (length(t) > 100) settings FROM ({X.DOC_LINES}) GROUP BY doc_id",
+        "stats_text": f"SELECT doc_id, 'PC25=' || printf('%.4f', quantile_cont(conf, 0.25)) || ';PC50=' || printf('%.4f', median(conf)) || ';PC75=' || printf('%.4f', quantile_cont(conf, 0.75)) || ';N_LONG_ROWTEXT=' || count(*) FILTER (length(t) > 100) settings FROM ({X.DOC_LINES}) GROUP BY doc_id",
         "run_summary": "SELECT count(*) FILTER (height >= 0 AND length <> 0) n_ok, count(*) FILTER (height < 0) n_err FROM (SELECT DISTINCT ON (path) * FROM page_images)",
         "image_inventory": f"SELECT DISTINCT ON (path) path, regexp_replace(regexp_extract(path, '[^/]*$'), '(.)\\.[^.]*$', '\\1') stem, regexp_replace(path, '/?[^/]*$', '') folder, height, width FROM page_images WHERE regexp_extract(path, '\\.([^./]+)$', 1) IN {_EXT}",
         "pages_never_read": f"SELECT DISTINCT page_id FROM page_images WHERE regexp_extract(path, '\\.([^./]+)$', 1) IN {_EXT} AND page_id NOT IN (SELECT page_id FROM line_text WHERE page_id IS NOT NULL)",

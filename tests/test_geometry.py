@@ -120,7 +120,15 @@ def test_scalars(spark):
 
 def test_confidence_text(spark):
     d = spark.createDataFrame([(-0.1,), (1.2,), (float("nan"),), (None,), (0.00015,), (float("inf"),)], "c double")
-    assert [r.t for r in d.select(S.confidence_text("c").alias("t")).collect()] == ["0.0000", "1.0000", None, None, "0.0001", None]
+    assert [r.t for r in d.select(S.confidence_text(F.col("c")).alias("t")).collect()] == ["0.0000", "1.0000", None, None, "0.0001", None]
+
+
+def test_decimals_are_those_of_the_binary_value(spark):
+    rng = np.random.default_rng(5)
+    ties = [k / 1e4 + 5e-5 for k in range(0, 10000, 7)]
+    values = [*ties, *np.nextafter(ties, 9).tolist(), *np.nextafter(ties, -9).tolist(), *(k / 65536 for k in range(0, 65536, 91)), *rng.random(2000).tolist(), 0.0, -0.25, -1e-9, 12345.67895, 0.03125, 0.09375]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", S.decimal_text(F.col("v")).alias("t")).collect()
+    assert [r.t for r in got] == [f"{r.v:.4f}" for r in got]
 
 
 def test_pixels():

@@ -146,6 +146,81 @@ def test_alto(docs):
     assert ET.fromstring(out[3].encode()).find(".//a:PrintSpace", ns) is None
 
 
+SMALL_ALTO = """<?xml version='1.0' encoding='utf-8'?>
+<alto xmlns="http://www.loc.gov/standards/alto/ns-v4#" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xsi:schemaLocation="http://www.loc.gov/standards/alto/ns-v4# http://www.loc.gov/standards/alto/v4/alto-4-4.xsd">
+  <Description>
+    <MeasurementUnit>pixel</MeasurementUnit>
+    <sourceImageInformation>
+      <fileName>/p/1.png</fileName>
+    </sourceImageInformation>
+    <Processing ID="TEXT_RECOGNITION">
+      <processingStepDescription>read</processingStepDescription>
+    </Processing>
+  </Description>
+  <Styles />
+  <Layout>
+    <Page ID="page_1.png" PHYSICAL_IMG_NR="0" WIDTH="20" HEIGHT="10">
+      <TopMargin ID="TM_00001" HPOS="0" VPOS="0" WIDTH="20" HEIGHT="1" />
+      <LeftMargin ID="LM_00001" HPOS="0" VPOS="1" WIDTH="1" HEIGHT="2" />
+      <RightMargin ID="RM_00001" HPOS="4" VPOS="1" WIDTH="16" HEIGHT="2" />
+      <BottomMargin ID="BM_00001" HPOS="0" VPOS="3" WIDTH="20" HEIGHT="7" />
+      <PrintSpace ID="PS_00001" HPOS="1" VPOS="1" WIDTH="3" HEIGHT="2">
+        <ComposedBlock ID="block_1_1" HPOS="1" VPOS="1" WIDTH="3" HEIGHT="2">
+          <TextBlock ID="p_0" HPOS="1" VPOS="1" WIDTH="3" HEIGHT="2">
+            <Shape>
+              <Polygon POINTS="1,1 4,1 4,3 1,3" />
+            </Shape>
+            <TextLine ID="p_0_line_0" HPOS="1" VPOS="1" WIDTH="3" HEIGHT="2">
+              <Shape>
+                <Polygon POINTS="1,1 4,1 4,3 1,3" />
+              </Shape>
+              <String ID="p_0_line_0_s0" CONTENT="&quot;a&quot; &lt; b" WC="0.2500" HPOS="1" VPOS="1" WIDTH="3" HEIGHT="2" />
+            </TextLine>
+          </TextBlock>
+        </ComposedBlock>
+      </PrintSpace>
+    </Page>
+  </Layout>
+</alto>
+"""
+SMALL_PAGE = """<?xml version='1.0' encoding='utf-8'?>
+<PcGts xmlns="http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xsi:schemaLocation="http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15 http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15/pagecontent.xsd">
+  <Metadata>
+    <Creator>me</Creator>
+    <Created>now</Created>
+    <LastChange>now</LastChange>
+  </Metadata>
+  <Page imageFilename="/p/1.png" imageWidth="20" imageHeight="10">
+    <TextRegion id="r0" custom="readingOrder {index:0;}">
+      <Coords points="1,1 4,1 4,3 1,3" />
+      <TextLine id="r0l0" custom="readingOrder {index:0;}">
+        <Coords points="1,1 4,1 4,3 1,3" />
+        <TextEquiv>
+          <Unicode>"a" &lt; b</Unicode>
+        </TextEquiv>
+      </TextLine>
+    </TextRegion>
+  </Page>
+</PcGts>
+"""
+
+
+def test_whole_documents(spark):
+    line = f"struct<polygon:{POINT},text:string,conf:double,script:string,line_conf:double,script_conf:double>"
+    schema = f"image_path string, width int, height int, language string, stats struct<PC:double,PC25:double,PC50:double,PC75:double,N_LONG_ROWTEXT:long>, regions array<struct<name:string,polygon:{POINT},conf:double,lines:array<{line}>>>"
+    at = [{"x": float(x), "y": float(y)} for x, y in ((1, 1), (4, 1), (4, 3), (1, 3))]
+    text = {"polygon": at, "text": ' "a" < b', "conf": 0.25}
+    rows = [("/p/1.png", 20, 10, "unknown", None, [{"name": "p", "lines": [dict(text, text=text["text"].strip())]}]), ("/p/2.png", None, None, None, None, None), ("/p/3.png", 1, 1, "sv", None, [{"name": "p", "lines": None}])]
+    d = spark.createDataFrame([dict(zip(("image_path", "width", "height", "language", "stats", "regions"), r, strict=True)) for r in rows], schema)
+    out = {r.image_path: r for r in d.select("image_path", xml.alto_column([xml.Step("TEXT_RECOGNITION", "read", stats=True)], True).alias("a"), xml.page_column(None, "me", "now").alias("p")).collect()}
+    assert out["/p/1.png"].a == SMALL_ALTO and out["/p/1.png"].p == SMALL_PAGE
+    for path in ("/p/2.png", "/p/3.png"):
+        assert "TextBlock" not in out[path].a and "TextRegion" not in out[path].p
+        assert ET.fromstring(out[path].a.encode()) is not None and ET.fromstring(out[path].p.encode()) is not None
+    plan = d.select(xml.alto_column([], True))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_page_xml(docs):
     out = {r.page_id: r.x for r in docs.select("page_id", xml.page_column("done", "me", "2020-01-01T00:00:00+00:00").alias("x")).collect()}
     ns = {"p": xml.PAGE}
