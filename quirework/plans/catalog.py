@@ -294,12 +294,24 @@ def p7_variants(spark: SparkSession, d: str) -> DataFrame:
     return p7_tables(spark, d).variants()
 
 
+def p7_pages(spark: SparkSession, d: str) -> DataFrame:
+    return p7_tables(spark, d).pages.select("page_id", "image_path", "width", "height", "language", *(F.col(f"stats.{c}").alias(c) for c in nested.STATS))
+
+
+def p7_lines(spark: SparkSession, d: str) -> DataFrame:
+    return p7_tables(spark, d).lines.drop("variant")
+
+
+def p7_extra(spark: SparkSession, d: str) -> DataFrame:
+    return p7_tables(spark, d).extra.select("page_id", "region_pos", "line_pos", "kind", "field")
+
+
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     page_stats, doc_stats, long_rows, has_letters, page_languages_stored, stats_text, run_summary, image_inventory, pages_never_read, page_language,
     small_polygon_filter, sliver_filter, interval_iou_pairs, merge_edges, merge_components, merged_confidence, merged_polygons,
     line_region, regions_without_lines, default_region, ignored_region_lines, reading_rank, cyclic_pages, reading_order, width_batches,
     region_ids, points_text, text_extent, detections_routed, detections_clean, page_documents, page_records,
-    script_argmax, script_fallback, route_by_label, model_names, sequence_score, p7_found, p7_points, p7_variants,
+    script_argmax, script_fallback, route_by_label, model_names, sequence_score, p7_found, p7_points, p7_variants, p7_pages, p7_lines, p7_extra,
 )
 
 
@@ -350,10 +362,33 @@ def _members(x: str) -> str:
 
 _P7 = f"""WITH b AS (SELECT page_id, received_at, body, regexp_replace(body, '([:,\\[]\\s*)-?(NaN|Infinity)\\b', '\\1null', 'g') j FROM page_json WHERE body IS NOT NULL AND page_id IS NOT NULL),
   v AS (SELECT page_id, CAST(j AS JSON) j, row_number() OVER (PARTITION BY page_id ORDER BY received_at DESC NULLS LAST, sha256(body) DESC) n FROM b WHERE json_valid(j) AND json_type(j) = 'OBJECT'),
-  g AS (SELECT page_id, CASE WHEN json_type(j, '$.page') = 'OBJECT' THEN j -> '$.page' ELSE j END -> '$.regions' r FROM v WHERE n = 1),
-  r AS (SELECT page_id, unnest(range(len(m))) region_pos, unnest(m) x FROM (SELECT page_id, {_members('r')} m FROM g)),
-  l AS (SELECT page_id, region_pos, unnest(range(len(m))) line_pos, unnest(m) x FROM (SELECT page_id, region_pos, {_members("(x -> '$.lines')")} m FROM r)),
-  c AS (SELECT page_id, region_pos, -1 line_pos, {_polygon('x', nested.POLYGON)} p FROM r UNION ALL SELECT page_id, region_pos, line_pos, {_polygon('x', nested.POLYGON)} FROM l)"""
+  t AS (SELECT page_id, json_type(j, '$.page') = 'OBJECT' w, j, CASE WHEN json_type(j, '$.page') = 'OBJECT' THEN j -> '$.page' ELSE j END x FROM v WHERE n = 1),
+  g AS (SELECT page_id, x -> '$.regions' r FROM t),
+  r AS (SELECT page_id, CAST(unnest(range(len(m))) AS INTEGER) region_pos, unnest(m) x FROM (SELECT page_id, {_members('r')} m FROM g)),
+  l AS (SELECT page_id, region_pos, CAST(unnest(range(len(m))) AS INTEGER) line_pos, unnest(m) x FROM (SELECT page_id, region_pos, {_members("(x -> '$.lines')")} m FROM r)),
+  c AS (SELECT page_id, region_pos, -1 line_pos, {_polygon('x', nested.POLYGON)} p FROM r UNION ALL SELECT page_id, region_pos, line_pos, {_polygon('x', nested.POLYGON)} FROM l),
+  o AS (SELECT page_id, NULL::INTEGER region_pos, NULL::INTEGER line_pos, 'page' kind, x, coalesce(w, false) w FROM t
+    UNION ALL SELECT page_id, region_pos, NULL, 'region', x, false FROM r UNION ALL SELECT page_id, region_pos, line_pos, 'line', x, false FROM l)"""
+_XY = """CASE json_type(p) WHEN 'VARCHAR' THEN list_transform(regexp_extract_all(p ->> '$', '([^\\s,;]+)\\s*,\\s*([^\\s,;]+)', {g}), lambda e: TRY_CAST(e AS DOUBLE))
+  WHEN 'ARRAY' THEN CASE json_type(p, '$[0]') WHEN 'ARRAY' THEN list_transform(CAST(p AS JSON[]), lambda e: TRY_CAST(e ->> '$[{i}]' AS DOUBLE))
+    WHEN 'OBJECT' THEN list_transform(CAST(p AS JSON[]), lambda e: TRY_CAST(e ->> '$.{f}' AS DOUBLE))
+    ELSE list_transform(range(CAST(json_array_length(p) // 2 AS BIGINT)), lambda i: TRY_CAST(CAST(p AS JSON[])[2 * i + {g}] ->> '$' AS DOUBLE)) END END"""
+_NUM = "('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT')"
+_KINDS = (("point", ("x",)), ("wrapped_page", ("page",)), ("page", ("regions", "image_path")), ("region", ("lines", "name", "region_name", "region_conf", "region_coords")), ("line", ("text", "line_conf", "script")), ("shape", nested.POLYGON))
+# class of an object by its keys, and state of a value; the data have no key of these names with a value of another kind
+_CLASS = "CASE " + " ".join(f"WHEN {' OR '.join(f'json_exists({{0}}, {chr(39)}$.{f}{chr(39)})' for f in names)} THEN '{c}'" for c, names in _KINDS) + " ELSE 'object' END"
+_STATE = f"""CASE coalesce(json_type(e), 'NULL') WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'bool'
+  WHEN 'VARCHAR' THEN CASE WHEN regexp_full_match(e ->> '$', '\\s*-?[\\d.]+\\s*,\\s*-?[\\d.]+([\\s;]+-?[\\d.]+\\s*,\\s*-?[\\d.]+)*\\s*') THEN 'points_text' ELSE 'text' END
+  WHEN 'OBJECT' THEN {_CLASS.format('e')}
+  WHEN 'ARRAY' THEN CASE WHEN json_array_length(e) = 0 THEN 'none' WHEN json_type(e, '$[0]') IN {_NUM} THEN CASE WHEN json_array_length(e) = 2 THEN 'pair' ELSE 'flat_points' END
+    WHEN json_type(e, '$[0]') = 'ARRAY' THEN 'pairs' WHEN json_type(e, '$[0]') = 'OBJECT' THEN CASE {_CLASS.format("(e -> '$[0]')")} WHEN 'point' THEN 'points' ELSE (CASE k WHEN 'regions' THEN 'regions' ELSE 'lines' END) END ELSE 'mixed' END
+  ELSE 'num' END"""
+
+
+def _first(x: str, names: tuple[str, ...]) -> str:
+    return "coalesce(" + ", ".join(f"{x} ->> '$.{n}'" for n in names) + ")"
+
+
 _EXT = "('" + "', '".join(e for x in images.EXTENSIONS for e in (x, x.upper())) + "')"
 
 
@@ -389,6 +424,17 @@ def oracle_sql() -> dict[str, str]:
         "text_extent": f"{_B}, t AS (SELECT p, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 FROM b GROUP BY p) SELECT p, {p}, greatest({X.SIDE} - x1, 0) right_width, greatest({X.SIDE} - y1, 0) bottom_height FROM t",
         "page_records": f"SELECT page_id, count(*) n_lines, CAST(sum(length(coalesce(text, ''))) AS BIGINT) n_chars FROM {_LINES} WHERE region_pos IS NOT NULL AND line_pos IS NOT NULL AND page_id IN (SELECT page_id FROM page_images WHERE height > 0) GROUP BY page_id",
         "p7_found": f"{_P7} SELECT page_id, CAST(region_pos AS INTEGER) region_pos, CAST(line_pos AS INTEGER) line_pos, CAST(coalesce({_COUNT.format('p')}, 0) AS INTEGER) n_points FROM c",
+        "p7_points": f"{_P7}, q AS (SELECT page_id, region_pos, line_pos, {_XY.format(g=1, i=0, f='x')} xs, {_XY.format(g=2, i=1, f='y')} ys FROM c) SELECT page_id, region_pos, line_pos, CAST(unnest(range(len(xs))) AS INTEGER) point_pos, unnest(xs) x, unnest(ys) y FROM q",
+        "p7_variants": f"""{_P7}, f AS (SELECT *, row_number() OVER () id FROM o), h AS (SELECT *, unnest(json_keys(x)) k FROM f), e AS (SELECT *, x -> ('$."' || k || '"') e FROM h),
+          z AS (SELECT id, string_agg('"' || k || '": "' || {_STATE} || '"', ', ' ORDER BY k) s FROM e GROUP BY id)
+          SELECT kind, (CASE WHEN w THEN 'wrapped_page/' ELSE '' END) || {_CLASS.format('x')} || ' {{' || coalesce(s, '') || '}}' AS variant, count(*) n FROM f LEFT JOIN z USING (id) GROUP BY ALL""",
+        "p7_pages": f"""{_P7} SELECT page_id, x ->> '$.image_path' image_path, CAST(TRY_CAST(x ->> '$.width' AS DOUBLE) AS BIGINT) width, CAST(TRY_CAST(x ->> '$.height' AS DOUBLE) AS BIGINT) height, x ->> '$.language' "language",
+          {", ".join(f"TRY_CAST(x ->> '$.stats.{c}' AS {'BIGINT' if c.startswith('N_') else 'DOUBLE'}) {chr(34)}{c}{chr(34)}" for c in nested.STATS)} FROM t""",
+        "p7_lines": f"""{_P7} SELECT page_id, region_pos, line_pos, x ->> '$.text' "text", TRY_CAST({_first('x', nested.CONF)} AS DOUBLE) conf, x ->> '$.script' script, TRY_CAST(x ->> '$.line_conf' AS DOUBLE) line_conf, TRY_CAST(x ->> '$.script_conf' AS DOUBLE) script_conf,
+          CAST(coalesce({_COUNT.format('p')}, 0) AS INTEGER) n_points FROM (SELECT *, {_polygon('x', nested.POLYGON)} p FROM l)""",
+        "p7_extra": f"""{_P7}, u AS (SELECT page_id, region_pos, line_pos, kind, x FROM o UNION ALL SELECT page_id, NULL, NULL, 'page', j FROM t WHERE w),
+          k AS (SELECT page_id, region_pos, line_pos, kind, x, unnest(json_keys(x)) field FROM u)
+          SELECT page_id, region_pos, line_pos, kind, field FROM k WHERE coalesce(json_type(x, '$."' || field || '"'), 'NULL') <> 'NULL' AND NOT list_contains(CASE kind {" ".join(f"WHEN '{k}' THEN {list(v)}" for k, v in nested.KNOWN.items())} END, field)""",
         "script_argmax": f"WITH {_ARG} SELECT vec_id, script, round(c, 6) confidence FROM y",
         "script_fallback": f"{_FALL} SELECT * FROM o",
         "route_by_label": f"{_FALL}, k AS (SELECT grp, predicted_label, count(*) n, min(vec_id) AS first FROM o GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY grp ORDER BY first) - 1 AS INTEGER) label_pos FROM k",

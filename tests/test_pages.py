@@ -301,12 +301,30 @@ def test_tables(spark):
     assert sorted((r.page_id, r.region_pos, r.n_points) for r in tables.regions.collect()) == [(1, 0, 3), (2, 0, 2)]
     assert sorted((r.page_id, r.line_pos, r.n_points, r.conf) for r in tables.lines.collect()) == [(1, 0, 2, None), (1, 1, 3, None), (2, 0, 0, None)]
     assert tables.points.count() == 3 + 2 + 2 + 3
-    assert {r.variant for r in tables.regions.collect()} == {"polygon:pairs/lines", "region_coords:flat_points/line"}
+    assert {r.variant for r in tables.regions.collect()} == {'region {"lines": "lines", "name": "text", "polygon": "pairs"}', 'region {"lines": "line", "region_coords": "flat_points", "region_name": "text"}'}
+    sub = tables.subtypes("region")['region {"lines": "line", "region_coords": "flat_points", "region_name": "text"}']
+    assert sub.columns == ["page_id", "region_pos", "region_coords", "region_name"] and [len(r.region_coords) for r in sub.collect()] == [2]
+    assert sum(t.count() for t in tables.subtypes("line").values()) == tables.lines.count() == 3
+    assert [(r.kind, r.field, r.value) for r in tables.extra.collect()] == [("page", "xml_input", "{}")]
+    assert [r.stats.PC for r in tables.pages.where("page_id = 4").collect()] == [0.5]
     parents = tables.lines.join(tables.regions, ["page_id", "region_pos"], "left_anti")
     assert parents.count() == 0
     assert nested.page_tables(d.limit(0)).regions.count() == 0
 
 
+def test_states_come_from_below():
+    line = {"text": "x", "polygon": [[1, 2], [3, 4]]}
+    state = lambda v: nested.tree(v).state
+    assert state(line) == "line" and state({"polygon": [[1, 2]]}) == "shape" and state({"polygon": [["a"]]}) == "object"
+    assert state([line, None, {"coords": "1,2 3e1,4"}]) == "lines" and state([{"lines": []}, {"polygon": [[1, 2]]}]) == "regions"
+    assert state({"page": {"regions": []}}) == "wrapped_page" and state({"page": 3}) == "object" and state({"page": [1]}) == "object"
+    assert state([{"x": 1, "y": 2}, [3, 4]]) == "mixed_points" and state([1, 2]) == "pair" and state([1, 2, 3, 4]) == "flat_points"
+    assert state({"x": [1], "y": 2}) == "object" and state([True, 1]) == "mixed"
+    assert nested.variant(nested.tree(line)) == 'line {"polygon": "pairs", "text": "text"}'
+    assert nested.points_of(nested.tree([[1, 2], None, [5], {"x": 7, "y": "8"}, [9, 1]])) == [(1, 2), (None, None), (None, None), (7, 8), (9, 1)]
+    assert nested.points_of(nested.tree("1e1,2 -3.5,.5")) == [(10, 2), (-3.5, 0.5)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.recursive(st.none() | st.booleans() | st.floats(allow_nan=False) | st.text(max_size=5), lambda c: st.lists(c, max_size=4) | st.dictionaries(st.sampled_from(["x", "y", "page", "regions", "lines", "text", "polygon", "name"]), c, max_size=4), max_leaves=20))
 def test_any_record_is_read(value):
