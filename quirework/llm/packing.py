@@ -232,9 +232,9 @@ def pack(docs: DataFrame, doc_id: str, tokens: Column, profiles: DataFrame, prof
     salted = shared.select("profile", "doc_id", "size", "_full", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).alias("_salt"))
     offsets = salted.groupBy("profile", "size", "_salt").agg(F.count(F.lit(1)).alias("_c"))
     offsets = offsets.withColumn("_off", F.sum("_c").over(Window.partitionBy("profile", "size").orderBy("_salt")) - F.col("_c")).drop("_c")
-    ranked = salted.withColumn("_r", F.row_number().over(w.orderBy("doc_id")) - 1).join(offsets, ["profile", "size", "_salt"])
+    ranked = salted.withColumn("_r", F.row_number().over(w.orderBy("doc_id")) - 1).join(offsets.hint("merge"), ["profile", "size", "_salt"])
     ranked = ranked.withColumn("_r", F.col("_r") + F.col("_off")).withColumn("_block", F.expr(f"_r div {BLOCK}"))
-    placed = ranked.join(runs, ["profile", "size", "_block"]).where((F.col("_r") >= F.col("first")) & (F.col("_r") < F.col("last")))
+    placed = ranked.join(runs.hint("merge"), ["profile", "size", "_block"]).where((F.col("_r") >= F.col("first")) & (F.col("_r") < F.col("last")))
     rest = placed.select(
         "profile",
         "doc_id",
