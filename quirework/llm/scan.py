@@ -63,7 +63,7 @@ for _true, _seen in GLYPHS:
     _FORTH.setdefault(_true, []).append(_seen)
 _TOKEN = re.compile(r"[^\W_]+(?:[!|]+[^\W_]+)*[!|]?|[!|][^\W_]+")
 _DIVIDED = re.compile(rf"[^\W\d_][{DIVISION}]\s*$")
-_ACROSS = re.compile(rf"(?<=[^\W\d_])[{DIVISION}]\s*\n\s*(?=[^\W\d_])")
+_ACROSS = re.compile(rf"[{DIVISION}](?<=[^\W\d_].)\s*\n\s*(?=[^\W\d_])")
 _D = r"[\d·OoIlSB|]{1,4}"
 _NUMBER = re.compile(rf"^\s*(?:[-–—]\s*{_D}\s*[-–—]|\[\s*{_D}\s*\]|(?:Pag|pag|fol|Fol|p|S|s)\.\s*{_D}[rv]?\.?)\s*$|^\s{{6,}}{_D}\.?\s*$")
 _BARE = re.compile(r"^\s{0,5}(\d{1,4})(\.?)\s*$")
@@ -180,24 +180,21 @@ def joined(lines: list[str], text: list[int], divided: set[int]) -> tuple[str, l
     return "".join(parts), starts
 
 
-def tokens_of(text: str) -> Iterator[tuple[int, str]]:
-    for m in _TOKEN.finditer(text):
-        yield m.start(), m[0]
-
-
 # Counts over all texts
 
 
-def _prepared(text: str) -> tuple[str, list[tuple[int, int]], dict[int, str], set[int], list[str], bool] | None:
-    """Joined text, line starts, furniture, divided lines, lines, whether it is cut into lines; None if not running text."""
-    if not text or text.isspace() or K.kind_of(text) is not None:
+def _prepared(text: str) -> tuple[list[str], dict[int, str], list[int], set[int], bool] | None:
+    """Lines in readable characters, furniture, lines of text, divided ones, whether it is cut into lines; None if blank.
+
+    Whether it is running text is for the caller to ask, if there is anything to find.
+    """
+    if not text or text.isspace():
         return None
     # a soft hyphen that divides a word must outlive the removal of invisible characters
     lines = K.readable(_SOFT.sub("-", text)).split("\n")
     marks = furniture(lines)
     body, divided = layout(lines, marks)
-    whole, starts = joined(lines, body, divided)
-    return whole, starts, marks, divided, lines, cut_into_lines(lines, body)
+    return lines, marks, body, divided, cut_into_lines(lines, body)
 
 
 def _sent(counts: Counter[str], again: Counter[str]) -> pd.DataFrame:
@@ -379,7 +376,7 @@ def misread(whole: str, corrector: Corrector) -> list[tuple[int, str, str]]:
     links = corrector.links
     if not any(w in links or (w[-1] in "!|" and w.rstrip("!|") in links) for w in _TOKEN.findall(whole.lower())):
         return []
-    found = list(tokens_of(whole))
+    found = [(m.start(), m[0]) for m in _TOKEN.finditer(whole)]
     lower = [w.lower() for _, w in found]
     out = []
     for k, ((start, written), w) in enumerate(zip(found, lower, strict=True)):
@@ -409,20 +406,21 @@ def noise(text: str | None, corrector: Corrector) -> list[tuple[int, str]]:
     p = _prepared(text) if text else None
     if p is None:
         return []
-    whole, starts, marks, divided, _, cut = p
+    lines, marks, body, divided, cut = p
     out = {(i, k) for i, k in marks.items()} | {(i, "hyphen") for i in divided}
-    if cut and whole:
+    if cut:
+        whole, starts = joined(lines, body, divided)
         for at, _, _ in misread(whole, corrector):
             out.add((_line_of(starts, at), "misread"))
-    return sorted(out)
+    return sorted(out) if out and K.kind_of(text) is None else []
 
 
 def repair(text: str | None, corrector: Corrector) -> str | None:
     """Paragraphs of the text in its readable characters: no furniture, no divided or misread words; a blank or indented line begins a new one."""
     p = _prepared(text) if text else None
-    if p is None:
+    if p is None or K.kind_of(text) is not None:
         return text
-    _, _, marks, divided, lines, cut = p
+    lines, marks, _, divided, cut = p
     paragraphs: list[list[str]] = [[]]
     usual = min((len(x) - len(x.lstrip()) for i, x in enumerate(lines) if x.strip() and i not in marks), default=0)
     glue = False
