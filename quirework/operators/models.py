@@ -13,7 +13,11 @@ import numpy as np
 import pandas as pd
 
 from quirework.functions import pixels
+from quirework.functions import polygons as G
+from quirework.operators import detectors
 from quirework.operators.recognize import LABELS
+from quirework.plans.options import Options
+from quirework.sources.images import label_ids
 
 
 @lru_cache(maxsize=8)
@@ -26,16 +30,12 @@ def session(path: str, threads: int = 1):
 
 
 def alphabet(lines: list[str], n_classes: int | None) -> list[str]:
-    """Characters of a dictionary's classes: a blank first, then its lines, and a space where the model has one class more.
-
-    A model of any other number of classes does not belong to the dictionary: ValueError. Unknown sizes get the space.
-    """
-    chars = ["", *lines]
-    if n_classes is None or n_classes == len(chars) + 1:
-        chars.append(" ")
-    if n_classes is not None and n_classes != len(chars):
-        raise ValueError(f"the model has {n_classes} classes, the dictionary gives {len(chars)}")
-    return chars
+    """Characters of a model's classes: class 0 is the blank, then come the dictionary's lines; a model may have a class
+    more, which is the space, as has a model of unknown size. Models of other sizes are not of this dictionary."""
+    spare = 1 if n_classes is None else n_classes - len(lines) - 1
+    if spare not in (0, 1):
+        raise ValueError(f"a dictionary of {len(lines)} characters does not fit a model of {n_classes} classes")
+    return ["", *lines] + [" "] * spare
 
 
 def ctc_text(probabilities: np.ndarray, chars: list[str]) -> tuple[str, float]:
@@ -109,8 +109,9 @@ def layout_rows(outputs: list[np.ndarray]) -> np.ndarray:
 LAYOUT_SCHEMA = "page_id long, det_idx int, class_id int, score double, box struct<x0:double,y0:double,x1:double,y1:double>"
 
 
-def layout_detector(path: str, side: int = 640, mean: tuple[float, ...] = (0.0, 0.0, 0.0), std: tuple[float, ...] = (1.0, 1.0, 1.0)) -> Callable:
+def layout_detector(path: str, side: int = 640, mean: tuple[float, ...] = (0.0, 0.0, 0.0), std: tuple[float, ...] = (1.0, 1.0, 1.0), in_input_space: bool = False) -> Callable:
     """Factory for ``detections.detect`` with ``LAYOUT_SCHEMA``: frames of ``page_id, data, height, width`` (BGR) to raw rows.
+    With ``in_input_space`` the model's boxes are in its own pixels and are scaled to the image's.
 
     Scores and classes are filtered by ``detections.layout_boxes``, boxes by ``scalars.clamp_box``.
     """
@@ -133,9 +134,238 @@ def layout_detector(path: str, side: int = 640, mean: tuple[float, ...] = (0.0,
                 if "scale_factor" in inputs:
                     feed["scale_factor"] = np.float32([[h / r.height, w / r.width]])
                 for i, (c, score, *b) in enumerate(layout_rows(s.run(None, feed)).tolist()):
+                    if in_input_space:
+                        b = [v * f for v, f in zip(b, (r.width / w, r.height / h) * 2, strict=True)]
                     rows.append((r.page_id, i, int(c), float(score), dict(zip(("x0", "y0", "x1", "y1"), map(float, b), strict=True))))
             return pd.DataFrame(rows, columns=["page_id", "det_idx", "class_id", "score", "box"])
 
         return run
 
     return make
+
+def _onnx(path: str, what: str) -> str:
+    """The path of an exported model; weights of another framework must be exported first."""
+    if not path.endswith(".onnx"):
+        raise ValueError(f"{what} must be an .onnx file, not {path!r}")
+    return path
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(np.asarray(x, dtype=float), -60, 60)))
+
+
+def mask_detector(path: str, threshold: float = 0.15) -> Callable:
+    """Factory of a detector (see ``detectors``) on a segmentation transformer: class scores, and a mask a query."""
+
+    def make():
+        s = session(_onnx(path, "the detector"))
+        entry = s.get_inputs()[0]
+        side = [d for d in entry.shape[2:] if isinstance(d, int)]
+
+        def one(image: np.ndarray) -> detectors.Found:
+            h, w = side if len(side) == 2 else image.shape[:2]
+            x = (pixels.resize(image, h, w).astype(np.float32) / 255 - np.float32(pixels.MEAN)) / np.float32(pixels.STD)
+            out = [np.asarray(o)[0] for o in s.run(None, {entry.name: x.transpose(2, 0, 1)[None]})]
+            masks = next(o for o in out if o.ndim == 3)
+            scores = _sigmoid(next(o for o in out if o.ndim == 2 and o.shape[1] != 4))
+            best = scores.argmax(axis=1)
+            sure = np.flatnonzero(scores.max(axis=1) >= threshold)
+            return detectors.from_masks([(int(best[i]), float(scores[i, best[i]]), masks[i] > 0) for i in sure], *image.shape[:2])
+
+        return lambda images: [one(i) for i in images]
+
+    return make
+
+
+def _turn(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> float:
+    return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+
+def least_rectangle(points: np.ndarray) -> np.ndarray:
+    """The rectangle of least area around points, of any direction: four corners in turn."""
+    p = np.unique(np.asarray(points, dtype=float), axis=0)
+    if len(p) < 3:
+        lo, hi = p.min(axis=0), p.max(axis=0)
+        return np.array([lo, (hi[0], lo[1]), hi, (lo[0], hi[1])])
+    step = max(len(p) // 2000, 1)
+    edges = p[np.lexsort((p[:, 1], p[:, 0]))]
+    hull: list[np.ndarray] = []
+    for side in (edges, edges[::-1]):  # lower, then upper chain
+        chain: list[np.ndarray] = []
+        for q in side:
+            while len(chain) > 1 and _turn(chain[-2], chain[-1], q) <= 0:
+                chain.pop()
+            chain.append(q)
+        hull += chain[:-1]
+    ring = np.array(hull)
+    best, corners = np.inf, ring
+    for d in np.roll(ring, -1, axis=0)[::step] - ring[::step]:
+        n = np.hypot(*d)
+        if n == 0:
+            continue
+        u = d / n
+        frame = np.array([u, (-u[1], u[0])])
+        q = ring @ frame.T
+        lo, hi = q.min(axis=0), q.max(axis=0)
+        if np.prod(hi - lo) < best:
+            best, corners = np.prod(hi - lo), np.array([lo, (hi[0], lo[1]), hi, (lo[0], hi[1])]) @ frame
+    return corners
+
+
+def text_boxes(heat: np.ndarray, threshold: float = 0.3, box_threshold: float = 0.6, unclip: float = 1.5) -> list[tuple[np.ndarray, float]]:
+    """Quadrangles and scores of the connected bright parts of a map, each enlarged by area * unclip / circumference."""
+    out = []
+    for ring in G.mask_outlines(heat > threshold):
+        quad = least_rectangle(ring)
+        a, b = np.hypot(*(quad[1] - quad[0])), np.hypot(*(quad[3] - quad[0]))
+        if min(a, b) < 3:
+            continue
+        x0, y0 = np.maximum(np.floor(quad.min(axis=0)), 0).astype(int)
+        x1, y1 = np.minimum(np.ceil(quad.max(axis=0)) + 1, heat.shape[::-1]).astype(int)
+        gx, gy = np.meshgrid(np.arange(x0, x1), np.arange(y0, y1))
+        inside = G.contains(quad, np.stack([gx.ravel() + 0.5, gy.ravel() + 0.5], axis=1))
+        score = float(heat[y0:y1, x0:x1].ravel()[inside].mean()) if inside.any() else 0.0
+        if score < box_threshold:
+            continue
+        grow = a * b * unclip / (2 * (a + b))
+        u, v = (quad[1] - quad[0]) / a * grow, (quad[3] - quad[0]) / b * grow
+        out.append((quad + np.array([-u - v, u - v, u + v, -u + v]), score))
+    return out
+
+
+def working_shape(height: int, width: int, limit: int, kind: str, cap: int) -> tuple[int, int]:
+    """Sides a map detector works with: 'max' bounds the longer one, 'min' the shorter, ``cap`` both; multiples of 32."""
+    f = min(1.0, limit / max(height, width)) if kind == "max" else max(1.0, limit / min(height, width))
+    f = min(f, cap / max(height, width))
+    return tuple(max(int(np.rint(side * f / 32)) * 32, 32) for side in (height, width))
+
+
+def line_detector(path: str, limit: int = 1536, kind: str = "max", cap: int = 4000, threshold: float = 0.3, box_threshold: float = 0.6, unclip: float = 1.5) -> Callable:
+    """Factory: RGB images to lists of (quadrangle, score) in their pixels, by a model that maps where text is."""
+
+    def make():
+        s = session(_onnx(path, "the line detector"))
+        name = s.get_inputs()[0].name
+
+        def one(image: np.ndarray) -> list[tuple[np.ndarray, float]]:
+            h, w = working_shape(*image.shape[:2], limit, kind, cap)
+            x = (pixels.resize(image, h, w)[:, :, ::-1].astype(np.float32) / 255 - np.float32(pixels.MEAN)) / np.float32(pixels.STD)
+            heat = np.squeeze(np.asarray(s.run(None, {name: x.transpose(2, 0, 1)[None]})[0]))
+            scale = np.array([image.shape[1] / heat.shape[1], image.shape[0] / heat.shape[0]])
+            return [(np.rint(np.clip(q * scale, 0, image.shape[1::-1])), c) for q, c in text_boxes(heat, threshold, box_threshold, unclip)]
+
+        return lambda images: [one(i) for i in images]
+
+    return make
+
+
+def page_detector(lines: Callable, layout: Callable | None = None, threshold: float = 0.3, ignored: set[int] = frozenset()) -> Callable:
+    """Factory of a detector (see ``detectors``): lines of a line detector and, if given, regions of a ``layout_detector``."""
+
+    def make():
+        find, boxes = lines(), layout() if layout else None
+
+        def regions(image: np.ndarray) -> list:
+            if boxes is None:
+                return []
+            h, w = image.shape[:2]
+            got = boxes(pd.DataFrame({"page_id": [0], "data": [np.ascontiguousarray(image[:, :, ::-1]).tobytes()], "height": [h], "width": [w]}))
+            out = []
+            for c, score, b in zip(got["class_id"], got["score"], got["box"], strict=True):
+                xs, ys = (sorted(min(max(b[k], 0), m) for k in ks) for ks, m in ((("x0", "x1"), w), (("y0", "y1"), h)))
+                if c >= 0 and score >= threshold and xs[1] - xs[0] >= 1 and ys[1] - ys[0] >= 1:
+                    out.append((int(c), float(score), (xs[0], ys[0], xs[1], ys[1])))
+            return out
+
+        return lambda images: [detectors.with_ignored(regions(i), q, ignored) for i, q in zip(images, find(images), strict=True)]
+
+    return make
+
+
+def generated(step: Callable[[np.ndarray], np.ndarray], start: int, ends: set[int], most: int = 128) -> tuple[list[int], float]:
+    """Greedy generation: tokens up to an end, and the geometric mean of their probabilities, the end's included.
+
+    step: token ids so far to the scores of the next one.
+    """
+    ids, logs = [start], []
+    while len(logs) < most:
+        scores = np.asarray(step(np.array([ids], dtype=np.int64)), dtype=float)
+        k = int(scores.argmax())
+        top = scores.max()
+        logs.append(float(scores[k] - top - np.log(np.exp(scores - top).sum())))
+        ids.append(k)
+        if k in ends:
+            break
+    return ids[1:], float(np.exp(np.mean(logs))) if logs else 1.0
+
+
+def generating_recognizer(encoder: str, decoder: str, tokenizer: str, start: int, ends: tuple[int, ...], side: tuple[int, int] = (384, 384), most: int = 128) -> Callable:
+    """Factory of a line recognizer that generates text: an image encoder, a text decoder, and a tokenizer's file."""
+
+    def make():
+        from tokenizers import Tokenizer
+
+        see, say, words = session(_onnx(encoder, "the encoder")), session(_onnx(decoder, "the decoder")), Tokenizer.from_file(tokenizer)
+        names = [i.name for i in say.get_inputs()]
+        ids_name = next(n for n in names if "ids" in n)
+        seen_name = next(n for n in names if "hidden" in n)
+
+        def one(crop: dict) -> tuple[str, float]:
+            x = pixels.resize(image_of(crop), *side).astype(np.float32) / 127.5 - 1
+            hidden = see.run(None, {see.get_inputs()[0].name: x.transpose(2, 0, 1)[None]})[0]
+            ids, score = generated(lambda ids: say.run(None, {ids_name: ids, seen_name: hidden})[0][0, -1], start, set(ends), most)
+            return words.decode(ids, skip_special_tokens=True), score
+
+        return lambda crops: [one(c) for c in crops]
+
+    return make
+
+
+def _trocr(model: str, processor: str) -> Callable:
+    """A generating recognizer from folders as exported: two graphs, and the tokenizer and sizes beside them."""
+    import json
+    import os
+
+    read = lambda folder, name: json.load(open(os.path.join(folder, name), encoding="utf-8")) if os.path.exists(os.path.join(folder, name)) else {}  # noqa: E731, SIM115
+    rules, seen = read(model, "generation_config.json") or read(model, "config.json"), read(processor, "preprocessor_config.json")
+    size = seen.get("size") or {}
+    ends = rules.get("eos_token_id", 2)
+    return generating_recognizer(
+        os.path.join(model, "encoder_model.onnx"), os.path.join(model, "decoder_model.onnx"), os.path.join(processor, "tokenizer.json"), rules.get("decoder_start_token_id", 2),
+        tuple(ends) if isinstance(ends, list) else (ends,), (size.get("height", 384), size.get("width", 384)),
+    )
+
+
+def detector_of(o: Options, labels: dict[str, int] | None = None) -> Callable | None:
+    """The detector that the options name; None where lines are supplied by the caller. ``labels``: ids of layout classes."""
+    if o.detector == "none":
+        return None
+    if o.detector == "paddle":
+        if not o.paddle_det_model_path:
+            raise ValueError("the paddle detector needs a line model")
+        lines = line_detector(o.paddle_det_model_path, o.paddle_det_limit_side_len, o.paddle_det_limit_type, o.paddle_det_max_side_limit, o.paddle_det_thresh, o.paddle_det_box_thresh, o.paddle_det_unclip_ratio)
+        side = o.paddle_layout_input_size or 640
+        layout = layout_detector(o.paddle_layout_model_path, side, o.paddle_layout_mean, o.paddle_layout_std, o.paddle_layout_boxes_in_input_space) if o.paddle_layout_model_path else None
+        return page_detector(lines, layout, o.paddle_layout_threshold, set(label_ids(list(o.paddle_layout_ignore_classes), labels or {})))
+    if not o.detection_model_path:
+        raise ValueError("the detector needs a model")
+    return mask_detector(o.detection_model_path, o.confidence_threshold)
+
+
+def recognizers_of(o: Options) -> dict[str, Callable]:
+    """The recognizers that the options name, by label."""
+    out = {}
+    if o.use_ppocr and o.ppocr_model_path:
+        with open(o.ppocr_char_dict_path, encoding="utf-8") as f:
+            chars = [x.rstrip("\r\n") for x in f]
+        out["latin"] = ctc_recognizer(o.ppocr_model_path, chars, o.ppocr_img_height, o.ppocr_img_width_min, o.ppocr_img_width_max, list(o.ppocr_width_buckets) if o.ppocr_width_buckets else None)
+    elif not o.use_ppocr and o.recognition_model_path:
+        out["latin"] = _trocr(o.recognition_model_path, o.processor_path)
+    if o.cyrillic_recognition_model_path:
+        out["cyrillic"] = _trocr(o.cyrillic_recognition_model_path, o.cyrillic_processor_path)
+    return out
+
+
+def classifier_of(o: Options) -> Callable | None:
+    """The script classifier, where two recognizers need one."""
+    return script_classifier(_onnx(o.script_classification_model_path, "the classifier")) if len(recognizers_of(o)) > 1 else None

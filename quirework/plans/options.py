@@ -87,20 +87,26 @@ def make(**options) -> Options:
     return Options(**{k: v for k, v in options.items() if k in known}, ignored=tuple(sorted(set(options) & set(PLACEMENT))))
 
 
-def check(o: Options) -> list[str]:
-    """Notes on a valid set of options; a ValueError for one that cannot run."""
-    latin = bool(o.ppocr_model_path if o.use_ppocr else o.recognition_model_path)
-    cyrillic = bool(o.cyrillic_recognition_model_path)
+def check(o: Options, given: bool = False) -> list[str]:
+    """Notes on a valid set of options; a ValueError for one that cannot run. ``given``: models are passed, not paths."""
     if o.detector not in ("rfdetr", "paddle", "none"):
         raise ValueError(f"unknown detector {o.detector!r}")
+    if o.reading_direction not in ("lr", "rl"):
+        raise ValueError("reading_direction is lr or rl")
+    if o.tile_size < 0 or o.tile_size and not 0 <= o.tile_overlap < o.tile_size:
+        raise ValueError("tiles must be larger than their overlap")
+    if given:
+        return []
     if o.detector == "paddle" and not o.paddle_det_model_path:
         raise ValueError("the paddle detector needs a line model")
+    latin = bool(o.ppocr_model_path if o.use_ppocr else o.recognition_model_path)
+    cyrillic = bool(o.cyrillic_recognition_model_path)
     if not latin and not cyrillic:
         raise ValueError("at least one recognizer is needed")
     if latin and not o.use_ppocr and not o.processor_path or cyrillic and not o.cyrillic_processor_path:
         raise ValueError("a recognizer lacks its processor")
+    if latin and o.use_ppocr and not o.ppocr_char_dict_path:
+        raise ValueError("the recognizer lacks its dictionary")
     if latin and cyrillic and not o.script_classification_model_path:
         raise ValueError("two recognizers need a script classifier")
-    if o.reading_direction not in ("lr", "rl"):
-        raise ValueError("reading_direction is lr or rl")
     return [] if latin and cyrillic else [f"only {'latin' if latin else 'cyrillic'} lines can be read; all lines go to that recognizer"]

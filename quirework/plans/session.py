@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions import scalars as S
 from quirework.operators import detections, layout, pages, recognize, xml
-from quirework.plans.options import Options, make
+from quirework.plans.options import Options, check, make
 from quirework.runtime import save
 
 
@@ -23,6 +23,7 @@ class Session:
     classifier: recognize.Model | None = None
 
     def __post_init__(self):
+        check(self.options, given=True)
         if self.classifier is None and len(self.recognizers) != 1:
             raise ValueError("without classifier there must be one recognizer")
 
@@ -71,13 +72,30 @@ class Session:
         return pages.page_documents(found, regions, lines, pages.page_stats(lines, "page_id"), language)
 
     def process(self, raw: DataFrame, sizes: DataFrame, column: str = "polygon") -> DataFrame:
-        """Page records of raw detections; pages on which nothing was found are missing."""
+        """Page records of raw detections; pages on which nothing was found are missing (``status`` tells them)."""
         shape = sizes.select("page_id", "height", "width")
         lines, regions = self.detect(raw, shape)
         with_lines = shape.join(lines.select("page_id").distinct(), "page_id", "left_semi")
         ordered = self.arrange(lines, regions, with_lines)
         return self.assemble(self.read(ordered, column), sizes)
 
+    @staticmethod
+    def status(sizes: DataFrame, docs: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+        """A row for each page of ``sizes``: ``page_id, image_path, status, message, n_lines``.
+
+        'ok' with a record, 'error' if the image has no size or ``errors`` (``page_id, error``) has it, else 'info'.
+        """
+        lines = docs.select("page_id", pages.line_count(F.col("regions")).alias("n_lines"))
+        s = sizes.select("page_id", "image_path", "height").join(lines, "page_id", "left")
+        bad = F.lit(None).cast("string")
+        if errors is not None:
+            s = s.join(errors.groupBy("page_id").agg(F.min("error").alias("_error")), "page_id", "left")
+            bad = F.col("_error")
+        lost = F.when(F.coalesce("height", F.lit(-1)) < 0, F.lit("the image cannot be decoded")).otherwise(bad)
+        state = F.when(F.col("n_lines").isNotNull(), "ok").when(lost.isNotNull(), "error").otherwise("info")
+        note = F.when(state == "error", lost).when(state == "info", F.lit("nothing detected or read"))
+        return s.select("page_id", "image_path", state.alias("status"), note.alias("message"), "n_lines")
+
     def steps(self, region_type: str, line_type: str, text_type: str) -> list[xml.Step]:
         o = self.options
         names = {"region": o.region_model_name, "line": o.line_model_name, "text": o.text_rec_model_name}

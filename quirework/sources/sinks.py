@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from quirework.functions import scalars as S
 from quirework.operators import pages, xml
+from quirework.runtime import save
 
 
 def write_table(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -15,26 +18,32 @@ def write_table(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def _write_files(rows: DataFrame, folder: str, suffix: str) -> DataFrame:
-    """Files ``<folder>/<name><suffix>`` written by the tasks, with a status row each: ``name, status, message``."""
+    """Files ``<folder>/<name><suffix>``, written once by the tasks now, with a status row each: ``name, status, message``.
 
-    def run(frames):
-        import os
+    ``folder`` is a path or an address that Arrow's file systems know, and all executors must share it. A file is written
+    under another name first and then renamed, so a task that is run again leaves whole files.
+    """
 
+    def run(frames):
         import pandas as pd
+        from pyarrow import fs
 
-        os.makedirs(folder, exist_ok=True)
+        files, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        files.create_dir(root, recursive=True)
         for f in frames:
             out = []
             for name, text in zip(f["name"], f["text"], strict=True):
                 try:
-                    with open(os.path.join(folder, f"{name}{suffix}"), "w", encoding="utf-8") as h:
-                        h.write(text)
+                    part = f"{root}/.{name}{suffix}.{uuid.uuid4().hex}"
+                    with files.open_output_stream(part) as h:
+                        h.write(text.encode())
+                    files.move(part, f"{root}/{name}{suffix}")
                     out.append((name, "ok", None))
                 except Exception as e:
                     out.append((name, "error", f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["name", "status", "message"])
 
-    return rows.mapInPandas(run, "name string, status string, message string")
+    return save(rows.mapInPandas(run, "name string, status string, message string")).df
 
 
 def unique_names(docs: DataFrame) -> DataFrame:
@@ -52,7 +61,7 @@ def write_json(docs: DataFrame, folder: str) -> DataFrame:
 
 
 def write_xml(docs: DataFrame, folder: str | None, steps: list[xml.Step], page: bool = False, alto: bool = True, scripts: bool = False) -> list[DataFrame]:
-    """``<folder>/page/*.xml`` and ``<folder>/alto/*.xml``; nothing without a folder. Returns the status tables."""
+    """``<folder>/page/*.xml`` and ``<folder>/alto/*.xml``; nothing without a folder. Returns the status tables of what is written."""
     out = []
     if not folder:
         return out
