@@ -54,10 +54,14 @@ def stats_text(spark: SparkSession, d: str) -> DataFrame:
     return p.select("doc_id", S.stats_settings(pages.stats_struct()).alias("settings"))
 
 
+def run_status(spark: SparkSession, d: str) -> DataFrame:
+    """A status for each page of the inventory, by whether it has a record, an image that can be decoded, or neither."""
+    t = table(spark, d, "page_images").groupBy("page_id").agg(F.max("height").alias("height"), F.max("width").alias("width"), F.min("path").alias("image_path"))
+    return Session.status(t, _records(spark, d)).select("page_id", "status", "n_lines")
+
+
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "page_images").dropDuplicates(["path"])
-    status = t.select(F.when(F.col("height") < 0, "error").when(F.col("length") == 0, "info").otherwise("ok").alias("status"))
-    return pages.run_totals(status)
+    return pages.run_totals(run_status(spark, d))
 
 
 def image_inventory(spark: SparkSession, d: str) -> DataFrame:
@@ -111,16 +115,24 @@ def merge_components(spark: SparkSession, d: str) -> DataFrame:
     return detections.merge_components(_edges(spark, d), "p")
 
 
+def _merged(spark: SparkSession, d: str) -> DataFrame:
+    """Boxes after merging, through the operator: ``p, k`` (the group's least index)``, part, polygon, conf``."""
+    b = _large(spark, d).withColumn("polygon", S.box_polygon(F.col("box")))
+    return detections.merge(b, "p", "k", detections.merge_components(_edges(spark, d), "p"))
+
+
 def merged_confidence(spark: SparkSession, d: str) -> DataFrame:
-    m = detections.merge_components(_edges(spark, d), "p").withColumnRenamed("node", "k")
-    j = _large(spark, d).join(m, ["p", "k"])
-    return j.groupBy("p", "root").agg(F.round(F.avg("conf"), 6).alias("conf"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    m = _merged(spark, d).withColumn("_box", S.box_of(F.col("polygon")))
+    return m.select("p", "k", F.round("conf", 6).alias("conf"), *(F.col(f"_box.{c}").alias(c) for c in BOX))
 
 
 def merged_polygons(spark: SparkSession, d: str) -> DataFrame:
-    b = _large(spark, d).withColumn("polygon", S.box_polygon(F.col("box")))
-    m = detections.merge(b, "p", "k", detections.merge_components(_edges(spark, d), "p"))
-    return m.where("part > 0 or size(polygon) > 4").select("p", "k", "part", F.round("conf", 6).alias("conf"), S.points_text(F.col("polygon")).alias("points"))
+    """Area and circumference of every merged polygon."""
+    m = _merged(spark, d).where("part = 0")
+    n = F.size("polygon")
+    at = lambda i, c: F.get("polygon", i % n)[c]
+    side = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.hypot(at(i, "x") - at(i + 1, "x"), at(i, "y") - at(i + 1, "y")))
+    return m.select("p", "k", F.round(F.aggregate(side, F.lit(0.0), lambda x, y: x + y), 3).alias("circumference"), F.round(S.polygon_area(F.col("polygon")), 3).alias("area"))
 
 
 def line_region(spark: SparkSession, d: str) -> DataFrame:
@@ -161,9 +173,12 @@ def width_batches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def region_ids(spark: SparkSession, d: str) -> DataFrame:
-    r = X.regions(spark, d).withColumn("name", F.when(F.col("rid") == 2, "9 a").otherwise("paragraph"))
-    n = F.row_number().over(Window.partitionBy("p", "name").orderBy("rid")) - 1
-    return r.select("p", "rid", S.xml_id(F.col("name"), n).alias("id"))
+    """Identifiers of regions as the documents number them, from nested records."""
+    r = X.regions(spark, d).withColumns({"name": F.when(F.col("rid") == 2, "9 a").otherwise("paragraph"), "polygon": S.box_polygon(F.col("box"))})
+    one = F.struct("rid", F.struct("name", "polygon", F.array().cast(f"array<struct<text:string,conf:double,script:string,polygon:{detections.POLYGON.simpleString()}>>").alias("lines")).alias("v"))
+    docs = r.groupBy("p").agg(F.transform(F.sort_array(F.collect_list(one)), lambda x: x["v"]).alias("regions"))  # three a page
+    ids = F.transform(xml.prepared(F.col("regions")), lambda x: S.xml_id(x["name"], x["nth"].cast("string")))
+    return docs.select("p", F.posexplode(ids).alias("rid", "id"))
 
 
 def points_text(spark: SparkSession, d: str) -> DataFrame:
@@ -174,7 +189,7 @@ def points_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_extent(spark: SparkSession, d: str) -> DataFrame:
-    b = X.boxes(spark, d).groupBy("p").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    b = X.boxes(spark, d).groupBy("p").agg(xml.hull(F.collect_list("box")).alias("_h")).select("p", "_h.*")  # the boxes of one page
     side = F.lit(float(X.SIDE))
     return b.select("p", *BOX, F.greatest(side - F.col("x1"), F.lit(0.0)).alias("right_width"), F.greatest(side - F.col("y1"), F.lit(0.0)).alias("bottom_height"))
 
@@ -183,8 +198,8 @@ def text_extent(spark: SparkSession, d: str) -> DataFrame:
 
 
 def detections_routed(spark: SparkSession, d: str) -> DataFrame:
-    r = detections.confident(detections.route(table(spark, d, "detections")))
-    return r.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(S.polygon_area(F.col("polygon"))), 4).alias("mean_area"))
+    r = detections.confident(detections.route(table(spark, d, "detections").withColumnRenamed("kind", "given")))
+    return r.select("page_id", "det_idx", "class_id", "kind", "conf", S.polygon_area(F.col("polygon")).alias("area"))
 
 
 def _sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -226,13 +241,16 @@ def page_documents(spark: SparkSession, d: str) -> DataFrame:
     return out.select("page_id", pages.line_count(F.col("regions")).alias("n_lines"), pages.page_json(docs).alias("json"), F.length("alto").alias("alto_length"), F.length("page_xml").alias("page_length"))
 
 
-def page_records(spark: SparkSession, d: str) -> DataFrame:
-    """Nested records of the recognized lines of line_text: assembled, counted and flattened again."""
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    """Nested records of the recognized lines of line_text."""
     lines = distinct_lines(spark, d).where("region_pos is not null and line_pos is not null")
     regions = lines.select("page_id", "region_pos").distinct().select("page_id", "region_pos", F.lit("paragraph").alias("name"), F.lit(None).cast(lines.schema["polygon"].dataType).alias("polygon"), F.lit(None).cast("double").alias("conf"))
-    docs = pages.page_documents(_sizes(spark, d), regions, lines, pages.page_stats(lines, "page_id")).where(F.size("regions") > 0)
-    flat = pages.flatten_lines(docs)
-    return flat.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
+    return pages.page_documents(_sizes(spark, d), regions, lines, pages.page_stats(lines, "page_id")).where(F.size("regions") > 0)
+
+
+def page_records(spark: SparkSession, d: str) -> DataFrame:
+    """Nested records, flattened again: all fields of all lines in their order."""
+    return pages.flatten_lines(_records(spark, d)).select("page_id", "region_pos", "line_pos", "text", "conf", "script", "line_conf", "script_conf", F.size("polygon").alias("n_points"))
 
 
 # Recognition
@@ -307,7 +325,7 @@ def p7_extra(spark: SparkSession, d: str) -> DataFrame:
 
 
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    page_stats, doc_stats, long_rows, has_letters, page_languages_stored, stats_text, run_summary, image_inventory, pages_never_read, page_language,
+    page_stats, doc_stats, long_rows, has_letters, page_languages_stored, stats_text, run_status, run_summary, image_inventory, pages_never_read, page_language,
     small_polygon_filter, sliver_filter, interval_iou_pairs, merge_edges, merge_components, merged_confidence, merged_polygons,
     line_region, regions_without_lines, default_region, ignored_region_lines, reading_rank, cyclic_pages, reading_order, width_batches,
     region_ids, points_text, text_extent, detections_routed, detections_clean, page_documents, page_records,
@@ -341,6 +359,14 @@ _BEST = f"""{_R}, j AS (SELECT b.p, b.k, r.rid,
 _RANK = f"""{_B}, f AS (SELECT u.p, u.k, count(v.k) FILTER (CASE WHEN least(u.y1, v.y1) - greatest(u.y0, v.y0) > 0.5 * least(u.y1 - u.y0, v.y1 - v.y0)
     THEN (CASE WHEN v.k < u.k THEN v.x0 < u.x0 ELSE NOT u.x0 < v.x0 END) ELSE (CASE WHEN v.k < u.k THEN v.y0 < u.y0 ELSE NOT u.y0 < v.y0 END) END) indegree
   FROM b u LEFT JOIN b v ON u.p = v.p AND u.k <> v.k GROUP BY u.p, u.k)"""
+_BEFORE = """CASE WHEN least(u.y1, v.y1) - greatest(u.y0, v.y0) > 0.5 * least(u.y1 - u.y0, v.y1 - v.y0)
+    THEN (CASE WHEN v.k < u.k THEN v.x0 < u.x0 ELSE NOT u.x0 < v.x0 END) ELSE (CASE WHEN v.k < u.k THEN v.y0 < u.y0 ELSE NOT u.y0 < v.y0 END) END"""
+_MERGED = f"{_COMP}, q AS (SELECT g.p, coalesce(m.root, g.k) k, x0, y0, x1, y1, conf FROM g LEFT JOIN m ON g.p = m.p AND g.k = m.node)"
+_RECORDS = """WITH i AS (SELECT page_id, max(height) height FROM page_images GROUP BY page_id),
+  n AS (SELECT line_id, any_value(page_id) page_id, any_value(region_pos) region_pos, any_value(line_pos) line_pos, any_value(text) AS text, any_value(conf) conf, any_value(script) script, any_value(line_conf) line_conf, any_value(script_conf) script_conf, any_value(polygon) polygon FROM line_text GROUP BY line_id),
+  k AS (SELECT * FROM n WHERE region_pos IS NOT NULL AND line_pos IS NOT NULL AND page_id IN (SELECT page_id FROM i WHERE height > 0))"""
+_STATUS = f"""{_RECORDS}, c AS (SELECT page_id, CAST(count(*) AS INTEGER) n_lines FROM k GROUP BY page_id),
+  s AS (SELECT page_id, CASE WHEN n_lines IS NOT NULL THEN 'ok' WHEN coalesce(height, -1) < 0 THEN 'error' ELSE 'info' END status, n_lines FROM i LEFT JOIN c USING (page_id))"""
 _ARG = """z AS (SELECT vec_id, label grp, CAST(embedding[1] AS DOUBLE) l0, CAST(embedding[2] AS DOUBLE) l1 FROM embeddings),
   y AS (SELECT *, CASE WHEN l0 >= l1 THEN 'cyrillic' ELSE 'latin' END script, 1 / (exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1))) c FROM z)"""
 _FALL = f"""WITH {_ARG}, g AS (SELECT grp, script, count(*) n, min(vec_id) f FROM y WHERE vec_id % 17 <> 0 GROUP BY ALL),
@@ -403,7 +429,8 @@ def oracle_sql() -> dict[str, str]:
         "has_letters": "SELECT doc_id, coalesce(regexp_matches(text, '\\p{L}'), false) letters FROM documents",
         "page_languages_stored": "SELECT DISTINCT page_id, CASE WHEN regexp_full_match(language, '[a-zA-Z]{1,8}(-[a-zA-Z0-9]{1,8})*') AND lower(language) <> 'unknown' THEN language END lang FROM page_info",
         "stats_text": f"SELECT doc_id, 'PC25=' || printf('%.4f', quantile_cont(conf, 0.25)) || ';PC50=' || printf('%.4f', median(conf)) || ';PC75=' || printf('%.4f', quantile_cont(conf, 0.75)) || ';N_LONG_ROWTEXT=' || count(*) FILTER (length(t) > 100) settings FROM ({X.DOC_LINES}) GROUP BY doc_id",
-        "run_summary": "SELECT count(*) FILTER (height >= 0 AND length <> 0) n_ok, count(*) FILTER (height < 0) n_err FROM (SELECT DISTINCT ON (path) * FROM page_images)",
+        "run_status": f"{_STATUS} SELECT page_id, status, n_lines FROM s",
+        "run_summary": f"{_STATUS} SELECT count(*) FILTER (status = 'ok') n_ok, count(*) FILTER (status = 'error') n_err FROM s",
         "image_inventory": f"SELECT DISTINCT ON (path) path, regexp_replace(regexp_extract(path, '[^/]*$'), '(.)\\.[^.]*$', '\\1') stem, regexp_replace(path, '/?[^/]*$', '') folder, height, width FROM page_images WHERE regexp_extract(path, '\\.([^./]+)$', 1) IN {_EXT}",
         "pages_never_read": f"SELECT DISTINCT page_id FROM page_images WHERE regexp_extract(path, '\\.([^./]+)$', 1) IN {_EXT} AND page_id NOT IN (SELECT page_id FROM line_text WHERE page_id IS NOT NULL)",
         "small_polygon_filter": f"{_BIG} SELECT p, k FROM g",
@@ -411,18 +438,32 @@ def oracle_sql() -> dict[str, str]:
         "interval_iou_pairs": f"{_B}, {_PAIR.format(t='b')} SELECT p, a, b, round(v, 6) v, round(i / (aa + ab - i), 6) iou FROM s",
         "merge_edges": f"{_EDGE} SELECT * FROM e",
         "merge_components": f"{_COMP} SELECT * FROM m",
-        "merged_confidence": f"{_COMP} SELECT p, root, round(avg(conf), 6) conf, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 FROM m JOIN g USING (p) WHERE g.k = m.node GROUP BY p, root",
+        "merged_confidence": f"{_MERGED} SELECT p, k, round(avg(conf), 6) conf, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 FROM q GROUP BY p, k",
+        # area and circumference of a union of boxes by the cells that their sides cut out
+        "merged_polygons": f"""{_MERGED}, xs AS (SELECT p, k, x, lead(x) OVER (PARTITION BY p, k ORDER BY x) x2 FROM (SELECT p, k, x0 x FROM q UNION SELECT p, k, x1 FROM q)),
+          ys AS (SELECT p, k, y, lead(y) OVER (PARTITION BY p, k ORDER BY y) y2 FROM (SELECT p, k, y0 y FROM q UNION SELECT p, k, y1 FROM q)),
+          cell AS (SELECT DISTINCT p, k, x, x2, y, y2 FROM xs JOIN ys USING (p, k) JOIN q USING (p, k) WHERE q.x0 <= x AND x2 <= q.x1 AND q.y0 <= y AND y2 <= q.y1),
+          edge AS (SELECT p, k, e.l, count(*) n FROM (SELECT p, k, unnest([{{'v': true, 'a': x, 'b': y, 'l': y2 - y}}, {{'v': true, 'a': x2, 'b': y, 'l': y2 - y}}, {{'v': false, 'a': y, 'b': x, 'l': x2 - x}}, {{'v': false, 'a': y2, 'b': x, 'l': x2 - x}}]) e FROM cell) GROUP BY p, k, e)
+          SELECT p, k, circumference, area FROM (SELECT p, k, round(sum(l), 3) circumference FROM edge WHERE n = 1 GROUP BY p, k) JOIN (SELECT p, k, round(sum((x2 - x) * (y2 - y)), 3) area FROM cell GROUP BY p, k) USING (p, k)""",
         "line_region": f"{_BEST} SELECT p, k, rid, round(i / (s - i), 6) iou FROM q WHERE n = 1",
         "regions_without_lines": f"{_BEST} SELECT p, rid FROM r WHERE (p, rid) NOT IN (SELECT (p, rid) FROM q WHERE n = 1)",
         "default_region": f"SELECT o_orderkey p, '0' id, 'paragraph' AS name, 0.0::DOUBLE conf, 0.0::DOUBLE x0, 0.0::DOUBLE y0, {X.SIDE}.0::DOUBLE x1, {X.SIDE}.0::DOUBLE y1 FROM orders WHERE o_orderstatus = 'F'",
         "ignored_region_lines": f"{_R}, c AS (SELECT b.p, b.k, coalesce(bool_or(rid = 1), false) ign, coalesce(bool_or(rid <> 1), false) kept FROM b LEFT JOIN r ON b.p = r.p AND (b.x0 + b.x1) / 2 BETWEEN r.x0 AND r.x1 AND (b.y0 + b.y1) / 2 BETWEEN r.y0 AND r.y1 GROUP BY b.p, b.k) SELECT p, k FROM c WHERE kept OR NOT ign",
         "reading_rank": f"{_RANK} SELECT * FROM f",
         "cyclic_pages": f"{_RANK} SELECT p FROM f GROUP BY p HAVING count(DISTINCT indegree) < count(*)",
+        "reading_order": f"""{_RANK.replace('WITH b AS', 'WITH RECURSIVE b AS', 1)}, cyc AS (SELECT p FROM f GROUP BY p HAVING count(DISTINCT indegree) < count(*)), h AS (SELECT b.* FROM b JOIN cyc USING (p)),
+          r AS (SELECT u.p, u.k u, v.k v FROM h u JOIN h v ON u.p = v.p AND u.k <> v.k WHERE {_BEFORE}),
+          s AS (SELECT p, []::BIGINT[] taken FROM cyc UNION ALL SELECT p, list_append(taken, arg_min(k, {{'a': l, 'b': y0, 'c': x0, 'd': k}})) FROM
+            (SELECT s.p, s.taken, h.k, h.y0, h.x0, count(r.v) l FROM s JOIN h ON h.p = s.p AND NOT list_contains(s.taken, h.k) LEFT JOIN r ON r.p = h.p AND r.u = h.k AND NOT list_contains(s.taken, r.v) GROUP BY ALL) GROUP BY p, taken),
+          t AS (SELECT p, taken FROM s JOIN (SELECT p, count(*) n FROM h GROUP BY p) USING (p) WHERE len(taken) = n)
+          SELECT p, k, indegree pos FROM f WHERE p NOT IN (SELECT p FROM cyc) UNION ALL SELECT p, unnest(taken) k, unnest(range(len(taken))) pos FROM t""",
         "width_batches": f"{_B} SELECT p, k, CAST((row_number() OVER (PARTITION BY p ORDER BY (x1 - x0) / (y1 - y0), k) - 1) // 2 AS INTEGER) batch FROM b",
         "region_ids": f"{_R} SELECT p, rid, CASE rid WHEN 2 THEN 'id_9_a_0' ELSE 'paragraph_' || rid END id FROM r",
         "points_text": f"{_B} SELECT p, k, {corner.format(*cast)} alto, {corner.format(*(f'greatest({c}, 0)' for c in cast))} page FROM b",
         "text_extent": f"{_B}, t AS (SELECT p, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 FROM b GROUP BY p) SELECT p, {p}, greatest({X.SIDE} - x1, 0) right_width, greatest({X.SIDE} - y1, 0) bottom_height FROM t",
-        "page_records": f"SELECT page_id, count(*) n_lines, CAST(sum(length(coalesce(text, ''))) AS BIGINT) n_chars FROM {_LINES} WHERE region_pos IS NOT NULL AND line_pos IS NOT NULL AND page_id IN (SELECT page_id FROM page_images WHERE height > 0) GROUP BY page_id",
+        "detections_routed": """SELECT page_id, det_idx, class_id, CASE WHEN class_id >= 2 THEN 'line' ELSE 'region' END kind, conf, CASE WHEN len(polygon) < 3 THEN 0.0 ELSE abs(list_sum(list_transform(range(1, len(polygon) + 1), lambda i:
+          polygon[i].x::DOUBLE * polygon[i % len(polygon) + 1].y - polygon[i % len(polygon) + 1].x::DOUBLE * polygon[i].y))) / 2 END area FROM detections WHERE class_id >= 1 AND conf >= 0.15""",
+        "page_records": f"{_RECORDS} SELECT page_id, CAST(dense_rank() OVER (PARTITION BY page_id ORDER BY region_pos) - 1 AS INTEGER) region_pos, CAST(row_number() OVER (PARTITION BY page_id, region_pos ORDER BY line_pos) - 1 AS INTEGER) line_pos, coalesce(text, '') \"text\", conf, script, line_conf, script_conf, CAST(len(polygon) AS INTEGER) n_points FROM k",
         "p7_found": f"{_P7} SELECT page_id, CAST(region_pos AS INTEGER) region_pos, CAST(line_pos AS INTEGER) line_pos, CAST(coalesce({_COUNT.format('p')}, 0) AS INTEGER) n_points FROM c",
         "p7_points": f"{_P7}, q AS (SELECT page_id, region_pos, line_pos, {_XY.format(g=1, i=0, f='x')} xs, {_XY.format(g=2, i=1, f='y')} ys FROM c) SELECT page_id, region_pos, line_pos, CAST(unnest(range(len(xs))) AS INTEGER) point_pos, unnest(xs) x, unnest(ys) y FROM q",
         "p7_variants": f"""{_P7}, f AS (SELECT *, row_number() OVER () id FROM o), h AS (SELECT *, unnest(json_keys(x)) k FROM f), e AS (SELECT *, x -> ('$."' || k || '"') e FROM h),
