@@ -44,6 +44,11 @@ def _looks() -> dict[str, str]:
             m[c] = ""
         elif cp >= 0xFF01:
             m[c] = unicodedata.normalize("NFKC", c)
+    # letters and digits of other fonts and widths, by their decomposition
+    for cp in [*range(0x2100, 0x2150), *range(0xFF5F, 0xFFEF), *range(0x1D400, 0x1D800)]:
+        c = chr(cp)
+        if unicodedata.decomposition(c).startswith(("<font>", "<wide>", "<narrow>")) and len(to := unicodedata.normalize("NFKC", c)) == 1:
+            m[c] = to
     m["\t"] = " "
     m["‐"] = m["‑"] = "-"
     for a, b in (CYRILLIC, GREEK):
@@ -127,10 +132,34 @@ def classes(records: DataFrame) -> DataFrame:
     )
 
 
+#: Members of a class that one task pairs with the others.
+TOGETHER = 4096
+
+
 def pairs(members: DataFrame) -> DataFrame:
-    """Pairs of records of one class with different stored texts: ``record_kind, id_a, id_b`` (id_a < id_b)."""
-    m = members.select("record_kind", "class_id", "id", F.sha2("text", 256).alias("_t"))
-    a, b = m.alias("a"), m.alias("b")
-    same = (F.col("a.record_kind") == F.col("b.record_kind")) & (F.col("a.class_id") == F.col("b.class_id"))
+    """Pairs of records of one class with different stored texts: ``record_kind, id_a, id_b`` (id_a < id_b).
+
+    A class of more than ``TOGETHER`` members is split: one side of the join is salted by id, the other repeated for each
+    salt, so no class of any size meets in one task.
+    """
+    m = save(members.select("record_kind", "class_id", "id", F.sha2("text", 256).alias("_t"))).df
+    salts = m.groupBy("record_kind", "class_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(TOGETHER)).cast("int").alias("_n"))
+    m = m.join(salts, ["record_kind", "class_id"])
+    a = m.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).alias("a")
+    b = m.withColumn("_salt", F.pmod(F.xxhash64("id"), F.col("_n").cast("long")).cast("int")).alias("b")
+    same = F.lit(True)
+    for c in ("record_kind", "class_id", "_salt"):
+        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
     j = a.join(b, same & (F.col("a.id") < F.col("b.id")) & (F.col("a._t") != F.col("b._t")))
     return j.select(F.col("a.record_kind").alias("record_kind"), F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
+
+
+def sql_look(text: str) -> str:
+    """``mapped`` as SQL for DuckDB, composed: equal looks give equal strings."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    kept = {a: b for a, b in LOOKS.items() if a != b and b}
+    gone = [a for a, b in LOOKS.items() if not b]
+    out = f"translate({text}, {quote(''.join(kept) + ''.join(gone))}, {quote(''.join(kept.values()))})"
+    for a, b in LIGATURES.items():
+        out = f"replace({out}, {quote(a)}, {quote(b)})"
+    return f"nfc_normalize(regexp_replace({out}, ' {{2,}}', ' ', 'g'))"

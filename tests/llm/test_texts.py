@@ -451,3 +451,20 @@ def test_readable_keeps_words_in_one_script():
 def test_a_prose_line_like_a_heading_is_none():
     lines = ["GRITOLNISKA", "Mannen gick över bron med hans", "Gritolniska.", "dotter och kom hem", "GRITOL·ISKA", "igen."]
     assert scan.furniture(lines) == {0: "header", 4: "header"}
+
+
+def test_pairs_of_a_large_class(spark, monkeypatch):
+    """A class over the limit is salted; the pairs are those of brute force."""
+    monkeypatch.setattr(lookalike, "TOGETHER", 7)
+    texts = ["bron", "brоn", "b​ron", "bｒon"]
+    rows = [("line", i, texts[i % 4] if i % 3 else "bron") for i in range(50)] + [("line", 100, "an"), ("line", 101, "ａn"), ("document", 1, "an")]
+    d = spark.createDataFrame(rows, "record_kind string, id long, text string")
+    got = {(r.id_a, r.id_b) for r in lookalike.pairs(lookalike.classes(d)).collect()}
+    text = {i: t for k, i, t in rows if k == "line"}
+    assert got == {(a, b) for a in range(50) for b in range(a + 1, 50) if text[a] != text[b]} | {(100, 101)}
+
+
+def test_letters_of_other_fonts_and_widths(spark):
+    rows = [("line", i, t) for i, t in enumerate(["bron 12", "𝐛𝐫𝐨𝐧 𝟏𝟐", "𝓫𝓻𝓸𝓷 𝟭𝟮", "bron 13", "ﾅ nio", "ナ nio"])]
+    d = spark.createDataFrame(rows, "record_kind string, id long, text string")
+    assert {(r.id_a, r.id_b) for r in lookalike.pairs(lookalike.classes(d)).collect()} == {(0, 1), (0, 2), (1, 2), (4, 5)}
