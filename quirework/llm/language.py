@@ -43,7 +43,7 @@ PLACEHOLDERS = ["", "und", "unknown", "unk", "none", "null", "n/a", "na", "-", "
 _BITS = 15
 _BUCKETS = 1 << 15
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;]|\n[^\S\n]*\n")
-_DIVIDED = re.compile(r"(?<=\w)[-¬=⸗­‐]\n\s*(?=[^\W\d_])")
+_DIVIDED = re.compile(r"[-¬=⸗­‐](?<=\w.)\n\s*(?=[^\W\d_])")
 LEAST_WORDS = 4
 
 
@@ -276,6 +276,55 @@ def passages_of(texts: list[str | None], model: Model) -> pd.DataFrame:
     )
 
 
+def segments_of(texts: list[str | None], model: Model) -> pd.DataFrame:
+    """The segments of all texts: runs of passages of one language, after ambiguous passages have joined their neighbours.
+
+    A passage that is ambiguous alone takes the language of the sure passages next to it, of two that of the stronger
+    lead; a text without any sure passage is one segment. Columns: ``owner, segment`` (from 0), ``first_word, last_word``
+    (of the text, from 0), ``lang, confidence`` (of its passages together), ``ambiguous``.
+    """
+    owner, n, loss = passages(texts, model)
+    lang, _ = _settled(n, owner, loss, len(texts))
+    rows = []
+    ends = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1, [len(owner)]]) if len(n) else np.zeros(1, dtype=int)
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        part, own = loss[a:b], lang[a:b].copy()
+        gap = np.partition(part, 1, axis=1)[:, 1] - part.min(axis=1)
+        sure = np.flatnonzero((gap >= LEAST_LEAD) & (n[a:b] > 1))
+        if len(sure):
+            each = np.arange(b - a)
+            after = np.searchsorted(sure, each)
+            left, right = sure[np.maximum(after - 1, 0)], sure[np.minimum(after, len(sure) - 1)]
+            near = np.where((after == 0) | ((after < len(sure)) & (gap[right] > gap[left])), right, left)
+            unsure = np.ones(b - a, dtype=bool)
+            unsure[sure] = False
+            own[unsure] = own[near[unsure]]
+        else:
+            own[:] = int(part.sum(axis=0).argmin())
+        start = np.concatenate([[0], np.cumsum(n[a:b])])
+        cuts = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [b - a]])
+        for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            total = part[i:j].sum(axis=0)
+            lead = float(np.delete(total, own[i]).min() - total[own[i]])
+            rows.append((owner[a], k, int(start[i]), int(start[j]) - 1, LANGUAGES[own[i]], float(1 / (1 + np.exp(-np.clip(lead, -50, 50)))), lead < LEAST_LEAD))
+    return pd.DataFrame(rows, columns=["owner", "segment", "first_word", "last_word", "lang", "confidence", "ambiguous"])
+
+
+def document_segments(docs: DataFrame, doc_id: str, text: str, model: Model) -> DataFrame:
+    """One row per segment of each document: ``record_id`` and the columns of ``segments_of``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        for f in frames:
+            out = segments_of(f["text"].tolist(), m)
+            out.insert(0, "record_id", f["record_id"].to_numpy()[out.pop("owner").to_numpy(dtype=np.int64)])
+            yield out
+
+    d = docs.select(F.col(doc_id).cast("long").alias("record_id"), F.col(text).alias("text")).where("record_id is not null")
+    return d.mapInPandas(run, "record_id long, segment long, first_word long, last_word long, lang string, confidence double, ambiguous boolean")
+
+
 def words_by_label(text: str) -> list[str]:
     return [t for t in _TOKEN.findall(K.readable(_DIVIDED.sub("", text)).lower()) if t[0].isalpha()]
 

@@ -15,7 +15,9 @@ _MARKED = re.compile(r"\s*(?:[•\-*–—·◦▪‣]|\(?\d{1,3}[.)]|\(?[^\W\d_
 _ENDS = re.compile(r"[.!?;:]|[-¬=⸗\xad‐–—]$")
 _CELL_MARK = re.compile(r";(?=\S)|\.{3,}|\s{3,}")
 _FORMS = {a: b for a, b in (LOOKS | LIGATURES).items() if a != "\t" and a not in CYRILLIC[0] + GREEK[0]}
-_ODD = re.compile("[" + re.escape("".join(_FORMS)) + "]")
+# characters beyond the first plane would slow the search down for all others, so they have a pattern of their own
+_ODD = re.compile("[" + re.escape("".join(c for c in _FORMS if c <= "\uffff")) + "]")
+_FAR = re.compile("[" + min(c for c in _FORMS if c > "\uffff") + "-" + max(_FORMS) + "]")
 _LETTERS = {a: b for a, b in LOOKS.items() if a in CYRILLIC[0] + GREEK[0]}
 _ALIKE = re.compile("[" + "".join(_LETTERS) + "]")
 # Latin letters that print like Cyrillic ones, and letters that are surely Cyrillic or Latin
@@ -31,7 +33,9 @@ def plain(text: str) -> str:
 
 
 def _formed(text: str) -> str:
-    return _ODD.sub(lambda m: _FORMS[m[0]], text) if _ODD.search(text) else text
+    if _ODD.search(text):
+        text = _ODD.sub(lambda m: _FORMS[m[0]], text)
+    return _FAR.sub(lambda m: _FORMS.get(m[0], m[0]), text) if _FAR.search(text) else text
 
 
 _LATIN_OR_GREEK = re.compile(r"[a-zA-ZͰ-Ͽ]")

@@ -300,6 +300,30 @@ def test_passages_of_mixed_records(spark, labelled):
     assert all(0.5 <= r.confidence <= 1 for r in of.values())
 
 
+def test_segments_of_mixed_records(spark, labelled):
+    model = language.train(labelled, "doc_id", "text", "lang")
+    rng = np.random.default_rng(5)
+    text = sentence("sv", rng) + " " + sentence("sv", rng) + " Xq. " + sentence("ru", rng) + " 12! " + sentence("fi", rng)
+    d = spark.createDataFrame([(2, text), (1, "Den."), (3, None), (4, " "), (None, "och")], "doc_id long, text string")
+    got = sorted(map(tuple, language.document_segments(d, "doc_id", "text", model).drop("confidence").collect()))
+    assert [(r[0], r[1], r[4]) for r in got] == [(1, 0, "sv"), (2, 0, "sv"), (2, 1, "ru"), (2, 2, "fi")]
+    assert got[1][2] == 0 and got[3][3] == 36 and all(a[3] + 1 == b[2] for a, b in zip(got[1:], got[2:], strict=False))
+    assert language.document_segments(d.limit(0), "doc_id", "text", model).count() == 0
+
+
+def test_segments_cover_held_out_words(spark, labelled):
+    """Texts put together from sentences of known languages: words that get the language of their sentence."""
+    model = language.train(labelled, "doc_id", "text", "lang")
+    rng = np.random.default_rng(12)
+    langs = [[str(x) for x in rng.choice(["sv", "fi", "en", "ru"], 3) for _ in range(2)] for _ in range(40)]
+    d = spark.createDataFrame([(i, " ".join(sentence(x, rng) for x in l)) for i, l in enumerate(langs)], "doc_id long, text string")
+    right = total = 0
+    for r in language.document_segments(d, "doc_id", "text", model).collect():
+        truth = [langs[r.record_id][w // 9] for w in range(r.first_word, r.last_word + 1)]
+        right, total = right + truth.count(r.lang), total + len(truth)
+    assert total == 40 * 6 * 9 and right / total > 0.97
+
+
 def test_passages_add_up_to_records(spark, data):
     every = catalog.p5_languages(spark, data).collect()
     p = catalog.p5_passages(spark, data).toPandas()
