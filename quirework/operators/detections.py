@@ -143,7 +143,10 @@ def postprocess(df: DataFrame, kind: str, size_fraction: float = 7e-05, iou: flo
     """
     d = df.where(F.col("polygon").isNotNull() & (F.size("polygon") >= 3))
     d = large_enough(d, S.area_fraction(F.col("polygon"), F.col("height"), F.col("width")), size_fraction).withColumn("box", S.box_of(F.col("polygon")))
-    edges = merge_edges(overlap_pairs(d, "page_id", "det_idx", "box", extra=("polygon",)), "page_id", iou, overlap, kind == "line", ("polygon_a", "polygon_b"))
+    pairs = overlap_pairs(d, "page_id", "det_idx", "box")  # polygons are fetched for the pairs whose boxes meet
+    for side in ("a", "b"):
+        pairs = pairs.join(d.select("page_id", F.col("det_idx").alias(side), F.col("polygon").alias(f"polygon_{side}")), ["page_id", side])
+    edges = merge_edges(pairs, "page_id", iou, overlap, kind == "line", ("polygon_a", "polygon_b"))
     out = merge(d, "page_id", "det_idx", merge_components(edges, "page_id")).withColumn("box", S.box_of(F.col("polygon")))
     if kind != "line":
         return out
@@ -154,14 +157,17 @@ def postprocess(df: DataFrame, kind: str, size_fraction: float = 7e-05, iou: flo
 def outside_ignored(lines: DataFrame, regions: DataFrame, page: str, ignored: Column) -> DataFrame:
     """Lines but those whose box centre is inside some ignored region and inside no kept one (edges count as inside).
 
-    lines: ``page, box``; regions: ``page, box`` and what ``ignored`` reads. A semi and an anti join by page.
+    lines: ``page, box``; regions: ``page, box`` and what ``ignored`` reads. Centres meet regions by page and horizontal
+    strip, so a page of many lines and regions is spread over its strips.
     """
-    l = lines.withColumns({"_cx": (F.col("box.x0") + F.col("box.x1")) / 2, "_cy": (F.col("box.y0") + F.col("box.y1")) / 2, "_row": F.monotonically_increasing_id()})
-    r = regions.select(F.col(page).alias("_p"), F.col("box").alias("_b"), ignored.alias("_ignored"))
-    inside = (F.col(page) == F.col("_p")) & F.col("_cx").between(F.col("_b.x0"), F.col("_b.x1")) & F.col("_cy").between(F.col("_b.y0"), F.col("_b.y1"))
+    cx, cy = (F.col("box.x0") + F.col("box.x1")) / 2, (F.col("box.y0") + F.col("box.y1")) / 2
+    l = lines.withColumns({"_cx": cx, "_cy": cy, "_s": F.floor(cy / STRIP).cast("long")})
+    strips = F.sequence(F.floor(F.col("box.y0") / STRIP).cast("long"), F.floor(F.col("box.y1") / STRIP).cast("long"))
+    r = regions.select(F.col(page).alias("_p"), F.col("box").alias("_b"), ignored.alias("_ignored"), F.explode(strips).alias("_rs"))
+    inside = (F.col(page) == F.col("_p")) & (F.col("_s") == F.col("_rs")) & F.col("_cx").between(F.col("_b.x0"), F.col("_b.x1")) & F.col("_cy").between(F.col("_b.y0"), F.col("_b.y1"))
     kept = l.join(r.where(~F.col("_ignored")), inside, "left_semi")
     free = l.join(r, inside, "left_anti")
-    return kept.unionByName(free).drop("_cx", "_cy", "_row")
+    return kept.unionByName(free).drop("_cx", "_cy", "_s")
 
 
 def tile_grid(df: DataFrame, page: str, size: int, overlap: int = 128) -> DataFrame:

@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 from quirework.functions import polygons as G
 from quirework.functions import scalars as S
 from quirework.operators.components import spread_rank
-from quirework.operators.detections import overlap_pairs
+from quirework.operators.detections import STRIP, overlap_pairs
 from quirework.runtime import save
 
 #: Boxes of a page that one task sorts; pages with more are ranked over several tasks, with the same result.
 LARGE_PAGE = 500_000
+#: Regions of a page with which each of its boxes is compared.
+FEW_REGIONS = 64
 #: A line farther than this from every region has none.
 FAR = 1_000_000.0
 
@@ -32,23 +34,61 @@ def assign_regions(lines: DataFrame, regions: DataFrame, page: str, line: str, r
     """``page, line, region, iou``: the region of greatest IoU; without any overlap the nearest one closer than ``FAR``.
 
     Equal ones go to the region of the lower index. Lines of pages without regions, and lines too far away, have no
-    row. Both tables have ``box`` (or ``polygon``, for polygons of any form). The choice is an aggregate by line, made
-    within the shuffle by page.
+    row. Both tables have ``box`` (or ``box`` and ``polygon``, for polygons of any form).
+
+    Boxes of pages of at most ``FEW_REGIONS`` regions are compared with all of them. Else lines meet the regions whose
+    boxes touch theirs, by page and strip; only lines that overlap none of these are compared with all regions of their
+    page. Polygons are not carried through the joins: those of the pairs whose boxes touch are fetched afterwards, and of
+    the others those whose box is no farther than some polygon can be. Both ways give the same.
     """
-    what = "polygon" if polygons else "box"
-    l = lines.select(page, line, F.col(what).alias("_l"))
-    r = regions.select(page, region, F.col(what).alias("_r"))
-    j = l.join(r, page)
+    if not polygons and not regions.groupBy(page).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FEW_REGIONS).limit(1).count():
+        return _assigned_at_once(lines, regions, page, line, region)
+    l = lines.select(page, line, F.col("box").alias("_l"))
+    r = regions.select(page, region, F.col("box").alias("_r"))
+    touching = _touching(l, r, page, line, region)
+    near = touching.select(page, line, region, *([] if polygons else [S.box_iou(F.col("_l"), F.col("_r")).alias("iou")]))
     if polygons:
-        j = j.withColumn("_n", _near("_l", "_r")).withColumns({"iou": F.col("_n.iou"), "_d": F.col("_n.dist")})
-    else:
-        j = j.withColumns({"iou": S.box_iou(F.col("_l"), F.col("_r")), "_d": S.box_distance(F.col("_l"), F.col("_r"))})
+        near = _measured(near, lines, regions, page, line, region).select(page, line, region, "iou")
+    best = F.min_by(F.struct(F.col(region).alias("r"), "iou"), F.struct(-F.col("iou"), F.col(region)))
+    over = save(near.where("iou > 0").groupBy(page, line).agg(best.alias("_b")).select(page, line, F.col("_b.r").alias(region), F.col("_b.iou").alias("iou"))).df
+
+    rest = l.join(over.select(page, line), [page, line], "left_anti").join(r, page)
+    rest = rest.withColumn("_d", S.box_distance(F.col("_l"), F.col("_r")))
+    if polygons:
+        # a polygon's distance lies between that of the boxes and that of their farthest corners
+        far = F.hypot(*(F.greatest(F.col(f"_l.{c}1"), F.col(f"_r.{c}1")) - F.least(F.col(f"_l.{c}0"), F.col(f"_r.{c}0")) for c in "xy"))
+        bound = rest.groupBy(page, line).agg(F.min(far).alias("_most"))
+        close = rest.join(bound, [page, line]).where(F.col("_d") <= F.col("_most")).select(page, line, region)
+        rest = _measured(close, lines, regions, page, line, region).withColumn("_d", F.col("dist"))
+    least = F.min_by(F.struct(F.col(region).alias("r"), F.col("_d").alias("d")), F.struct("_d", F.col(region)))
+    alone = rest.groupBy(page, line).agg(least.alias("_b")).where(F.col("_b.d") < FAR)
+    return over.unionByName(alone.select(page, line, F.col("_b.r").alias(region), F.lit(0.0).alias("iou")))
+
+
+def _assigned_at_once(lines: DataFrame, regions: DataFrame, page: str, line: str, region: str) -> DataFrame:
+    """``assign_regions`` for boxes, an aggregate by line within the shuffle by page."""
+    j = lines.select(page, line, F.col("box").alias("_l")).join(regions.select(page, region, F.col("box").alias("_r")), page)
+    j = j.withColumns({"iou": S.box_iou(F.col("_l"), F.col("_r")), "_d": S.box_distance(F.col("_l"), F.col("_r"))})
     near = F.when(F.col("iou") > 0, F.lit(0.0)).otherwise(F.col("_d"))
     best = F.min_by(F.struct(F.col(region).alias("r"), "iou", near.alias("d")), F.struct(-F.col("iou"), near, F.col(region)))
     got = j.groupBy(page, line).agg(best.alias("_b"))
     return got.where((F.col("_b.iou") > 0) | (F.col("_b.d") < FAR)).select(page, line, F.col("_b.r").alias(region), F.col("_b.iou").alias("iou"))
 
 
+def _touching(l: DataFrame, r: DataFrame, page: str, line: str, region: str) -> DataFrame:
+    """Pairs of lines and regions of a page whose boxes meet, each once: joined by page and horizontal strip."""
+    strips = lambda c: F.explode(F.sequence(F.floor(F.col(f"{c}.y0") / STRIP).cast("long"), F.floor(F.col(f"{c}.y1") / STRIP).cast("long"))).alias("_s")
+    j = l.where("_l is not null").select(page, line, "_l", strips("_l")).join(r.where("_r is not null").select(page, region, "_r", strips("_r")), [page, "_s"])
+    meet = (F.col("_l.x0") <= F.col("_r.x1")) & (F.col("_r.x0") <= F.col("_l.x1")) & (F.col("_l.y0") <= F.col("_r.y1")) & (F.col("_r.y0") <= F.col("_l.y1"))
+    return j.where(meet & (F.floor(F.greatest("_l.y0", "_r.y0") / STRIP) == F.col("_s")))
+
+
+def _measured(pairs: DataFrame, lines: DataFrame, regions: DataFrame, page: str, line: str, region: str) -> DataFrame:
+    """``pairs`` with the ``iou`` and ``dist`` of their polygons."""
+    j = pairs.join(lines.select(page, line, F.col("polygon").alias("_lp")), [page, line]).join(regions.select(page, region, F.col("polygon").alias("_rp")), [page, region])
+    return j.withColumn("_n", _near("_lp", "_rp")).select(page, line, region, "_n.iou", "_n.dist")
+
+
 def regions_without_lines(regions: DataFrame, assigned: DataFrame, page: str, region: str) -> DataFrame:
     """Regions that no line was assigned to; ordering leaves them out."""
     return regions.join(assigned, [page, region], "left_anti")

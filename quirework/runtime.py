@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,12 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder.
+
+    Only a local master may do without: a folder of our own is made then, removed at exit. On a cluster an unset folder
+    is an error, as a machine's own one would be written by some executors and read by others.
+    """
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="quirework-"))
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="quirework-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 

@@ -65,3 +65,26 @@ def test_plans(spark, data):
         assert "BroadcastNestedLoopJoin" not in plan, name
     plan = catalog.queries()["long_rows"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """Only a local master may write to a folder of its own."""
+    from quirework import runtime
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, name, default=None):
+            return self.value if name == "spark.checkpoint.dir" else default
+
+    session = lambda value: type("S", (), {"sparkContext": Context(), "conf": Conf(value)})
+    with pytest.raises(RuntimeError):
+        runtime.shared_dir(session(None))
+    assert runtime.shared_dir(session("hdfs://x/shared/")) == "hdfs://x/shared"

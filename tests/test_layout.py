@@ -2,11 +2,13 @@
 
 import itertools
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quirework.functions import polygons as G
 from quirework.functions import scalars as S
 from quirework.operators import components, detections, layout
 
@@ -154,6 +156,33 @@ def test_assignment(spark):
     assert {(r.p, r.rid) for r in left.collect()} == {(1, 0), (3, 0)}
 
 
+def test_assignment_of_both_ways(spark, monkeypatch):
+    """Random boxes and triangles: by strips and by all pairs, boxes and polygons, against brute force."""
+    rng = np.random.default_rng(7)
+
+    def some(n, size):
+        at = rng.integers(0, 1500, (n, 2))
+        return [(float(x), float(y), float(x + w), float(y + h)) for (x, y), (w, h) in zip(at, rng.integers(5, size, (n, 2)), strict=True)]
+
+    tri = lambda b: [{"x": b[0], "y": b[1]}, {"x": b[2], "y": b[1]}, {"x": b[0], "y": b[3]}]
+    schema = f"p int, k int, box {BOX}, polygon array<struct<x:double,y:double>>"
+    lines, regions = some(60, 120), some(25, 500)
+    l = spark.createDataFrame([(1, i, b, tri(b)) for i, b in enumerate(lines)] + [(2, 0, lines[0], tri(lines[0]))], schema)
+    r = spark.createDataFrame([(1, i, b, tri(b)) for i, b in enumerate(regions)], schema).withColumnRenamed("k", "rid")
+    best = {}
+    for i, b in enumerate(lines):
+        options = []
+        for j, c in enumerate(regions):
+            v = G.iou(tri(b), tri(c))
+            options.append((-v, 0.0 if v > 0 else G.distance(tri(b), tri(c)), j))
+        best[i] = min(options)[2]
+    got = {x.k: x.rid for x in layout.assign_regions(l, r, "p", "k", "rid", polygons=True).collect()}
+    assert got == best
+    plain = sorted(map(tuple, layout.assign_regions(l, r, "p", "k", "rid").collect()))
+    monkeypatch.setattr(layout, "FEW_REGIONS", 3)
+    assert sorted(map(tuple, layout.assign_regions(l, r, "p", "k", "rid").collect())) == plain and len(plain) == 60
+
+
 def test_ignored(spark):
     lines = boxes(spark, {1: [(0, 0, 10, 10), (40, 40, 50, 50), (90, 90, 110, 110), (300, 300, 310, 310)]})
     regions = spark.createDataFrame([(1, (0.0, 0.0, 100.0, 100.0), True), (1, (40.0, 40.0, 60.0, 60.0), False)], f"p int, box {BOX}, skip boolean")
