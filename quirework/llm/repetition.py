@@ -25,11 +25,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.llm import textkind as K
+from quirework.operators.components import spread_rank
 from quirework.runtime import save, small
 
 RUN = 5
 LIMIT = 0.30
 MAX_PAGE_LINES = 50_000
+#: Words of a huge page that are looked at together.
+CHUNK = 10_000
 #: Runs shorter and longer than ``RUN`` whose shares the list may use.
 SHORT, LONG = 3, 8
 STATS = ["repeated_share", "short_share", "long_share", "new_word_share", "top_run_share", "same_line_share", "new_run_share"]
@@ -123,11 +126,11 @@ def page_texts(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     size = lines.where("page_id is not null").groupBy("page_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > MAX_PAGE_LINES)
     huge = save(size.select("page_id")).df  # a page of so many lines is rare, so this table is tiny or empty
-    ordinary = lines.where("page_id is not null").join(F.broadcast(huge), "page_id", "left_anti")
+    ordinary = lines.where("page_id is not null").join(small(huge), "page_id", "left_anti")
     line = F.struct("region_pos", "line_pos", "line_id", "text")
     pages = ordinary.groupBy("page_id").agg(F.sort_array(F.collect_set(line)).alias("_l"))
     text = F.concat_ws("\n", F.transform("_l", lambda x: x["text"]))
-    return pages.select("page_id", text.alias("text")), lines.join(F.broadcast(huge), "page_id", "left_semi")
+    return pages.select("page_id", text.alias("text")), lines.join(small(huge), "page_id", "left_semi")
 
 
 def _line_scripts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,14 +152,28 @@ def _line_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["page_id", "_rank", "_w", "_lines", "_like", "_visible"])
 
 
+def _with_neighbours(df: DataFrame, side: int, length: int) -> DataFrame:
+    """``df`` in chunks ``_chunk`` of ``CHUNK`` words, each with the ``length`` words that follow it (``side`` 1) or precede it (-1).
+
+    Rows of a chunk of their own have ``_own`` equal to ``_chunk``; the others are there to be looked at.
+    """
+    own = F.floor(F.col("_pos") / CHUNK)
+    at = F.col("_pos") % CHUNK
+    edge = at < length if side > 0 else at >= CHUNK - length
+    both = F.when(edge, F.array(own, own - side)).otherwise(F.array(own))
+    return df.withColumn("_own", own).withColumn("_chunk", F.explode(both))
+
+
 def huge_statistics(lines: DataFrame) -> DataFrame:
     """What ``statistics`` gives for pages, by shuffles alone, whatever their size: ``record_kind, record_id, n_words, STATS, junk``.
 
-    Lines are ranked and read one by one, with the scripts of their whole page; words get a position from the words
-    before their line, runs are compared by page and hash.
+    Lines are ranked by ranges and read one by one, with the scripts of their whole page; words get a position from the
+    words before their line, counted by blocks of lines; runs are made in chunks of words that see the next chunk's
+    first ones, and are compared by page and hash. No task holds a page.
     """
     order = ["region_pos", "line_pos", "line_id", "text"]
-    one = save(lines.select("page_id", *order).distinct().withColumn("_rank", F.row_number().over(Window.partitionBy("page_id").orderBy(*order)))).df
+    distinct = lines.select("page_id", *order).distinct()
+    one = save(spread_rank(distinct, ["page_id"], [F.col(c) for c in order], "_rank")).df
     full = one.where("text is not null")
     counts = full.select("page_id", "text").mapInPandas(_line_scripts, "page_id long, _surely long, _chars long, _alike boolean, _latin boolean")
     cyrillic = F.sum("_surely") * 5 > F.sum("_chars") + F.count(F.lit(1)) - 1  # with the line feeds between the lines
@@ -164,23 +181,30 @@ def huge_statistics(lines: DataFrame) -> DataFrame:
     read = full.select("page_id", "_rank", "text").join(small(save(scripts).df), "page_id")
     words = save(read.mapInPandas(_line_words, "page_id long, _rank long, _w array<string>, _lines array<string>, _like long, _visible long")).df
 
-    at = F.sum(F.size("_w")).over(Window.partitionBy("page_id").orderBy("_rank")) - F.size("_w")
-    w = words.select("page_id", "_w", at.alias("_at")).select("page_id", "_at", F.posexplode("_w").alias("_p", "_word"))
+    sized = words.select("page_id", "_rank", "_w", F.floor(F.col("_rank") / CHUNK).alias("_block"))
+    blocks = sized.groupBy("page_id", "_block").agg(F.sum(F.size("_w")).alias("_k"))  # a row for each so many lines
+    blocks = blocks.withColumn("_before", F.sum("_k").over(Window.partitionBy("page_id").orderBy("_block")) - F.col("_k")).drop("_k")
+    inside = F.sum(F.size("_w")).over(Window.partitionBy("page_id", "_block").orderBy("_rank")) - F.size("_w")
+    w = sized.withColumn("_in", inside).join(blocks, ["page_id", "_block"])
+    w = w.select("page_id", (F.col("_before") + F.col("_in")).alias("_at"), F.posexplode("_w").alias("_p", "_word"))
     w = w.select("page_id", (F.col("_at") + F.col("_p")).alias("_pos"), F.xxhash64("_word").alias("_h"))
-    by_pos = Window.partitionBy("page_id").orderBy("_pos")
+    by_pos = Window.partitionBy("page_id", "_chunk").orderBy("_pos")
 
     def run_of(length: int) -> Column:
         return F.when(F.lead("_h", length - 1).over(by_pos).isNotNull(), F.xxhash64(*(F.lead("_h", k).over(by_pos) for k in range(length))))
 
-    runs = save(w.withColumns({f"_run{k}": run_of(k) for k in (SHORT, RUN, LONG)})).df
+    ahead = _with_neighbours(w, 1, LONG - 1).withColumns({f"_run{k}": run_of(k) for k in (SHORT, RUN, LONG)})
+    runs = save(ahead.where("_chunk = _own").drop("_chunk", "_own")).df
 
     def hits(length: int) -> DataFrame:
         """Per page its words and those in runs met before."""
         run = f"_run{length}"
-        first = F.min("_pos").over(Window.partitionBy("page_id", run))
-        again = runs.select("page_id", "_pos", run).withColumn("_again", (F.col(run).isNotNull() & (first < F.col("_pos"))).cast("int"))
-        hit = F.max("_again").over(by_pos.rowsBetween(-(length - 1), 0))
-        return again.withColumn("_hit", hit).groupBy("page_id").agg(F.count(F.lit(1)).alias(f"_n{length}"), F.sum("_hit").alias(f"_hits{length}"))
+        mine = runs.select("page_id", "_pos", run)
+        first = mine.where(F.col(run).isNotNull()).groupBy("page_id", run).agg(F.min("_pos").alias("_first"))
+        again = mine.join(first, ["page_id", run], "left").withColumn("_again", F.coalesce((F.col("_first") < F.col("_pos")).cast("int"), F.lit(0)))
+        near = _with_neighbours(again.select("page_id", "_pos", "_again"), -1, length - 1)
+        hit = near.withColumn("_hit", F.max("_again").over(by_pos.rowsBetween(-(length - 1), 0))).where("_chunk = _own")
+        return hit.groupBy("page_id").agg(F.count(F.lit(1)).alias(f"_n{length}"), F.sum("_hit").alias(f"_hits{length}"))
 
     kinds = runs.groupBy("page_id", "_h").agg(F.lit(1)).groupBy("page_id").agg(F.count(F.lit(1)).alias("_words"))
     per_run = runs.where(F.col(f"_run{RUN}").isNotNull()).groupBy("page_id", f"_run{RUN}").agg(F.count(F.lit(1)).alias("_k"))

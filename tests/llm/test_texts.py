@@ -173,7 +173,9 @@ def test_pages_and_huge_pages(spark, monkeypatch):
     assert r.n_words == 12 and abs(r.repeated_share - 0.5) < 1e-9
 
 
-def test_huge_pages_have_the_same_statistics(spark, monkeypatch):
+@pytest.mark.parametrize("chunk", [10_000, 8])
+def test_huge_pages_have_the_same_statistics(spark, monkeypatch, chunk):
+    monkeypatch.setattr(repetition, "CHUNK", chunk)
     russian = "каждый сын и дом под старый мост"
     pages = {
         1: ["Dеrаѕ rågen dосk och över", "ｏｃｈ ﬁn vin\xadter kväl\u200blen", unicodedata.normalize("NFD", "på sjön över bron"), None, "  ", "DERAS rågen dock och över bron"] * 2,
