@@ -20,21 +20,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", keys: Sequence[str]
     keys = list(keys)
     e = edges.select(*keys, F.col(a).alias("_a"), F.col(b).alias("_b")).where("_a is not null and _b is not null")
     links = save(e.unionByName(e.select(*keys, F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct())
-    state = save(links.df.groupBy(*keys, F.col("_a").alias("node")).agg(F.least(F.min("_b"), F.first("_a")).alias("root")))
+    known = save(links.df.groupBy(*keys, F.col("_a").alias("node")).agg(F.least(F.min("_b"), F.first("_a")).alias("root")).withColumn("_old", F.lit(None).cast(edges.schema[a].dataType)))
     while True:
-        s = state.df
+        s = known.df.drop("_old")
         near = links.df.join(s.select(*keys, F.col("node").alias("_a"), "root"), [*keys, "_a"]).select(*keys, F.col("_b").alias("node"), "root")
         # a node also gets the label of its root: paths halve each round
         jump = s.select(*keys, "node", F.col("root").alias("_r")).join(s.select(*keys, F.col("node").alias("_r"), "root"), [*keys, "_r"]).select(*keys, "node", "root")
-        new = s.unionByName(near).unionByName(jump).groupBy(*keys, "node").agg(F.min("root").alias("root"))
-        nxt = save(new.join(s.withColumnRenamed("root", "_old"), [*keys, "node"]))
-        changed = nxt.df.where("root < _old").limit(1).count()
-        state.drop()
-        if not changed:
+        own = s.withColumn("_old", F.col("root"))
+        none = F.lit(None).cast(edges.schema[a].dataType).alias("_old")
+        every = own.unionByName(near.select(*keys, "node", "root", none)).unionByName(jump.select(*keys, "node", "root", none))
+        new = save(every.groupBy(*keys, "node").agg(F.min("root").alias("root"), F.max("_old").alias("_old")))  # one write a round
+        known.drop()
+        known = new
+        if not new.df.where("root < _old").limit(1).count():
             links.drop()
-            return nxt.df.select(*keys, "node", "root")
-        state = save(nxt.df.select(*keys, "node", "root"))
-        nxt.drop()
+            return new.df.select(*keys, "node", "root")
 
 
 def spread_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, parts: int | None = None) -> DataFrame:

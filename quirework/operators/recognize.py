@@ -127,11 +127,11 @@ def classify(lines: DataFrame, column: str, model: Model, batch: int = 32) -> Da
     return lines.mapInPandas(run, _with(lines, "label string, confidence double, error string"))
 
 
-def recognize(lines: DataFrame, column: str, models: dict[str, Model], batch: int = 8, attempts: int = 1) -> DataFrame:
+def recognize(lines: DataFrame, column: str, models: dict[str, Model], batch: int = 8, attempts: int = 1, strict: bool = False) -> DataFrame:
     """Adds ``text, text_conf, error`` by the recognizer of each line's ``predicted_label``; results are (text, score).
 
     Lines stay in their partition; each Arrow batch is split by label. A label without recognizer is an error of its
-    lines. A line that cannot be read has text '' and score 0; null inputs are such lines.
+    lines, or with ``strict`` of the whole run. A line that cannot be read has text '' and score 0; null inputs are such lines.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,6 +140,8 @@ def recognize(lines: DataFrame, column: str, models: dict[str, Model], batch: in
             text, conf, error = [""] * len(f), [0.0] * len(f), [None] * len(f)
             for label, at in f.reset_index(drop=True).groupby("predicted_label", dropna=False, sort=False).indices.items():
                 if label not in models:
+                    if strict:
+                        raise ValueError(f"no recognizer for {label!r}, only for {sorted(models)}")
                     for i in at:
                         error[i] = f"no recognizer for {label}"
                     continue

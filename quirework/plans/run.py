@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quirework.operators import detections, detectors, models, pages, recognize
 from quirework.plans.options import PLACEMENT, Options, check, make
 from quirework.plans.session import Session, crop_polygons
-from quirework.runtime import Saved, save
+from quirework.runtime import Saved, save, scope
 from quirework.sources import images as sources
 from quirework.sources import sinks
 
@@ -182,7 +182,7 @@ def run(input_folder: str, spark: SparkSession | None = None, report: Callable[[
     ``options``: those of ``Recognition``, models among them. An image also fails if a file of it cannot be written.
     """
     began = time.time()
-    with Recognition(spark, **options) as r:
+    with scope(), Recognition(spark, **options) as r:
         for note in r.notes:
             report(note)
         images = r._save(r.images(input_folder))

@@ -26,6 +26,8 @@ class Session:
         check(self.options, given=True)
         if self.classifier is None and len(self.recognizers) != 1:
             raise ValueError("without classifier there must be one recognizer")
+        if self.classifier is not None and self.options.classifier_default_label not in self.recognizers:
+            raise ValueError(f"no recognizer for the default label {self.options.classifier_default_label!r}")
 
     @classmethod
     def of(cls, recognizers: dict[str, recognize.Model], classifier: recognize.Model | None = None, **options) -> Session:
@@ -62,7 +64,7 @@ class Session:
         else:
             c = recognize.classify(lines, column, self.classifier, o.classifier_batch_size).withColumn("_at", F.struct("region_pos", "line_pos"))
             d = _fallback(save(c).df, o.classifier_default_label).withColumn("classified", F.lit(True))
-        return recognize.attach_script(recognize.recognize(d, column, self.recognizers, size, 10 if o.use_ppocr else 1))
+        return recognize.attach_script(recognize.recognize(d, column, self.recognizers, size, 10 if o.use_ppocr else 1, strict=True))
 
     def assemble(self, read: DataFrame, sizes: DataFrame, language: DataFrame | None = None) -> DataFrame:
         """Nested page records with statistics. sizes: ``page_id, image_path, height, width``."""

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +48,10 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Tables written by the scopes that are open, innermost last.
+_SCOPES: list[list[Saved]] = []
+
+
 class Saved:
     """A written table together with the handle that deletes it again."""
 
@@ -53,12 +59,28 @@ class Saved:
         self.spark, self.path = spark, path
         self.df = spark.read.parquet(path)
         atexit.register(self.drop)
+        for scope in _SCOPES[-1:]:
+            scope.append(self)
 
     def drop(self) -> None:
         _drop(self.spark, self.path)
         atexit.unregister(self.drop)
 
 
+@contextmanager
+def scope() -> Iterator[None]:
+    """Deletes at its end every table that operators have written within it, so that a long session does not fill the folder.
+
+    Results are lazy and read those tables: consume or write them before the scope ends.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for s in _SCOPES.pop():
+            s.drop()
+
+
 def save(df: DataFrame) -> Saved:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession

@@ -88,3 +88,13 @@ def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError):
         runtime.shared_dir(session(None))
     assert runtime.shared_dir(session("hdfs://x/shared/")) == "hdfs://x/shared"
+
+
+def test_a_scope_leaves_nothing_behind(spark):
+    from quirework import runtime
+
+    with runtime.scope():
+        t = runtime.save(spark.range(3))
+        assert t.df.count() == 3
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.path)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)

@@ -183,3 +183,14 @@ def test_a_batch_is_filled_and_failures_stay_alone():
 
     got = detectors._guarded(model, [np.ones((2, 2)), np.ones((2, 2)), np.zeros((2, 2))], 2)
     assert sizes == [2, 2, 1] and [e for _, e in got] == [None, None, "ValueError: black"]
+
+
+def test_labels_need_their_recognizer(spark):
+    from quirework.operators import recognize
+    from quirework.plans.session import Session
+
+    d = spark.createDataFrame([(1, "a", "greek")], "line int, crop string, predicted_label string")
+    with pytest.raises(Exception, match="no recognizer for 'greek'"):
+        recognize.recognize(d, "crop", {"latin": lambda: lambda x: [(v, 1.0) for v in x]}, strict=True).collect()
+    with pytest.raises(ValueError, match="default label"):
+        Session.of({"cyrillic": shades, "greek": shades}, shades)
