@@ -154,12 +154,13 @@ def pairs(members: DataFrame) -> DataFrame:
     return j.select(F.col("a.record_kind").alias("record_kind"), F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
 
 
-def sql_look(text: str) -> str:
-    """``mapped`` as SQL for DuckDB, composed: equal looks give equal strings."""
+def sql_look(text: str, looks: dict[str, str] | None = None, one_space: bool = True) -> str:
+    """``mapped`` as SQL for DuckDB, composed: equal looks give equal strings. ``looks``: another map than ``LOOKS``."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    kept = {a: b for a, b in LOOKS.items() if a != b and b}
-    gone = [a for a, b in LOOKS.items() if not b]
+    looks = {a: b for a, b in (LOOKS if looks is None else looks).items() if a != b}
+    kept = {a: b for a, b in looks.items() if b}
+    gone = [a for a, b in looks.items() if not b]
     out = f"translate({text}, {quote(''.join(kept) + ''.join(gone))}, {quote(''.join(kept.values()))})"
     for a, b in LIGATURES.items():
         out = f"replace({out}, {quote(a)}, {quote(b)})"
-    return f"nfc_normalize(regexp_replace({out}, ' {{2,}}', ' ', 'g'))"
+    return f"nfc_normalize(regexp_replace({out}, ' {{2,}}', ' ', 'g'))" if one_space else f"nfc_normalize({out})"

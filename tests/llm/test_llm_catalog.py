@@ -6,7 +6,7 @@ import pytest
 
 from quirework.llm import catalog
 
-SMALL = ["p1_found", "p1_merged_days", "p1_percentiles", "p4_classes", "p6_cutoffs", "p6_found", "p6_rounds", "p8_found", "p8_whole", "p9_found", "p9_shares"]
+SMALL = ["p1_found", "p1_merged_days", "p1_percentiles", "p10_found", "p10_shares", "p2_found", "p4_classes", "p4_found", "p6_cutoffs", "p6_found", "p6_rounds", "p8_found", "p8_whole", "p9_found", "p9_shares"]
 
 
 def plain(rows, cols):
@@ -21,7 +21,7 @@ def test_sql(spark, data, name):
     duckdb = pytest.importorskip("duckdb")
     df = catalog.queries()[name](spark, data)
     con = duckdb.connect()
-    for t in ("documents", "line_text", "page_info", "source_targets", "pack_sizes"):
+    for t in ("documents", "line_text", "page_info", "source_targets", "pack_sizes", "lexicon"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
     r = con.execute(catalog.oracle_sql()[name])
     cols = [c[0] for c in r.description]
