@@ -7,6 +7,7 @@ merged and pass no area filter. Filters are placed where they can reach the scan
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -136,22 +137,59 @@ def merge(df: DataFrame, page: str, idx: str, members: DataFrame) -> DataFrame:
     return alone.unionByName(grouped.groupBy(page, "root").applyInPandas(_union(page, idx), schema))
 
 
-def postprocess(df: DataFrame, kind: str, size_fraction: float = 7e-05, iou: float = 0.3, overlap: float = 0.5, sliver: float = 0.01) -> DataFrame:
-    """Detections of one kind to clean ones: small ones dropped, overlapping ones merged, slivers dropped (lines only).
+@dataclass(frozen=True)
+class Rules:
+    """How detections of one kind are cleaned; the vertical extent counts, and slivers are dropped, for lines only."""
 
-    df: ``page_id, det_idx, polygon, conf, height, width``. Returns ``page_id, det_idx, part, polygon, conf, box``.
-    """
+    size_fraction: float = 7e-05
+    iou: float = 0.3
+    overlap: float = 0.5
+    sliver: float | None = 0.01
+
+    @property
+    def vertical(self) -> bool:
+        return self.sliver is not None
+
+
+def _shaped(df: DataFrame, rules: Rules) -> DataFrame:
     d = df.where(F.col("polygon").isNotNull() & (F.size("polygon") >= 3))
-    d = large_enough(d, S.area_fraction(F.col("polygon"), F.col("height"), F.col("width")), size_fraction).withColumn("box", S.box_of(F.col("polygon")))
+    return large_enough(d, S.area_fraction(F.col("polygon"), F.col("height"), F.col("width")), rules.size_fraction).withColumn("box", S.box_of(F.col("polygon")))
+
+
+def _polygon_edges(d: DataFrame, rules: Rules) -> DataFrame:
     pairs = overlap_pairs(d, "page_id", "det_idx", "box")  # polygons are fetched for the pairs whose boxes meet
     for side in ("a", "b"):
         pairs = pairs.join(d.select("page_id", F.col("det_idx").alias(side), F.col("polygon").alias(f"polygon_{side}")), ["page_id", side])
-    edges = merge_edges(pairs, "page_id", iou, overlap, kind == "line", ("polygon_a", "polygon_b"))
-    out = merge(d, "page_id", "det_idx", merge_components(edges, "page_id")).withColumn("box", S.box_of(F.col("polygon")))
-    if kind != "line":
-        return out
-    pages = d.select("page_id", "height", "width").distinct()
-    return not_slivers(out.join(pages, "page_id"), F.col("box"), F.col("height"), F.col("width"), sliver).drop("height", "width")
+    return merge_edges(pairs, "page_id", rules.iou, rules.overlap, rules.vertical, ("polygon_a", "polygon_b"))
+
+
+def postprocess_kinds(df: DataFrame, rules: dict[str, Rules]) -> dict[str, DataFrame]:
+    """Clean detections of each kind: small ones dropped, overlapping ones of the kind merged, slivers of lines dropped.
+
+    df: ``page_id, det_idx, kind, polygon, conf, height, width``. Gives ``page_id, det_idx, part, polygon, conf, box`` by kind.
+    The groups of all kinds are labelled together, by one row of rounds.
+    """
+    shaped = {k: _shaped(df.where(F.col("kind") == k), r) for k, r in rules.items()}
+    edges = None
+    for k, r in rules.items():
+        e = _polygon_edges(shaped[k], r).withColumn("kind", F.lit(k))
+        edges = e if edges is None else edges.unionByName(e)
+    members = components(edges, keys=["page_id", "kind"])
+    out = {}
+    for k, r in rules.items():
+        d = shaped[k]
+        merged = merge(d, "page_id", "det_idx", members.where(F.col("kind") == k).drop("kind")).withColumn("box", S.box_of(F.col("polygon")))
+        if r.sliver is not None:
+            pages = d.select("page_id", "height", "width").distinct()
+            merged = not_slivers(merged.join(pages, "page_id"), F.col("box"), F.col("height"), F.col("width"), r.sliver).drop("height", "width")
+        out[k] = merged
+    return out
+
+
+def postprocess(df: DataFrame, kind: str, size_fraction: float = 7e-05, iou: float = 0.3, overlap: float = 0.5, sliver: float = 0.01) -> DataFrame:
+    """``postprocess_kinds`` of one kind; df needs no ``kind``."""
+    rules = Rules(size_fraction, iou, overlap, sliver if kind == "line" else None)
+    return postprocess_kinds(df.withColumn("kind", F.lit(kind)), {kind: rules})[kind]
 
 
 def outside_ignored(lines: DataFrame, regions: DataFrame, page: str, ignored: Column) -> DataFrame:

@@ -37,9 +37,14 @@ class Session:
         """raw: ``page_id, det_idx, class_id, polygon, conf``; sizes: ``page_id, height, width``. Lines and regions."""
         o = self.options
         d = detections.confident(detections.route(raw), o.confidence_threshold).join(sizes, "page_id")
-        lines = detections.postprocess(d.where("kind = 'line'"), "line", o.line_percentage_threshold, o.line_iou, o.line_overlap_threshold, o.sliver_threshold)
-        regions = detections.postprocess(d.where("kind = 'region'"), "region", o.region_percentage_threshold, o.region_iou, o.region_overlap_threshold)
-        return lines, regions
+        clean = detections.postprocess_kinds(
+            d,
+            {
+                "line": detections.Rules(o.line_percentage_threshold, o.line_iou, o.line_overlap_threshold, o.sliver_threshold),
+                "region": detections.Rules(o.region_percentage_threshold, o.region_iou, o.region_overlap_threshold, None),
+            },
+        )
+        return clean["line"], clean["region"]
 
     def arrange(self, lines: DataFrame, regions: DataFrame, sizes: DataFrame) -> DataFrame:
         """Ordered lines: ``page_id, region_pos, line_pos, polygon, det_conf`` and their region's columns ``region_*``."""
