@@ -6,7 +6,7 @@ import pytest
 
 from quirework.llm import catalog
 
-SMALL = ["p1_found", "p1_merged_days", "p1_percentiles", "p10_found", "p10_shares", "p2_found", "p2_shares", "p4_classes", "p4_found", "p6_cutoffs", "p6_found", "p6_rounds", "p8_found", "p8_whole", "p9_found", "p9_shares"]
+SMALL = ["p1_found", "p1_merged_days", "p1_percentiles", "p10_found", "p10_shares", "p2_found", "p2_shares", "p4_classes", "p4_found", "p6_cutoffs", "p6_found", "p6_rounds", "p8_found", "p8_whole", "p9_drawn", "p9_found", "p9_mixture", "p9_shares"]
 
 
 def plain(rows, cols):
