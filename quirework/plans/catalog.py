@@ -253,6 +253,21 @@ def page_records(spark: SparkSession, d: str) -> DataFrame:
     return pages.flatten_lines(_records(spark, d)).select("page_id", "region_pos", "line_pos", "text", "conf", "script", "line_conf", "script_conf", F.size("polygon").alias("n_points"))
 
 
+def document_contents(spark: SparkSession, d: str) -> DataFrame:
+    """What ALTO and PAGE documents say of the records of line_text, read back from their text."""
+    docs = _records(spark, d)
+    out = xml.add_documents(docs, [xml.Step("TEXT_RECOGNITION", "read", stats=True)], scripts=True)
+    found = lambda c, pattern: F.array_join(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), "\n")
+    return out.select(
+        "page_id",
+        found("alto", 'CONTENT="([^"]*)"').alias("contents"),
+        found("alto", 'WC="([^"]*)"').alias("confidences"),
+        found("alto", 'TAGREFS="([^"]*)"').alias("scripts"),
+        found("alto", 'POINTS="([^"]*)"').alias("outlines"),
+        found("page_xml", "<Unicode>([^<]*)</Unicode>").alias("texts"),
+    )
+
+
 # Recognition
 
 
@@ -328,7 +343,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     page_stats, doc_stats, long_rows, has_letters, page_languages_stored, stats_text, run_status, run_summary, image_inventory, pages_never_read, page_language,
     small_polygon_filter, sliver_filter, interval_iou_pairs, merge_edges, merge_components, merged_confidence, merged_polygons,
     line_region, regions_without_lines, default_region, ignored_region_lines, reading_rank, cyclic_pages, reading_order, width_batches,
-    region_ids, points_text, text_extent, detections_routed, detections_clean, page_documents, page_records,
+    region_ids, points_text, text_extent, detections_routed, detections_clean, page_documents, page_records, document_contents,
     script_argmax, script_fallback, route_by_label, model_names, sequence_score, p7_found, p7_points, p7_variants, p7_pages, p7_lines, p7_extra,
 )
 
@@ -418,6 +433,14 @@ def _first(x: str, names: tuple[str, ...]) -> str:
 _EXT = "('" + "', '".join(e for x in images.EXTENSIONS for e in (x, x.upper())) + "')"
 
 
+def _escape(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[\\s\\pZ]+|[\\s\\pZ]+$', '', 'g')"
+
+
 def oracle_sql() -> dict[str, str]:
     p = "x0, y0, x1, y1"
     corner = "concat_ws(' ', {0} || ',' || {1}, {2} || ',' || {1}, {2} || ',' || {3}, {0} || ',' || {3})"
@@ -463,6 +486,13 @@ def oracle_sql() -> dict[str, str]:
         "text_extent": f"{_B}, t AS (SELECT p, min(x0) x0, min(y0) y0, max(x1) x1, max(y1) y1 FROM b GROUP BY p) SELECT p, {p}, greatest({X.SIDE} - x1, 0) right_width, greatest({X.SIDE} - y1, 0) bottom_height FROM t",
         "detections_routed": """SELECT page_id, det_idx, class_id, CASE WHEN class_id >= 2 THEN 'line' ELSE 'region' END kind, conf, CASE WHEN len(polygon) < 3 THEN 0.0 ELSE abs(list_sum(list_transform(range(1, len(polygon) + 1), lambda i:
           polygon[i].x::DOUBLE * polygon[i % len(polygon) + 1].y - polygon[i % len(polygon) + 1].x::DOUBLE * polygon[i].y))) / 2 END area FROM detections WHERE class_id >= 1 AND conf >= 0.15""",
+        "document_contents": f"""{_RECORDS}, e AS (SELECT *, {_escape("coalesce(text, '')")} v, len(polygon) > 0 w FROM k),
+          q AS (SELECT *, CASE WHEN w THEN array_to_string(list_transform(polygon, lambda p: CAST(trunc(p.x) AS INTEGER) || ',' || CAST(trunc(p.y) AS INTEGER)), ' ') END pts, list_aggregate(list_transform(polygon, lambda p: p.x), 'min') x0, list_aggregate(list_transform(polygon, lambda p: p.y), 'min') y0,
+            list_aggregate(list_transform(polygon, lambda p: p.x), 'max') x1, list_aggregate(list_transform(polygon, lambda p: p.y), 'max') y1 FROM e),
+          o AS (SELECT page_id, region_pos, string_agg(replace(v, '"', '&quot;'), chr(10) ORDER BY line_pos) FILTER (w) contents, string_agg(printf('%.4f', least(greatest(conf, 0), 1)), chr(10) ORDER BY line_pos) FILTER (w AND isfinite(conf)) confidences,
+            string_agg('SCRIPT_' || upper(script), chr(10) ORDER BY line_pos) FILTER (w AND script <> '') scripts, min(x0) || ',' || min(y0) || ' ' || max(x1) || ',' || min(y0) || ' ' || max(x1) || ',' || max(y1) || ' ' || min(x0) || ',' || max(y1) || chr(10) || string_agg(pts, chr(10) ORDER BY line_pos) outlines,
+            string_agg({_strip("v")}, chr(10) ORDER BY line_pos) FILTER ({_strip("v")} <> '' OR true) texts FROM q GROUP BY ALL HAVING bool_or(w))
+          SELECT page_id, {", ".join(f"coalesce(string_agg({c}, chr(10) ORDER BY region_pos), '') {c}" for c in ("contents", "confidences", "scripts", "outlines", "texts"))} FROM o GROUP BY page_id""",
         "page_records": f"{_RECORDS} SELECT page_id, CAST(dense_rank() OVER (PARTITION BY page_id ORDER BY region_pos) - 1 AS INTEGER) region_pos, CAST(row_number() OVER (PARTITION BY page_id, region_pos ORDER BY line_pos) - 1 AS INTEGER) line_pos, coalesce(text, '') \"text\", conf, script, line_conf, script_conf, CAST(len(polygon) AS INTEGER) n_points FROM k",
         "p7_found": f"{_P7} SELECT page_id, CAST(region_pos AS INTEGER) region_pos, CAST(line_pos AS INTEGER) line_pos, CAST(coalesce({_COUNT.format('p')}, 0) AS INTEGER) n_points FROM c",
         "p7_points": f"{_P7}, q AS (SELECT page_id, region_pos, line_pos, {_XY.format(g=1, i=0, f='x')} xs, {_XY.format(g=2, i=1, f='y')} ys FROM c) SELECT page_id, region_pos, line_pos, CAST(unnest(range(len(xs))) AS INTEGER) point_pos, unnest(xs) x, unnest(ys) y FROM q",
