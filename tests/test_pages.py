@@ -214,6 +214,9 @@ def test_whole_documents(spark):
     d = spark.createDataFrame([dict(zip(("image_path", "width", "height", "language", "stats", "regions"), r, strict=True)) for r in rows], schema)
     out = {r.image_path: r for r in d.select("image_path", xml.alto_column([xml.Step("TEXT_RECOGNITION", "read", stats=True)], True).alias("a"), xml.page_column(None, "me", "now").alias("p")).collect()}
     assert out["/p/1.png"].a == SMALL_ALTO and out["/p/1.png"].p == SMALL_PAGE
+    odd = dict(text, polygon=[*at, {"x": float("nan"), "y": 1.0}, {"x": float("inf"), "y": 1.0}, {"x": None, "y": 2.0}], text='"a" < b')
+    d2 = spark.createDataFrame([{"image_path": "/p/1.png", "width": 20, "height": 10, "language": None, "stats": None, "regions": [{"name": "p", "lines": [odd]}]}], schema)
+    assert d2.select(xml.page_column(None, "me", "now").alias("p")).first().p == SMALL_PAGE  # vertices without a place are left out
     for path in ("/p/2.png", "/p/3.png"):
         assert "TextBlock" not in out[path].a and "TextRegion" not in out[path].p
         assert ET.fromstring(out[path].a.encode()) is not None and ET.fromstring(out[path].p.encode()) is not None
