@@ -57,7 +57,7 @@ def stats_text(spark: SparkSession, d: str) -> DataFrame:
 def run_status(spark: SparkSession, d: str) -> DataFrame:
     """A status for each page of the inventory, by whether it has a record, an image that can be decoded, or neither."""
     t = table(spark, d, "page_images").groupBy("page_id").agg(F.max("height").alias("height"), F.max("width").alias("width"), F.min("path").alias("image_path"))
-    return Session.status(t, _records(spark, d)).select("page_id", "status", "n_lines")
+    return Session.status(t, _records(spark, d)).select("page_id", "status", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -328,7 +328,9 @@ def p7_variants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_pages(spark: SparkSession, d: str) -> DataFrame:
-    return p7_tables(spark, d).pages.select("page_id", "image_path", "width", "height", "language", *(F.col(f"stats.{c}").alias(c) for c in nested.STATS))
+    """Pages with their figures; whole numbers that are missing as -1."""
+    p = p7_tables(spark, d).pages.select("page_id", "image_path", "width", "height", "language", *(F.col(f"stats.{c}").alias(c) for c in nested.STATS))
+    return p.withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("width", "height", "N_LONG_ROWTEXT")})
 
 
 def p7_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -336,7 +338,8 @@ def p7_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_extra(spark: SparkSession, d: str) -> DataFrame:
-    return p7_tables(spark, d).extra.select("page_id", "region_pos", "line_pos", "kind", "field")
+    """Fields that no supertype knows; positions that a kind has not as -1."""
+    return p7_tables(spark, d).extra.select("page_id", *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("region_pos", "line_pos")), "kind", "field")
 
 
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
@@ -452,7 +455,7 @@ def oracle_sql() -> dict[str, str]:
         "has_letters": "SELECT doc_id, coalesce(regexp_matches(text, '\\p{L}'), false) letters FROM documents",
         "page_languages_stored": "SELECT DISTINCT page_id, CASE WHEN regexp_full_match(language, '[a-zA-Z]{1,8}(-[a-zA-Z0-9]{1,8})*') AND lower(language) <> 'unknown' THEN language END lang FROM page_info",
         "stats_text": f"SELECT doc_id, 'PC25=' || printf('%.4f', quantile_cont(conf, 0.25)) || ';PC50=' || printf('%.4f', median(conf)) || ';PC75=' || printf('%.4f', quantile_cont(conf, 0.75)) || ';N_LONG_ROWTEXT=' || count(*) FILTER (length(t) > 100) settings FROM ({X.DOC_LINES}) GROUP BY doc_id",
-        "run_status": f"{_STATUS} SELECT page_id, status, n_lines FROM s",
+        "run_status": f"{_STATUS} SELECT page_id, status, coalesce(n_lines, 0) n_lines FROM s",
         "run_summary": f"{_STATUS} SELECT count(*) FILTER (status = 'ok') n_ok, count(*) FILTER (status = 'error') n_err FROM s",
         "image_inventory": f"SELECT DISTINCT ON (path) path, regexp_replace(regexp_extract(path, '[^/]*$'), '(.)\\.[^.]*$', '\\1') stem, regexp_replace(path, '/?[^/]*$', '') folder, height, width FROM page_images WHERE regexp_extract(path, '\\.([^./]+)$', 1) IN {_EXT}",
         "pages_never_read": f"SELECT DISTINCT page_id FROM page_images WHERE regexp_extract(path, '\\.([^./]+)$', 1) IN {_EXT} AND page_id NOT IN (SELECT page_id FROM line_text WHERE page_id IS NOT NULL)",
@@ -499,13 +502,13 @@ def oracle_sql() -> dict[str, str]:
         "p7_variants": f"""{_P7}, f AS (SELECT *, row_number() OVER () id FROM o), h AS (SELECT *, unnest(json_keys(x)) k FROM f), e AS (SELECT *, x -> ('$."' || k || '"') e FROM h),
           z AS (SELECT id, string_agg('"' || k || '": "' || {_STATE} || '"', ', ' ORDER BY k) s FROM e GROUP BY id)
           SELECT kind, (CASE WHEN w THEN 'wrapped_page/' ELSE '' END) || {_CLASS.format('x')} || ' {{' || coalesce(s, '') || '}}' AS variant, count(*) n FROM f LEFT JOIN z USING (id) GROUP BY ALL""",
-        "p7_pages": f"""{_P7} SELECT page_id, x ->> '$.image_path' image_path, CAST(TRY_CAST(x ->> '$.width' AS DOUBLE) AS BIGINT) width, CAST(TRY_CAST(x ->> '$.height' AS DOUBLE) AS BIGINT) height, x ->> '$.language' "language",
-          {", ".join(f"TRY_CAST(x ->> '$.stats.{c}' AS {'BIGINT' if c.startswith('N_') else 'DOUBLE'}) {chr(34)}{c}{chr(34)}" for c in nested.STATS)} FROM t""",
+        "p7_pages": f"""{_P7} SELECT page_id, x ->> '$.image_path' image_path, coalesce(CAST(TRY_CAST(x ->> '$.width' AS DOUBLE) AS BIGINT), -1) width, coalesce(CAST(TRY_CAST(x ->> '$.height' AS DOUBLE) AS BIGINT), -1) height, x ->> '$.language' "language",
+          {", ".join(f"TRY_CAST(x ->> '$.stats.{c}' AS DOUBLE) {chr(34)}{c}{chr(34)}" for c in nested.STATS[:4])}, coalesce(TRY_CAST(x ->> '$.stats.N_LONG_ROWTEXT' AS BIGINT), -1) "N_LONG_ROWTEXT" FROM t""",
         "p7_lines": f"""{_P7} SELECT page_id, region_pos, line_pos, x ->> '$.text' "text", TRY_CAST({_first('x', nested.CONF)} AS DOUBLE) conf, x ->> '$.script' script, TRY_CAST(x ->> '$.line_conf' AS DOUBLE) line_conf, TRY_CAST(x ->> '$.script_conf' AS DOUBLE) script_conf,
           CAST(coalesce({_COUNT.format('p')}, 0) AS INTEGER) n_points FROM (SELECT *, {_polygon('x', nested.POLYGON)} p FROM l)""",
         "p7_extra": f"""{_P7}, u AS (SELECT page_id, region_pos, line_pos, kind, x FROM o UNION ALL SELECT page_id, NULL, NULL, 'page', j FROM t WHERE w),
           k AS (SELECT page_id, region_pos, line_pos, kind, x, unnest(json_keys(x)) field FROM u)
-          SELECT page_id, region_pos, line_pos, kind, field FROM k WHERE coalesce(json_type(x, '$."' || field || '"'), 'NULL') <> 'NULL' AND NOT list_contains(CASE kind {" ".join(f"WHEN '{k}' THEN {list(v)}" for k, v in nested.KNOWN.items())} END, field)""",
+          SELECT page_id, coalesce(region_pos, -1) region_pos, coalesce(line_pos, -1) line_pos, kind, field FROM k WHERE coalesce(json_type(x, '$."' || field || '"'), 'NULL') <> 'NULL' AND NOT list_contains(CASE kind {" ".join(f"WHEN '{k}' THEN {list(v)}" for k, v in nested.KNOWN.items())} END, field)""",
         "script_argmax": f"WITH {_ARG} SELECT vec_id, script, round(c, 6) confidence FROM y",
         "script_fallback": f"{_FALL} SELECT * FROM o",
         "route_by_label": f"{_FALL}, k AS (SELECT grp, predicted_label, count(*) n, min(vec_id) AS first FROM o GROUP BY ALL) SELECT *, CAST(row_number() OVER (PARTITION BY grp ORDER BY first) - 1 AS INTEGER) label_pos FROM k",
