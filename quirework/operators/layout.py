@@ -153,7 +153,7 @@ def _break_cycles(page: str, idx: str, rtl: bool):
                 return x0[i] > x0[j] if rtl else x0[i] < x0[j]
             return y0[i] < y0[j]
 
-        left, open_ = dict(zip(range(n), f["indegree"], strict=True)), set(range(n))
+        left, open_ = dict(zip(range(n), f["indegree"] - f["_before"], strict=True)), set(range(n))
         order = []
         while open_:
             k = min(open_, key=lambda i: (left[i], y0[i], -x0[i] if rtl else x0[i], i))
@@ -163,21 +163,39 @@ def _break_cycles(page: str, idx: str, rtl: bool):
                 if first(min(k, j), max(k, j)) == (k < j):
                     left[j] -= 1
         pos = [0] * n
-        for p, k in enumerate(order):
+        for p, k in enumerate(order, int(f["_before"].iloc[0])):
             pos[k] = p
         return pd.DataFrame({page: f[page], idx: f[idx], "pos": pos})
 
     return run
 
 
+def _knots(counted: DataFrame, page: str, idx: str) -> DataFrame:
+    """``counted`` with ``_before`` and ``_size``: how many boxes come before the box's knot, and how many it has.
+
+    One of every two boxes precedes the other, so the boxes fall into knots one after another, in which each can be reached
+    from each: the k boxes of fewest predecessors end a knot where they have k * (k - 1) / 2 predecessors in all, those
+    among themselves. All boxes of a knot are taken before any of the next, so cycles are broken knot by knot.
+    """
+    by = Window.partitionBy(page).orderBy("indegree", idx).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    k = counted.withColumns({"_k": F.count(F.lit(1)).over(by), "_sum": F.sum("indegree").over(by)})
+    k = k.withColumn("_end", (F.col("_sum") * 2 == F.col("_k") * (F.col("_k") - 1)).cast("int"))
+    before = Window.partitionBy(page).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    k = k.withColumn("_knot", F.coalesce(F.sum("_end").over(before), F.lit(0)))
+    size = k.groupBy(page, "_knot").agg((F.min("_k") - 1).alias("_before"), F.count(F.lit(1)).alias("_size"))
+    return k.join(size, [page, "_knot"]).select(page, idx, "box", "indegree", "_before", "_size")
+
+
 def reading_order(df: DataFrame, page: str, idx: str, rtl: bool = False) -> DataFrame:
     """``df`` with ``pos``: where precedence has no cycle it is the number of predecessors; else boxes are taken one by
-    one, always that with the fewest open predecessors (then upper, then left, then lower index)."""
+    one, always that with the fewest open predecessors (then upper, then left, then lower index), knot by knot."""
     counted = save(predecessors(df, page, idx, rtl)).df
     cyclic = save(cyclic_pages(counted, page)).df
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    hard = counted.join(cyclic, page, "left_semi").select(page, idx, "box", "indegree")
-    solved = hard.groupBy(page).applyInPandas(_break_cycles(page, idx, rtl), f"{page} {kinds[page]}, {idx} {kinds[idx]}, pos long")
+    knots = save(_knots(counted.join(cyclic, page, "left_semi").select(page, idx, "box", "indegree"), page, idx)).df
+    alone = knots.where("_size = 1").select(page, idx, F.col("_before").alias("pos"))
+    tied = knots.where("_size > 1").groupBy(page, "_before").applyInPandas(_break_cycles(page, idx, rtl), f"{page} {kinds[page]}, {idx} {kinds[idx]}, pos long")
+    solved = alone.unionByName(tied)
     easy = counted.join(cyclic, page, "left_anti").withColumn("pos", F.col("indegree"))
     broken = counted.join(solved, [page, idx])
     return easy.select(*df.columns, "pos").unionByName(broken.select(*df.columns, "pos"))
