@@ -1,14 +1,14 @@
 """Problem 4: texts that look alike but are stored with different characters.
 
 Look-alike letters, full-width forms, ligatures, spaces of other widths and invisible characters are mapped by one
-``translate``; values are then grouped under the accent-sensitive and case-sensitive UNICODE collation, which also
-equates composed and decomposed accents. The least stored text of each class is its canonical member and is joined
-back to the records.
+``translate``; values are then composed (NFC) and grouped under the accent-sensitive and case-sensitive UNICODE
+collation. The least stored text of each class is its canonical member and is joined back to the records.
 
 All texts are not shuffled for this: a coarse block key (a hash of the text without accents, marks, spaces,
 punctuation and the letters that ligatures hide) is grouped first, on rows of a few numbers. Texts equal in looks
-have equal block keys, so only blocks that hold different stored texts are read again and compared in full. Texts of
-those letters alone have a key with the ligatures written out instead.
+have equal block keys, whatever the script and however characters are composed, so only blocks that hold different
+stored texts are read again and compared in full. Texts of those letters alone have a key with the ligatures written
+out instead.
 
 Null and blank texts, and texts without letters or digits, have no look-alikes. Exact copies are one text: they are
 no pair. Repeated rows of one id and text count once. An empty table gives no rows. Null ids never pair.
@@ -17,9 +17,12 @@ no pair. Repeated rows of one id and text count once. An empty table gives no ro
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirework.runtime import save, small
 
@@ -59,8 +62,21 @@ def _looks() -> dict[str, str]:
 LOOKS = _looks()
 
 
+@cache
+def _composed() -> tuple[dict[str, str], frozenset[str]]:
+    """All characters that Unicode decomposes, with their parts, and all characters that join another: marks and later parts."""
+    every = [chr(cp) for cp in range(0x80, 0x30000) if not 0xD800 <= cp < 0xE000]
+    parts = {c: d for c in every if (d := unicodedata.normalize("NFD", c)) != c}
+    return parts, frozenset(c for c in every if unicodedata.combining(c)).union(*(d[1:] for d in parts.values()))
+
+
+@cache
 def _coarse(hidden: str = "filst") -> dict[str, str]:
-    """Character to its block letter: also without accents, with nothing but letters and digits, none of them ``hidden``."""
+    """Character to its block letter: also without accents, with nothing but letters and digits, none of them ``hidden``.
+
+    A composed character has the block letter of its first part, and the others none, so that it does not matter how or in
+    what order a text is composed.
+    """
     m = dict(LOOKS)
     for cp in [*range(0x20), *range(0x21, 0x80)]:
         c = chr(cp)
@@ -78,7 +94,12 @@ def _coarse(hidden: str = "filst") -> dict[str, str]:
         elif len(to) == 1 and to:
             m[c] = "".join(x for x in unicodedata.normalize("NFD", to) if not unicodedata.combining(x))
     m[" "] = ""
-    return {a: b for a, b in m.items() if a != b and len(b) <= 1}
+    parts, joining = _composed()
+    m.update(dict.fromkeys(joining, ""))
+    shown = {c: LOOKS.get(c, c) for c in [*parts, *LOOKS]}
+    first = {c: parts.get(x, x)[0] for c, x in shown.items() if x}
+    m.update({c: m.get(x, x) for c, x in first.items()})
+    return {a: b for a, b in m.items() if a != b}
 
 
 def _translate(c: Column, m: dict[str, str]) -> Column:
@@ -100,8 +121,27 @@ def mapped(c: Column) -> Column:
 
 
 def block_key(c: Column) -> Column:
-    """``block_text``; of texts of which it leaves nothing, their letters f, i, l, s and t. Empty without letters and digits."""
-    return F.coalesce(F.nullif(block_text(c), F.lit("")), _translate(mapped(c), _coarse("")))
+    """``block_text``; of texts of which it leaves nothing, their letters f, i, l, s and t, or one key for all of joining letters.
+
+    Empty without letters and digits.
+    """
+    letters = F.nullif(_translate(mapped(c), _coarse("")), F.lit(""))
+    return F.coalesce(F.nullif(block_text(c), F.lit("")), letters, F.when(mapped(c).rlike(r"[\p{L}\p{N}]"), "?").otherwise(""))
+
+
+def _block(b: Column) -> list[Column]:
+    return [F.xxhash64(b).alias("_k1"), F.hash(b, F.lit(7)).alias("_k2")]
+
+
+@F.pandas_udf(T.StringType())
+def _nfc(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: t if t.isascii() else unicodedata.normalize("NFC", t))
+
+
+def _marks(c: Column) -> Column:
+    """The marks in their places: the collation does not see some of them (those of chant and recitation), a reader does."""
+    seen = F.regexp_replace(c, r"[\x01-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\x{34f}]", "")
+    return F.regexp_replace(seen, r"(?s)[^\p{M}]", ".")
 
 
 def classes(records: DataFrame) -> DataFrame:
@@ -113,20 +153,24 @@ def classes(records: DataFrame) -> DataFrame:
     r = records.select("record_kind", F.col("id").cast("long").alias("id"), "text").where(F.col("text").isNotNull() & F.col("id").isNotNull())
     key = block_key(F.col("text"))
     narrow = r.select("record_kind", "id", key.alias("_b"), F.xxhash64("text").alias("_h")).where("_b <> ''")
-    narrow = narrow.select("record_kind", "id", "_h", F.xxhash64("_b").alias("_k1"), F.hash("_b", F.lit(7)).alias("_k2"))
+    narrow = narrow.select("record_kind", "id", "_h", *_block(F.col("_b")))
     blocks = narrow.groupBy("record_kind", "_k1", "_k2").agg(F.min("_h").alias("_lo"), F.max("_h").alias("_hi")).where("_lo <> _hi").drop("_lo", "_hi")
     blocks = save(blocks).df
     ids = save(narrow.join(small(blocks), ["record_kind", "_k1", "_k2"]).select("record_kind", "id", "_k1", "_k2").distinct()).df
-    full = save(r.join(small(ids), ["record_kind", "id"]).select("record_kind", "id", "_k1", "_k2", "text", mapped(F.col("text")).alias("_m")).distinct()).df
+    # an id may have several texts: only those of the block come with it
+    full = r.join(small(ids.select("record_kind", "id").distinct()), ["record_kind", "id"]).distinct()
+    full = full.select("record_kind", "id", "text", *_block(key), mapped(F.col("text")).alias("_m"))
+    full = full.join(small(blocks), ["record_kind", "_k1", "_k2"], "left_semi").withColumn("_m", _nfc("_m"))
+    full = save(full.withColumn("_v", _marks(F.col("_m")))).df
     spark = records.sparkSession
     return spark.sql(
         """
-        WITH looks AS (SELECT record_kind, id, _k1, _k2, text, _m COLLATE UNICODE AS look FROM {full}),
+        WITH looks AS (SELECT record_kind, id, _k1, _k2, _v, text, _m COLLATE UNICODE AS look FROM {full}),
         canon AS (
-            SELECT record_kind, _k1, _k2, look, min(struct(text, id)) AS c
-            FROM looks GROUP BY record_kind, _k1, _k2, look HAVING min(text) <> max(text))
+            SELECT record_kind, _k1, _k2, _v, look, min(struct(text, id)) AS c
+            FROM looks GROUP BY record_kind, _k1, _k2, _v, look HAVING min(text) <> max(text))
         SELECT l.record_kind, l.id, l.text, canon.c.text AS form, canon.c.id AS class_id
-        FROM looks l JOIN canon ON l.record_kind = canon.record_kind AND l._k1 = canon._k1 AND l._k2 = canon._k2 AND l.look = canon.look
+        FROM looks l JOIN canon ON l.record_kind = canon.record_kind AND l._k1 = canon._k1 AND l._k2 = canon._k2 AND l._v = canon._v AND l.look = canon.look
         """,
         full=full,
     )
@@ -142,13 +186,13 @@ def pairs(members: DataFrame) -> DataFrame:
     A class of more than ``TOGETHER`` members is split: one side of the join is salted by id, the other repeated for each
     salt, so no class of any size meets in one task.
     """
-    m = save(members.select("record_kind", "class_id", "id", F.sha2("text", 256).alias("_t"))).df
-    salts = m.groupBy("record_kind", "class_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(TOGETHER)).cast("int").alias("_n"))
-    m = m.join(salts, ["record_kind", "class_id"])
+    m = save(members.select("record_kind", "class_id", F.sha2("form", 256).alias("_f"), "id", F.sha2("text", 256).alias("_t"))).df
+    salts = m.groupBy("record_kind", "class_id", "_f").agg(F.ceil(F.count(F.lit(1)) / F.lit(TOGETHER)).cast("int").alias("_n"))
+    m = m.join(salts, ["record_kind", "class_id", "_f"])
     a = m.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).alias("a")
     b = m.withColumn("_salt", F.pmod(F.xxhash64("id"), F.col("_n").cast("long")).cast("int")).alias("b")
     same = F.lit(True)
-    for c in ("record_kind", "class_id", "_salt"):
+    for c in ("record_kind", "class_id", "_f", "_salt"):
         same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
     j = a.join(b, same & (F.col("a.id") < F.col("b.id")) & (F.col("a._t") != F.col("b._t")))
     return j.select(F.col("a.record_kind").alias("record_kind"), F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))

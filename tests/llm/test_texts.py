@@ -494,3 +494,42 @@ def test_letters_of_other_fonts_and_widths(spark):
     rows = [("line", i, t) for i, t in enumerate(["bron 12", "𝐛𝐫𝐨𝐧 𝟏𝟐", "𝓫𝓻𝓸𝓷 𝟭𝟮", "bron 13", "ﾅ nio", "ナ nio"])]
     d = spark.createDataFrame(rows, "record_kind string, id long, text string")
     assert {(r.id_a, r.id_b) for r in lookalike.pairs(lookalike.classes(d)).collect()} == {(0, 1), (0, 2), (1, 2), (4, 5)}
+
+
+COMPOSED = ["ÅKΩ", "ἀ", "ệ", "각", "が", "豈", "שׁ", "क़", "ো", "q̣̇", "آ", "≮", "ｶﾞ", "ﾾﾡ"]
+
+
+def test_pairs_of_all_composed_forms(spark):
+    """However a character is composed and in whatever order its marks stand, the look is one; marks that collations ignore still count."""
+    rows, look = [], {}
+    for i, x in enumerate(COMPOSED):
+        x = f"bron {i} {x}"
+        d = unicodedata.normalize("NFD", x)
+        for s in sorted({x, d, unicodedata.normalize("NFC", x), d.replace("\u0323\u0302", "\u0302\u0323"), lookalike_of(x)}):
+            look[len(rows)] = unicodedata.normalize("NFC", lookalike_of(s))
+            rows.append(("line", len(rows), s))
+    for s in ("bron בֽ ו", "bron ב וֽ", "bron ב ו", "bron क॑ क", "bron क क॑", "ᅡ", "ￂ"):
+        look[len(rows)] = unicodedata.normalize("NFC", lookalike_of(s))
+        rows.append(("line", len(rows), s))
+    got = [(r.id_a, r.id_b) for r in lookalike.pairs(lookalike.classes(spark.createDataFrame(rows, "record_kind string, id long, text string"))).collect()]
+    assert sorted(got) == [(a, b) for a in look for b in look if a < b and look[a] == look[b]]
+    assert len({look[a] for a, _ in got}) == len(COMPOSED) + 1
+
+
+def test_pairs_of_ids_with_several_texts(spark):
+    rows = [("line", 1, "bron gick"), ("line", 1, "hem sedan"), ("line", 2, "brоn gick"), ("line", 2, "hem sеdan"), ("line", 3, "hem ѕedan")]
+    got = lookalike.pairs(lookalike.classes(spark.createDataFrame(rows, "record_kind string, id long, text string"))).collect()
+    assert sorted((r.id_a, r.id_b) for r in got) == [(1, 2), (1, 2), (1, 3), (2, 3)]
+
+
+def test_p4_found_is_that_of_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    words = ["\u00c5ngström", "\u212bngström", "A\u030angström", "och e\u0302\u0323n", "och \u1ec7n", "och \u1eb9\u0302n", "den \u1f00 mannen", "den \u03b1\u0313 mannen"]
+    spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, w + " gick") for i, w in enumerate(words)], "line_id long, text string").write.parquet(f"{tmp_path}/line_text.parquet")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE lexicon AS SELECT 'gick' word, true is_common")
+    for t in ("documents", "line_text"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.execute(catalog.oracle_sql()["p4_found"]).fetchall()
+    assert sorted(map(tuple, catalog.p4_found(spark, str(tmp_path)).collect())) == sorted(want) and len(want) == 14
