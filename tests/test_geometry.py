@@ -140,3 +140,13 @@ def test_pixels():
     assert pixels.enlarge_mask(np.eye(2, dtype=bool), 4, 4).sum() == 8
     assert pixels.enlarge_box((1, 2, 30, 4.9), 2, 1, 40, 50) == (2, 2, 40, 4)
     assert pixels.width_bucket(5, [3, 8]) == 8 and pixels.width_bucket(9, [3, 8]) == 8
+
+
+def test_lines_through_vertices_cross_an_even_number_of_edges():
+    """The middle of a slab between neighbouring floats is a vertex; a column of the grid may be one, too."""
+    near = np.nextafter(1.0, 2.0)
+    ring = np.array([(0.0, 0.0), (1.0, -1.0), (2.0, 0.0), (near, 1.0)])
+    square = np.array([(0.0, 0.0), (2.0, 0.0), (2.0, 1.0), (0.0, 1.0)])
+    assert abs(G.area(ring) - 2) < 1e-9
+    assert np.allclose(G.areas(square, ring), (2, 2, 1))
+    assert abs(G.mean_thickness(np.array([(0.0, 0.0), (32.0, 0.0), (16.5, 10.0)])) - 5) < 0.05
