@@ -189,6 +189,17 @@ def test_ignored(spark):
     assert sorted(r.k for r in detections.outside_ignored(lines, regions, "p", F.col("skip")).collect()) == [1, 3]
 
 
+def test_ignored_regions_are_not_broadcast(spark):
+    """Catalyst takes few rows that regions and their strips are made of for a small table, however many they become."""
+    box = lambda x0, y0, x1, y1: F.struct(*(F.lit(float(v)).alias(c) for c, v in zip(("x0", "y0", "x1", "y1"), (x0, y0, x1, y1), strict=True)))
+    rid = F.explode(F.sequence(F.lit(0), F.lit(1)))
+    regions = spark.range(3).select(F.col("id").alias("p"), rid.alias("rid")).withColumn("box", F.when(F.col("rid") == 1, box(0, 0, 100, 9000)).otherwise(box(40, 40, 60, 60)))
+    lines = spark.range(3).select(F.col("id").alias("p"), F.posexplode(F.array(box(0, 0, 10, 10), box(40, 40, 50, 50), box(90, 9000, 110, 9900), box(0, 8000, 9, 8009))).alias("k", "box"))
+    got = detections.outside_ignored(lines, regions, "p", F.col("rid") == 1)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.p, r.k) for r in got.collect()) == [(p, k) for p in range(3) for k in (1, 2)]
+
+
 def test_tiles_and_suppression(spark):
     d = spark.createDataFrame([(1, 1000, 500), (2, 300, 300)], "p int, height int, width int")
     t = [(r.p, r.x0, r.y0, r.x1, r.y1) for r in detections.tile_grid(d, "p", 640, 128).collect()]
