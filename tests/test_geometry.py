@@ -150,3 +150,14 @@ def test_lines_through_vertices_cross_an_even_number_of_edges():
     assert abs(G.area(ring) - 2) < 1e-9
     assert np.allclose(G.areas(square, ring), (2, 2, 1))
     assert abs(G.mean_thickness(np.array([(0.0, 0.0), (32.0, 0.0), (16.5, 10.0)])) - 5) < 0.05
+
+
+def test_upright_boxes_without_slabs():
+    """Boxes from any corner, both ways round, empty ones and no boxes: the areas are those of the slabs."""
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        x, y = np.sort(rng.integers(0, 6, (2, 2)).astype(float)), np.sort(rng.integers(0, 6, (2, 2)).astype(float))
+        a, b = (np.roll(np.array([(u[0], v[0]), (u[1], v[0]), (u[1], v[1]), (u[0], v[1])])[:: rng.choice([1, -1])], rng.integers(4), axis=0) for u, v in zip(x, y, strict=True))
+        assert G._as_box(a) and G._as_box(b) and G.areas(a, b) == G._slab_areas(a, b)
+    bow = np.array([(0.0, 0.0), (4.0, 4.0), (4.0, 0.0), (0.0, 4.0)])
+    assert G._as_box(bow) is None and G._as_box(bow[:3]) is None and G.area(bow) == 8
